@@ -38,11 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as entity history. ``rn`` is the line number, which repeats within an order;
-    ``seq`` refines it by a digest of the whole row, so it is unique and needs no ranking."""
+    ``seq`` refines it by a digest of all columns used here, so rows that tie are equal in every
+    column and no ranking is needed."""
     c = F.col
     cents = [F.round(c(x) * 100).cast("bigint").cast("string") for x in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     whole = F.concat_ws("|", c("l_partkey").cast("string"), c("l_suppkey").cast("string"), *cents,
-                        "l_returnflag", "l_linestatus", F.unix_timestamp("l_shipdate").cast("string"))
+                        "l_returnflag", "l_linestatus")
     digest = F.conv(F.substring(F.md5(whole), 1, 13), 16, 10).cast("bigint")
     disc, tax = F.round(c("l_discount") * 100).cast("int"), F.round(c("l_tax") * 100).cast("int")
     qty = F.floor(c("l_quantity") / 5).cast("int")

@@ -64,7 +64,8 @@ def train_from_history(history: DataFrame, target: DataFrame, keys: HistorySpec,
     usable = clean.where(F.col("split") != "test").withColumn("_valid", F.col("split") == "val")
     fitted = train(usable, cfg, "_valid")
     scored = score(fitted, clean.where(F.col("split") == "val"))
-    metrics = classification_metrics(scored, cfg.label, "predicted").crossJoin(roc_auc(scored, cfg.label, "probability_1"))
+    area = roc_auc(scored, cfg.label, "probability_1").scalar()
+    metrics = classification_metrics(scored, cfg.label, "predicted").withColumn("roc_auc", area)
     return Trained(stats, cleaner, fitted, feature_importance(fitted, spark), metrics)
 
 
