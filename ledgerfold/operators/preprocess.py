@@ -167,7 +167,7 @@ class TablePreprocessor(Estimator):
         empty = [c for c in kept if missing[c] is not None and missing[c] > cfg.max_missing]
         constant = constant_columns(df, [c for c in kept if c not in empty], cfg.max_constant)
         st.drop = [*cfg.drop_cols, *empty, *constant]
-        live = [c for c in kept if c not in st.drop]
+        live = [c for c in kept if c not in st.drop and c != cfg.target_col]  # a label passes unchanged
         st.categorical = [c for c in live if c in st.cast_categorical]
         st.numeric = [c for c in live if c not in st.cast_categorical]
         self._learn_categories(df, st)
