@@ -129,13 +129,19 @@ def code_bit(c: Column | str, word: int = 0, n_bins: int = BITS_PER_WORD) -> Col
 
 
 def row_bits(cols, n_bins: int = BITS_PER_WORD) -> Column:
-    """Number of different codes among the columns of one row."""
-    words = range((n_bins + BITS_PER_WORD - 1) // BITS_PER_WORD)
-    parts = [
-        F.bit_count(reduce(lambda a, b: a.bitwiseOR(b), [F.coalesce(code_bit(c, w, n_bins), F.lit(0).cast("bigint")) for c in cols]))
-        for w in words
-    ]
-    return reduce(lambda a, b: a + b, parts)
+    """Number of different codes among the columns of one row; codes are 0..n_bins-1."""
+    xs = [as_col(c).cast("int") for c in cols]
+    lowest, highest = (f(*xs) if len(xs) > 1 else xs[0] for f in (F.least, F.greatest))
+    none = F.lit(0).cast("bigint")
+    parts = []
+    for w in range((n_bins + BITS_PER_WORD - 1) // BITS_PER_WORD):
+        bits = [F.coalesce(F.call_function("shiftleft", F.lit(1).cast("bigint"), x - w * BITS_PER_WORD), none) for x in xs]
+        if n_bins > BITS_PER_WORD:
+            bits = [F.when((x >= w * BITS_PER_WORD) & (x < (w + 1) * BITS_PER_WORD), b).otherwise(none) for x, b in zip(xs, bits)]
+        parts.append(F.bit_count(reduce(lambda a, b: a.bitwiseOR(b), bits)))
+    known = reduce(lambda a, b: a + b, parts)
+    outside = F.raise_error(F.lit(f"code outside 0..{n_bins - 1}"))
+    return F.when((lowest < 0) | (highest >= n_bins), outside).otherwise(known)
 
 
 def null_fraction(cols) -> Column:

@@ -42,6 +42,22 @@ def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list |
     return lagged(cold_rows, window).unionByName(joined)
 
 
+def aggregate_entities(df: DataFrame, id_col: str, aggs, hot: list, prepare=None) -> DataFrame:
+    """groupBy(id) for wide aggregates.
+
+    Ordinary entities have few rows per task, so combining before the shuffle saves nothing and
+    would move wide aggregation buffers; their narrow rows are moved instead, once, and folded
+    where they arrive. Hot entities are combined in every task first and send one row per task.
+    ``prepare(rows, hot)`` may add columns that need the rows of an entity in order.
+    """
+    made = prepare or (lambda rows, hot_: rows)
+    if not hot:
+        return made(df.repartition(id_col), []).groupBy(id_col).agg(*aggs)
+    cold_rows, hot_rows = split_hot(df, id_col, hot)
+    folded = made(cold_rows.repartition(id_col), []).groupBy(id_col).agg(*aggs)
+    return folded.unionByName(made(hot_rows, hot).groupBy(id_col).agg(*aggs))
+
+
 def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | None = None,
                  suffix: str = "_bin_sequence") -> DataFrame:
     """One row per id: the codes of each column joined in order, nulls skipped, null if none.
@@ -143,14 +159,22 @@ def with_running_sums(df: DataFrame, order_col: str, sums, group_cols=(), segmen
         *["total_" + s for s in sums])
 
 
-def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: int = 256) -> DataFrame:
-    """Exact linearly interpolated quantiles: one row per (group, feature), columns q0, q1, …
+SMALL_CELLS = 2_000_000
+
+
+def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: int = 256,
+                    small_cells: int = SMALL_CELLS) -> DataFrame:
+    """Exact linearly interpolated quantiles: one row per (group, feature), columns q0, q1, …;
+    nulls are left out.
 
-    The built-in exact percentile keeps every distinct value of a group in one task. Here values
-    are counted first (equal values become one row), cut into segments, and only the segments
-    that hold a wanted rank are sorted. Nulls are left out.
+    The built-in exact percentile keeps every distinct value of a group in one task, so it is used
+    up to ``small_cells`` values only. Beyond that values are cut into segments by order and
+    counted; the counts say which segments hold the wanted ranks, and only the values of those few
+    segments are shuffled (equal values combined first) and sorted.
     """
     group_cols, value_cols, probs = list(group_cols), list(value_cols), list(probs)
+    if df.count() * len(value_cols) <= small_cells:
+        return _small_quantiles(df, value_cols, probs, group_cols)
     grid = [i / segments for i in range(1, segments)]
     found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), grid, 10_000).alias(c) for c in value_cols]).first()
     cut = df
@@ -161,10 +185,8 @@ def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: i
         for i, c in enumerate(value_cols)])
     long = cut.select(*group_cols, F.explode(items).alias("i")).select(*group_cols, "i.*").where(F.col("value").isNotNull())
     keys = [*group_cols, "feature"]
-    counts = long.groupBy(*keys, "seg", "value").agg(F.count("*").alias("n"))
-    per_seg = counts.groupBy(*keys, "seg").agg(F.sum("n").alias("n"))
     over = W.partitionBy(*keys)
-    ranges = per_seg.select(
+    ranges = long.groupBy(*keys, "seg").agg(F.count("*").alias("n")).select(
         *keys, "seg", "n",
         (F.sum("n").over(over.orderBy("seg")) - F.col("n")).alias("before"),
         F.sum("n").over(over).alias("total"))
@@ -174,16 +196,16 @@ def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: i
         for i, p in enumerate(probs) for up in (0, 1)])
     wanted = (ranges.select(*keys, "seg", "before", "total", "n", F.explode(ranks).alias("r"))
               .where((F.col("r.k") >= F.col("before")) & (F.col("r.k") < F.col("before") + F.col("n")))
-              .select(*keys, "seg", "before", "total", "r.p", "r.up", "r.k"))
-    needed = wanted.select(*keys, "seg").distinct()
+              .groupBy(*keys, "seg", "before", "total").agg(F.collect_list("r").alias("ranks")))
+    counts = (long.join(wanted.select(*keys, "seg"), [*keys, "seg"], "left_semi")
+              .groupBy(*keys, "seg", "value").agg(F.count("*").alias("n")))
     inside = W.partitionBy(*keys, "seg").orderBy("value")
-    sorted_part = counts.join(needed, [*keys, "seg"], "left_semi").select(
-        *keys, "seg", "value", "n", (F.sum("n").over(inside) - F.col("n")).alias("at"))
-    hits = sorted_part.join(wanted, [*keys, "seg"]).where(
-        (F.col("k") >= F.col("before") + F.col("at")) & (F.col("k") < F.col("before") + F.col("at") + F.col("n")))
+    placed = counts.select(*keys, "seg", "value", "n", (F.sum("n").over(inside) - F.col("n")).alias("at"))
+    hits = (placed.join(wanted, [*keys, "seg"]).select(*keys, "value", "at", "n", "before", "total", F.explode("ranks").alias("r"))
+            .where((F.col("r.k") >= F.col("before") + F.col("at")) & (F.col("r.k") < F.col("before") + F.col("at") + F.col("n"))))
 
     def pick(i, up):
-        return F.max(F.when((F.col("p") == i) & (F.col("up") == up), F.col("value")))
+        return F.max(F.when((F.col("r.p") == i) & (F.col("r.up") == up), F.col("value")))
 
     def quantile(i, p):
         lo, hi = pick(i, 0), pick(i, 1)
@@ -191,3 +213,10 @@ def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: i
         return lo + (hi - lo) * (pos - F.floor(pos))
 
     return hits.groupBy(*keys).agg(*[quantile(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
+
+
+def _small_quantiles(df, value_cols, probs, group_cols):
+    found = df.groupBy(*group_cols).agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in value_cols])
+    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in value_cols])
+    return (found.select(*group_cols, F.explode(items).alias("i")).where(F.col("i.q").isNotNull())
+            .select(*group_cols, "i.feature", *[F.col("i.q")[i].alias(f"q{i}") for i in range(len(probs))]))

@@ -59,14 +59,18 @@ def is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, NumericType)
 
 
-def distinct_above(df: DataFrame, cols, limit: int) -> dict[str, bool]:
-    """Whether a column has more than ``limit`` distinct values. A sketch decides the clear cases
-    in one pass; only columns near the limit are counted exactly (their sets are then small)."""
-    if not cols:
-        return {}
-    row = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in cols]).first()
-    out = {c: row[c] > limit for c in cols}
-    near = [c for c in cols if 0.5 * limit <= row[c] <= 2 * limit]
+def profile(df: DataFrame, cols) -> tuple[int, dict, dict]:
+    """(rows, null share by column, about how many distinct values by column) in one pass."""
+    row = df.agg(F.count("*").alias("n"), F.struct(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols]).alias("m"),
+                 F.struct(*[F.approx_count_distinct(c, 0.03).alias(c) for c in cols]).alias("d")).first()
+    return row["n"], row["m"].asDict(), row["d"].asDict()
+
+
+def distinct_above(df: DataFrame, about: dict[str, int], limit: int) -> dict[str, bool]:
+    """Whether a column has more than ``limit`` distinct values. The sketch decides the clear
+    cases; only columns near the limit are counted exactly (their sets are then small)."""
+    out = {c: n > limit for c, n in about.items()}
+    near = [c for c, n in about.items() if 0.5 * limit <= n <= 2 * limit]
     if near:
         exact = df.agg(*[F.size(F.collect_set(c)).alias(c) for c in near]).first()
         out.update({c: exact[c] > limit for c in near})
@@ -82,23 +86,6 @@ def guard_table(df: DataFrame, cols, limit: int) -> DataFrame:
     return counts.select("feature", "n_distinct", (~stays).alias("is_category"))
 
 
-def constant_columns(df: DataFrame, cols, bound: float) -> list[str]:
-    """Columns whose most frequent value (null included) has a share above the bound.
-
-    Such a value is always found by a frequent-items sketch of fixed size, so each column gets at
-    most a few candidates in one pass, and a second pass counts those exactly."""
-    if not cols:
-        return []
-    text = {c: F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in cols}
-    slim = df.select(*[text[c].alias(c) for c in cols])
-    row = slim.agg(*[F.expr(f"approx_top_k(`{c}`, 1, 1024)").alias(c) for c in cols]).first()
-    candidates = {c: row[c][0]["item"] for c in cols if row[c]}
-    if not candidates:
-        return []
-    exact = slim.agg(*[F.avg((F.col(c) == v).cast("int")).alias(c) for c, v in candidates.items()]).first()
-    return [c for c in cols if c in candidates and exact[c] is not None and exact[c] > bound]
-
-
 def numeric_fills(df: DataFrame, cols, strategy: str) -> DataFrame:
     """(feature, fill): exact median or mean; 0 for a column without values."""
     if strategy == "median":
@@ -159,35 +146,39 @@ class TablePreprocessor(Estimator):
         wanted = [c for c in df.columns if c not in skip
                   and not any(c.startswith(p) for p in cfg.prefix_excludes)
                   and not any(c.endswith(s) for s in cfg.suffix_excludes)]
-        above = distinct_above(df, [c for c in wanted if is_numeric(df, c)], cfg.max_cardinality)
+        n, missing, about = profile(df, df.columns)
+        above = distinct_above(df, {c: about[c] for c in wanted if is_numeric(df, c)}, cfg.max_cardinality)
         st.high_cardinality = [c for c in wanted if above.get(c)]
         st.cast_categorical = [c for c in wanted if not above.get(c)]
         kept = [c for c in df.columns if c not in cfg.drop_cols]
-        missing = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in kept]).first()
         empty = [c for c in kept if missing[c] is not None and missing[c] > cfg.max_missing]
-        constant = constant_columns(df, [c for c in kept if c not in empty], cfg.max_constant)
+        left = [c for c in kept if c not in empty]
+        # a value above the constant bound leaves at most (1 - bound) n other values, so columns
+        # with clearly more distinct values are not counted
+        room = 1.5 * (1 - cfg.max_constant) * n + 10
+        counted = [c for c in left if c in st.cast_categorical or about[c] <= room]
+        tops = self._most_frequent(df, counted)
+        constant = [c for c in counted if tops[c] and tops[c][0][1] / n > cfg.max_constant]
         st.drop = [*cfg.drop_cols, *empty, *constant]
-        live = [c for c in kept if c not in st.drop and c != cfg.target_col]  # a label passes unchanged
+        live = [c for c in left if c not in st.drop and c != cfg.target_col]  # a label passes unchanged
         st.categorical = [c for c in live if c in st.cast_categorical]
         st.numeric = [c for c in live if c not in st.cast_categorical]
-        self._learn_categories(df, st)
+        for c in st.categorical:
+            known = [v for v, _ in tops[c] if v is not None][:max(cfg.top_n, 1)]
+            if c not in cfg.skip_imputation:
+                st.fills[c] = known[0] if cfg.cat_fill == "mode" and known else UNKNOWN
+            st.tops[c] = known[:cfg.top_n]
         self._learn_numbers(df, st)
         return TablePreprocessorModel(cfg, st)
 
-    def _learn_categories(self, df: DataFrame, st: TableState) -> None:
-        cfg = self.config
-        if not st.categorical:
-            return
-        st.tops = {c: [] for c in st.categorical}
-        counts = value_counts(df, st.categorical, kind="string")
-        n = max(cfg.top_n, 1)
-        for r in top_values(counts, n).orderBy("feature", "rank").collect():
-            st.tops[r["feature"]].append(r["value"])
-        for c in st.categorical:
-            if c not in cfg.skip_imputation:
-                top = st.tops[c]
-                st.fills[c] = top[0] if cfg.cat_fill == "mode" and top else UNKNOWN
-        st.tops = {c: v[:cfg.top_n] for c, v in st.tops.items()}
+    def _most_frequent(self, df: DataFrame, cols) -> dict[str, list]:
+        """Per column the most frequent values with their counts, a null being a value."""
+        out: dict[str, list] = {c: [] for c in cols}
+        if cols:
+            counts = value_counts(df, cols, kind="string", keep_null=True)
+            for r in top_values(counts, max(self.config.top_n, 1) + 1).collect():
+                out[r["feature"]].append((r["rank"], r["value"], r["cnt"]))
+        return {c: [(v, k) for _, v, k in sorted(found, key=lambda t: t[0])] for c, found in out.items()}
 
     def _learn_numbers(self, df: DataFrame, st: TableState) -> None:
         cfg = self.config

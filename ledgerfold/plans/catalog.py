@@ -33,22 +33,27 @@ WEIGHTS = {"x1": 0.7, "x2": -0.02}
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to a fixed number of digits, since the order of a sum is not fixed; no minus zero."""
-    return df.select([
-        (F.round(F.col(f.name).cast("double"), DIGITS) + F.lit(0.0)).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name) for f in df.schema.fields])
+    def cut(c):
+        x = F.col(c).cast("double")
+        whole = F.floor(F.abs(x) * 10.0**DIGITS + 0.5)
+        return F.when(x < 0, -whole).otherwise(whole) / F.lit(10.0**DIGITS) + F.lit(0.0)
 
+    return df.select([cut(f.name).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+                      for f in df.schema.fields])
 
-def by_id(*columns):
-    """A query that aggregates the history per id with the given block."""
+
+def by_id(make):
+    """A query that aggregates the history per id. The block is made when the query runs: columns
+    need a session."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return rounded(V.history(spark, sf).groupBy("id").agg(*columns))
+        return rounded(V.history(spark, sf).groupBy("id").agg(*make()))
     return run
 
 
-def by_row(**columns):
-    """A query that adds columns to each history row."""
+def by_row(make):
+    """A query that adds columns (name -> expression) to each history row."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return rounded(V.history(spark, sf).select(*ROW, *[e.alias(n) for n, e in columns.items()]))
+        return rounded(V.history(spark, sf).select(*ROW, *[e.alias(n) for n, e in make().items()]))
     return run
 
 
@@ -550,8 +555,11 @@ def one_hot_encode(spark, sf):
     t, train = _cat_split(spark, sf)
     cats = EN.categories_of(EN.fit_categories(train, ["p_type"]), ["p_type"])
     hot = EN.one_hot_encode(t.select("id", "p_type"), {**cats, "gone": ["x"]})
-    names = [c for c in hot.columns if c != "id"]
-    return hot.select("id", *[F.col(f"`{c}`").alias("hot_" + c.replace("p_type_", "").lower()) for c in names])
+    wide = hot.drop("gone_x").where(F.col("gone_x") == 0)
+    names = [c for c in wide.columns if c != "id"]
+    # the set of columns depends on the data, so the registered result is its long form
+    return (ST.melt(wide, names, ["id"], "int").where(F.col("value") == 1)
+            .select("id", F.substring_index("feature", "p_type_", -1).alias("category"), F.col("value").alias("hot")))
 
 
 def freeze_categories(spark, sf):
@@ -740,41 +748,40 @@ QUERIES = {
     "save_load_stats": save_load_stats, "feature_schema": feature_schema, "decimal_to_double": decimal_to_double,
     "split_ids_scan": split_ids_scan, "filter_bad_rows": filter_bad_rows, "select_by_pattern": select_by_pattern,
     "select_except": select_except,
-    "bool_to_int": by_row(a=X.flag_int("is_zero_a"), not_b=X.not_flag_int("is_zero_b")),
-    "case_when_flags": by_row(any_off=X.any_flag_off(["is_zero_a", "is_zero_b", "is_zero_c"])),
-    "safe_ratio": by_row(ratio=X.safe_ratio("pre_disc", "pre_tax")),
+    "bool_to_int": by_row(lambda: dict(a=X.flag_int("is_zero_a"), not_b=X.not_flag_int("is_zero_b"))),
+    "case_when_flags": by_row(lambda: dict(any_off=X.any_flag_off(["is_zero_a", "is_zero_b", "is_zero_c"]))),
+    "safe_ratio": by_row(lambda: dict(ratio=X.safe_ratio("pre_disc", "pre_tax"))),
     "regexp_month": regexp_month,
-    "in_list": by_row(is_in=X.in_values("pre_part", [1, 2]), not_in=~X.in_values("pre_part", [1, 2]),
-                      in_array=X.in_values("pre_part", F.array(F.lit(0), F.lit(5)))),
-    "coalesce_false": by_row(hit=X.false_if_null(C_("pre_part") == 3)),
-    "log_entropy_term": by_row(term=X.entropy_term((C_("pre_disc") + 1) / F.lit(11.0))),
-    "concat_codes": by_row(pair=X.concat_codes("pre_part", "pre_disc")),
-    "bucket_label": by_row(bucket=X.bucket_label(X.safe_ratio("pre_disc", C_("pre_qty") * 4))),
-    "row_mean": by_row(mean=X.row_mean(["pre_part", "grid_3", "grid_5"])),
-    "threshold_flag": by_row(high=X.at_least(C_("pre_part") / F.lit(6.0), 0.95), any_above=X.any_above([("pre_part", 4), ("grid_5", 3)])),
-    "clip": by_row(clipped=X.clip("pre_part", 1, 5)),
-    "cast_to_category": by_row(category=X.to_category("pre_part")),
+    "in_list": by_row(lambda: dict(is_in=X.in_values("pre_part", [1, 2]), not_in=~X.in_values("pre_part", [1, 2]), in_array=X.in_values("pre_part", F.array(F.lit(0), F.lit(5))))),
+    "coalesce_false": by_row(lambda: dict(hit=X.false_if_null(C_("pre_part") == 3))),
+    "log_entropy_term": by_row(lambda: dict(term=X.entropy_term((C_("pre_disc") + 1) / F.lit(11.0)))),
+    "concat_codes": by_row(lambda: dict(pair=X.concat_codes("pre_part", "pre_disc"))),
+    "bucket_label": by_row(lambda: dict(bucket=X.bucket_label(X.safe_ratio("pre_disc", C_("pre_qty") * 4)))),
+    "row_mean": by_row(lambda: dict(mean=X.row_mean(["pre_part", "grid_3", "grid_5"]))),
+    "threshold_flag": by_row(lambda: dict(high=X.at_least(C_("pre_part") / F.lit(6.0), 0.95), any_above=X.any_above([("pre_part", 4), ("grid_5", 3)]))),
+    "clip": by_row(lambda: dict(clipped=X.clip("pre_part", 1, 5))),
+    "cast_to_category": by_row(lambda: dict(category=X.to_category("pre_part"))),
     "join_mart_blocks": join_mart_blocks, "join_target_left": join_target_left, "join_train_ids_semi": join_train_ids_semi,
     "cross_join_global": cross_join_global, "join_local_modes": join_local_modes, "isin_split": isin_split,
-    "loan_counts": by_id(*B.history_counts("rn")),
-    "last_snapshot": by_id(*B.snapshots(V.MART_V1.last, "seq", "last")),
-    "first_snapshot": by_id(*B.snapshots(V.MART_V1.first, "seq", "first")),
-    "flag_shares": by_id(*B.flag_shares(V.MART_V1.shares, V.MART_V1.ever_off)),
+    "loan_counts": by_id(lambda: B.history_counts("rn")),
+    "last_snapshot": by_id(lambda: B.snapshots(V.MART_V1.last, "seq", "last")),
+    "first_snapshot": by_id(lambda: B.snapshots(V.MART_V1.first, "seq", "first")),
+    "flag_shares": by_id(lambda: B.flag_shares(V.MART_V1.shares, V.MART_V1.ever_off)),
     "global_mode": global_mode, "local_mode": local_mode, "global_non_dominant": global_non_dominant,
     "local_non_dominant": local_non_dominant,
-    "distinct_counts": by_id(*B.distinct_counts(V.CODES)),
+    "distinct_counts": by_id(lambda: B.distinct_counts(V.CODES)),
     "bin_sequence": bin_sequence,
-    "ever_changed": by_id(*B.ever_changed(V.MART_V1.sequences)),
-    "first_eq_last": by_id(*B.first_eq_last(V.MART_V1.first_eq_last, "seq")),
+    "ever_changed": by_id(lambda: B.ever_changed(V.MART_V1.sequences)),
+    "first_eq_last": by_id(lambda: B.first_eq_last(V.MART_V1.first_eq_last, "seq")),
     "mart_v1": mart_v1,
     "value_counts": value_counts, "mode_per_feature": mode_per_feature, "rare_bins": rare_bins,
     "fit_population_stats": fit_population_stats, "inject_stats": inject_stats,
-    "base_counters": by_id(*B.base_counters("rn", V.MART_V2.flags)),
-    "overdue_util": by_id(*B.zero_flags(V.MART_V2.overdue, "has_overdue"), *B.zero_flags(V.MART_V2.usage, "has_nonzero", ("c",))),
-    "composite_overdue": by_id(*B.composite_overdue(V.MART_V2.serious, V.MART_V2.any, V.MART_V2.mild)),
+    "base_counters": by_id(lambda: B.base_counters("rn", V.MART_V2.flags)),
+    "overdue_util": by_id(lambda: [*B.zero_flags(V.MART_V2.overdue, "has_overdue"), *B.zero_flags(V.MART_V2.usage, "has_nonzero", ("c",))]),
+    "composite_overdue": by_id(lambda: B.composite_overdue(V.MART_V2.serious, V.MART_V2.any, V.MART_V2.mild)),
     "change_count": change_count, "changed_ever": changed_ever, "share_global_mode": share_global_mode,
     "share_rare_bins": share_rare_bins,
-    "cat_nunique_first_last": by_id(*B.nunique_first_last(["pre_disc", "pre_part"], "seq")),
+    "cat_nunique_first_last": by_id(lambda: B.nunique_first_last(["pre_disc", "pre_part"], "seq")),
     "mart_v2": mart_v2,
     "unpivot_grid": unpivot_grid, "grid_entropy": grid_entropy,
     "grid_outside_normal": _regular(["paym_regular_entropy", "paym_regular_outside_0_3_count", "paym_regular_outside_0_3_share"]),

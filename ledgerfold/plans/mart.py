@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.operators import blocks as B
 from ledgerfold.operators import grid as G
-from ledgerfold.operators.ordered import ordered_text, with_previous
+from ledgerfold.operators.ordered import aggregate_entities, ordered_text, with_previous
 from ledgerfold.operators.skew import hot_keys
 from ledgerfold.operators.stats import global_modes, inject_modes, inject_stats
 from ledgerfold.sources.readers import join_target
@@ -79,9 +79,10 @@ def mart_v1(df: DataFrame, keys: HistorySpec, spec: SnapshotMart, target: DataFr
     """Snapshots, flag shares, distance from population and own modes, diversity, code sequences
     and the month grid, one row per entity. The population mode is that of the rows given."""
     rows = df.where(F.col(keys.id).isNotNull())
+    hot = hot_keys(rows, keys.id) if hot is None else hot
     frame, modes = inject_modes(rows, global_modes(rows, spec.coded), spec.coded)
     g = spec.grid
-    wide = frame.groupBy(keys.id).agg(
+    wide = aggregate_entities(frame, keys.id, [
         *B.history_counts(keys.rn),
         *B.snapshots(spec.last, keys.order, "last"),
         *B.snapshots(spec.first, keys.order, "first"),
@@ -93,9 +94,9 @@ def mart_v1(df: DataFrame, keys: HistorySpec, spec: SnapshotMart, target: DataFr
         *B.first_eq_last(spec.first_eq_last, keys.order),
         *G.grid_regular(rows.columns, g.pattern, g.special, g.normal, g.ever, g.n_codes),
         *G.grid_special(rows.columns, g.pattern, g.special, g.special_normal, g.worst),
-    )
-    # the ordered text keeps its own aggregate: the wide one stays a hash aggregate that combines
-    # map-side, and both sides of the join are already partitioned by id
+    ], hot)
+    # the ordered text keeps its own aggregate, so that the wide one stays a hash aggregate; both
+    # sides of the join are already partitioned by id
     text = ordered_text(rows, keys.id, keys.order, spec.sequences, hot)
     out = wide.join(text, keys.id, "left")
     return join_target(out, target, keys.id) if target is not None else out
@@ -106,19 +107,23 @@ def mart_v2(df: DataFrame, keys: HistorySpec, spec: LeakFreeMart, stats: DataFra
     """The leak-free mart: population statistics come from outside (training entities only)."""
     rows = df.where(F.col(keys.id).isNotNull())
     changing = list(dict.fromkeys(spec.having("change_count") + spec.having("changed_ever")))
-    hot = hot_keys(rows, keys.id) if hot is None and changing else hot
-    frame = with_previous(rows, keys.id, keys.order, changing, hot) if changing else rows
-    frame, modes, rare = inject_stats(frame, stats, list(spec.coded))
+    hot = hot_keys(rows, keys.id) if hot is None else hot
+    frame, modes, rare = inject_stats(rows, stats, list(spec.coded))
     g = spec.grid
-    frame = frame.select("*", *G.grid_row_stats(rows.columns, g.pattern, g.shares, g.n_codes))
-    out = frame.groupBy(keys.id).agg(
+
+    def in_order(part, hot_):
+        # after the shuffle, so that it carries the month columns as they are
+        part = part.select("*", *G.grid_row_stats(rows.columns, g.pattern, g.shares, g.n_codes))
+        return with_previous(part, keys.id, keys.order, changing, hot_) if changing else part
+
+    out = aggregate_entities(frame, keys.id, [
         *B.base_counters(keys.rn, spec.flags),
         *B.zero_flags(spec.overdue, "has_overdue"),
         *B.zero_flags(spec.usage, "has_nonzero", spec.usage_counted),
         *B.composite_overdue(spec.serious, spec.any, spec.mild),
         *G.grid_entity_agg(g.shares),
         *coded_block(spec, keys, modes, rare, null_as_zero),
-    )
+    ], hot, in_order)
     return join_target(out, target, keys.id) if target is not None else out
 
 

@@ -16,10 +16,11 @@ def r(x: str, name: str) -> str:
 
 H = """h AS (
  SELECT l_orderkey AS id, l_linenumber AS rn,
-  CAST(l_linenumber AS BIGINT) * 4503599627370496 + CAST('0x' || substr(md5(concat_ws('|',
-   CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR), CAST(CAST(round(l_quantity * 100) AS BIGINT) AS VARCHAR),
-   CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR), CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR),
-   CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR), l_returnflag, l_linestatus)), 1, 13) AS BIGINT) AS seq,
+  CAST(l_linenumber AS BIGINT) * 4503599627370496 + ((l_partkey % 1000003) * 2000000011 + (l_suppkey % 1000003) * 1000000007
+   + CAST(round(l_extendedprice * 100) AS BIGINT) * 9999991 + CAST(floor(l_quantity) AS BIGINT) * 7368787
+   + CAST(round(l_discount * 100) AS BIGINT) * 15485863 + CAST(round(l_tax * 100) AS BIGINT) * 3276509
+   + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END * 99991
+   + CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END * 7919) % 4503599627370496 AS seq,
   CAST(round(l_discount * 100) AS INTEGER) AS pre_disc, CAST(round(l_tax * 100) AS INTEGER) AS pre_tax,
   CAST(floor(l_quantity / 5) AS INTEGER) AS pre_qty,
   CASE WHEN l_suppkey % 10 = 0 THEN NULL ELSE CAST(l_partkey % 7 AS INTEGER) END AS pre_part,
@@ -571,6 +572,8 @@ def oracle() -> dict[str, str]:
     o["ordinal_encode"] = q(TXT, f"SELECT p_partkey AS id, {enc('p_brand')}, {enc('p_type')} FROM tx")
     o["freeze_categories"] = q(TXT, "SELECT p_partkey AS id, CASE WHEN p_brand IN (SELECT p_brand FROM trn) THEN p_brand END AS p_brand, "
                                "CASE WHEN p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL) THEN p_type END AS p_type FROM tx")
+    # long form: one line per (row, fitted category) that is set, as the fitted set is data
+    o["one_hot_encode"] = q(TXT, "SELECT p_partkey AS id, p_type AS category, 1 AS hot FROM tx WHERE p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL)")
     # metrics and errors
     o["class_weights"] = q(T, f"SELECT flag, count(*) AS n, {r('max(count(*)) OVER () / CAST(count(*) AS DOUBLE)', 'weight')} FROM t GROUP BY flag")
     o["confusion_matrix"] = q(S, "SELECT actual, predicted, count(*) AS n FROM s GROUP BY actual, predicted")

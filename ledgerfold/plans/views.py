@@ -38,22 +38,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as entity history. ``rn`` is the line number, which repeats within an order;
-    ``seq`` refines it by a digest of all columns used here, so rows that tie are equal in every
-    column and no ranking is needed."""
+    ``seq`` refines it by a mix of all columns used here, so it orders an entity's rows without a
+    ranking over the entity."""
     c = F.col
-    cents = [F.round(c(x) * 100).cast("bigint").cast("string") for x in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
-    whole = F.concat_ws("|", c("l_partkey").cast("string"), c("l_suppkey").cast("string"), *cents,
-                        "l_returnflag", "l_linestatus")
-    digest = F.conv(F.substring(F.md5(whole), 1, 13), 16, 10).cast("bigint")
-    disc, tax = F.round(c("l_discount") * 100).cast("int"), F.round(c("l_tax") * 100).cast("int")
+    disc, tax, price = (F.floor(c(x) * 100 + 0.5).cast("bigint") for x in ("l_discount", "l_tax", "l_extendedprice"))
+    disc, tax = disc.cast("int"), tax.cast("int")
     qty = F.floor(c("l_quantity") / 5).cast("int")
     part = F.when(c("l_suppkey") % 10 != 0, (c("l_partkey") % 7).cast("int"))
+    ret = F.when(c("l_returnflag") == "A", 0).when(c("l_returnflag") == "N", 1).when(c("l_returnflag") == "R", 2)
+    stat = F.when(c("l_linestatus") == "F", 0).when(c("l_linestatus") == "O", 1)
+    mix = ((c("l_partkey") % 1000003) * 2000000011 + (c("l_suppkey") % 1000003) * 1000000007 + price * 9999991
+           + F.floor(c("l_quantity")).cast("bigint") * 7368787 + disc * F.lit(15485863) + tax * F.lit(3276509) + ret * F.lit(99991) + stat * F.lit(7919))
     return table(spark, sf_dir, "lineitem").select(
         c("l_orderkey").alias("id"), c("l_linenumber").alias("rn"),
-        (c("l_linenumber").cast("bigint") * F.lit(2**52) + digest).alias("seq"),
+        (c("l_linenumber").cast("bigint") * F.lit(2**52) + mix % F.lit(2**52)).alias("seq"),
         disc.alias("pre_disc"), tax.alias("pre_tax"), qty.alias("pre_qty"), part.alias("pre_part"),
-        F.when(c("l_returnflag") == "A", 0).when(c("l_returnflag") == "N", 1).when(c("l_returnflag") == "R", 2).alias("enc_ret"),
-        F.when(c("l_linestatus") == "F", 0).when(c("l_linestatus") == "O", 1).alias("enc_stat"),
+        ret.alias("enc_ret"),
+        stat.alias("enc_stat"),
         (c("l_discount") <= 0.03).alias("is_zero_a"), (c("l_tax") <= 0.02).alias("is_zero_b"),
         (c("l_quantity") < 40).alias("is_zero_c"),
         (c("l_returnflag") == "R").alias("pclose_flag"), (c("l_linestatus") == "F").alias("fclose_flag"),
