@@ -84,12 +84,26 @@ def row_mean(cols) -> Column:
 
 
 def count_present(cols) -> Column:
-    return reduce(lambda a, b: a + b, [as_col(c).isNotNull().cast("int") for c in cols])
+    return sum_of([f"int({t} IS NOT NULL)" for t in texts(cols)]) if named(cols) else \
+        reduce(lambda a, b: a + b, [c.isNotNull().cast("int") for c in cols])
 
 
-def count_equal(cols, value) -> Column:
-    """How many of the columns equal the value; nulls do not count."""
-    return reduce(lambda a, b: a + b, [F.when(as_col(c) == value, 1).otherwise(0) for c in cols])
+def count_equal(cols, value: int) -> Column:
+    """How many of the columns equal the code; nulls do not count."""
+    return sum_of([f"int({t} <=> {int(value)})" for t in texts(cols)])
+
+
+def named(cols) -> bool:
+    return all(isinstance(c, str) for c in cols)
+
+
+def texts(cols) -> list[str]:
+    return [f"`{c}`" for c in cols]
+
+
+def sum_of(terms) -> Column:
+    """One expression text for wide sums: building it column by column costs a driver call each."""
+    return F.expr(" + ".join(terms))
 
 
 def at_least(x: Column | str, bound: float) -> Column:
@@ -130,18 +144,16 @@ def code_bit(c: Column | str, word: int = 0, n_bins: int = BITS_PER_WORD) -> Col
 
 def row_bits(cols, n_bins: int = BITS_PER_WORD) -> Column:
     """Number of different codes among the columns of one row; codes are 0..n_bins-1."""
-    xs = [as_col(c).cast("int") for c in cols]
-    lowest, highest = (f(*xs) if len(xs) > 1 else xs[0] for f in (F.least, F.greatest))
-    none = F.lit(0).cast("bigint")
-    parts = []
+    xs = [f"int({t})" for t in texts(cols)]
+    words = []
     for w in range((n_bins + BITS_PER_WORD - 1) // BITS_PER_WORD):
-        bits = [F.coalesce(F.call_function("shiftleft", F.lit(1).cast("bigint"), x - w * BITS_PER_WORD), none) for x in xs]
+        bits = [f"coalesce(shiftleft(1L, {x} - {w * BITS_PER_WORD}), 0L)" for x in xs]
         if n_bins > BITS_PER_WORD:
-            bits = [F.when((x >= w * BITS_PER_WORD) & (x < (w + 1) * BITS_PER_WORD), b).otherwise(none) for x, b in zip(xs, bits)]
-        parts.append(F.bit_count(reduce(lambda a, b: a.bitwiseOR(b), bits)))
-    known = reduce(lambda a, b: a + b, parts)
-    outside = F.raise_error(F.lit(f"code outside 0..{n_bins - 1}"))
-    return F.when((lowest < 0) | (highest >= n_bins), outside).otherwise(known)
+            bits = [f"IF({x} DIV {BITS_PER_WORD} = {w}, {b}, 0L)" for x, b in zip(xs, bits)]
+        words.append(f"bit_count({' | '.join(bits)})")
+    lowest, highest = (f"{f}({', '.join(xs)})" if len(xs) > 1 else xs[0] for f in ("least", "greatest"))
+    outside = f"raise_error('code outside 0..{n_bins - 1}')"
+    return F.expr(f"CASE WHEN {lowest} < 0 OR {highest} >= {n_bins} THEN {outside} ELSE {' + '.join(words)} END")
 
 
 def null_fraction(cols) -> Column:

@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerfold.operators.ordered import with_running_sums
+from ledgerfold.operators.skew import text_bounds, text_segment
 from ledgerfold.operators.stats import melt, value_counts
 
 
 def fit_categories(df: DataFrame, cols) -> DataFrame:
-    """(feature, value, code): distinct values in sorted order, numbered from 0. For category
-    columns, whose number of values the cardinality guard bounds."""
-    distinct = value_counts(df, cols, kind="string").select("feature", "value")
-    return distinct.withColumn("code", F.row_number().over(W.partitionBy("feature").orderBy("value")) - 1)
+    """(feature, value, code): distinct values in sorted order, numbered from 0. Text columns may
+    have very many values, so the order is taken inside segments of the sorted texts."""
+    distinct = value_counts(df, cols, kind="string").select("feature", "value").withColumn("_one", F.lit(1))
+    bounds = text_bounds(distinct, "value")
+    cut = distinct.withColumn("_cut", text_segment("value", bounds))
+    ranked = with_running_sums(cut, "value", ["_one"], ["feature"], segment="_cut")
+    return ranked.select("feature", "value", F.col("before__one").cast("int").alias("code"))
 
 
 def categories_of(fitted: DataFrame, cols) -> dict[str, list[str]]:

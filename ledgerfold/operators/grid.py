@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.naming import grid_columns, select_names
-from ledgerfold.functions.scalar import count_equal, count_present, row_bits, safe_ratio
+from ledgerfold.functions.scalar import count_equal, count_present, row_bits, safe_ratio, sum_of
 
 
 def unpivot_grid(df: DataFrame, id_cols, pattern: str, name: str = "month", value: str = "status") -> DataFrame:
@@ -34,11 +34,9 @@ def grid_row_stats(columns, pattern: str, codes, n_bins: int = 64, prefix: str =
     code, share of each wanted code. A row without any status gives nulls."""
     cols = [c for _, c in grid_columns(columns, pattern)]
     n = count_present(cols)
-    changes = []
-    for i in range(1, len(cols)):
-        before = F.coalesce(*[F.col(c) for c in reversed(cols[:i])])
-        changes.append(F.when(F.col(cols[i]) != before, 1).otherwise(0))
-    change_total = reduce(lambda a, b: a + b, changes) if changes else F.lit(0)
+    changes = [f"coalesce(int(`{c}` <> coalesce({', '.join(f'`{p}`' for p in reversed(cols[:i]))})), 0)"
+               for i, c in enumerate(cols) if i]
+    change_total = sum_of(changes) if changes else F.lit(0)
     out = [
         F.when(n > 0, row_bits(cols, n_bins)).alias(f"{prefix}_nunique"),
         F.when(n > 1, change_total).alias(f"{prefix}_change_count"),

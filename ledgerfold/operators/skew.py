@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # An entity below this many rows is sorted by one task without trouble.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 # The sketch tracks TRACKED items; at most MAX_HOT of them are returned (a bound on the driver).
 TRACKED = 16_384
 MAX_HOT = 1_000
@@ -58,6 +58,25 @@ def with_segment(df: DataFrame, column: str, bounds: list[float], name: str = "_
     return cut.transform(df.withColumn(tmp, F.col(column).cast("double"))).drop(tmp)
 
 
+def text_bounds(df: DataFrame, column: str, segments: int = SEGMENTS, sample: int = 4096) -> list[str]:
+    """Inner bounds that cut the distinct texts of a column into about equal parts; empty when
+    there are fewer than ``sample`` of them. The sample is the texts of smallest hash: a top-n per
+    task, of fixed size on the driver, and the same on every run."""
+    found = (df.where(F.col(column).isNotNull()).select(column).distinct()
+             .orderBy(F.xxhash64(column), column).limit(sample).collect())
+    if len(found) < sample:
+        return []
+    texts = sorted(r[0] for r in found)
+    return [texts[i * sample // segments] for i in range(1, segments)]
+
+
+def text_segment(column: str, bounds: list[str]):
+    """Number of bounds at or below the text: order-preserving, row-local."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(column)))
+
+
 def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
     """(cold rows, hot rows); a null key is cold."""
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))

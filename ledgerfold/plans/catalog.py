@@ -34,9 +34,8 @@ WEIGHTS = {"x1": 0.7, "x2": -0.02}
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to a fixed number of digits, since the order of a sum is not fixed; no minus zero."""
     def cut(c):
-        x = F.col(c).cast("double")
-        whole = F.floor(F.abs(x) * 10.0**DIGITS + 0.5)
-        return F.when(x < 0, -whole).otherwise(whole) / F.lit(10.0**DIGITS) + F.lit(0.0)
+        whole = f"floor(abs(double(`{c}`)) * 1e{DIGITS}D + 0.5D)"
+        return F.expr(f"IF(`{c}` < 0, -{whole}, {whole}) / 1e{DIGITS}D + 0D")
 
     return df.select([cut(f.name).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                       for f in df.schema.fields])

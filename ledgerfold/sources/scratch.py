@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder the cluster names in spark.checkpoint.dir; one of our own only where that is
+    unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="ledgerfold-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    if not _local:
+        _local.append(tempfile.mkdtemp(prefix="ledgerfold-"))
+    return _local[0]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -92,3 +92,13 @@ def test_permutation_keeps_all_values(spark, skewed):
     assert sorted(r["b"] for r in out.collect()) == sorted(r["b"] for r in df.collect())
     assert rows_of(out.drop("b")) == rows_of(df.drop("b"))
     assert rows_of(out) != rows_of(df)
+
+
+def test_text_codes_across_segments(spark):
+    from ledgerfold.operators.encode import fit_categories
+    from ledgerfold.operators.skew import text_bounds
+
+    df = spark.range(6000).select(F.md5(F.col("id").cast("string")).alias("t"))
+    assert len(text_bounds(df, "t")) == 255
+    codes = {r["value"]: r["code"] for r in fit_categories(df, ["t"]).collect()}
+    assert codes == {t: i for i, t in enumerate(sorted(codes))} and len(codes) == 6000
