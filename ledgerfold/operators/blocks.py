@@ -49,11 +49,11 @@ def flag_shares(shares, ever=None) -> list[Column]:
     return out + [F.max(not_flag_int(f)).alias(name) for name, f in (ever or {}).items()]
 
 
-def zero_flags(zero_flags_, off_name: str, counted=()) -> list[Column]:
+def zero_flags(flags, off_name: str, counted=()) -> list[Column]:
     """Per zero-indicator (name -> flag): share of rows at zero, whether any row is off zero and,
     for names in ``counted``, how many."""
     out = []
-    for name, f in zero_flags_.items():
+    for name, f in flags.items():
         out += [F.avg(flag_int(f)).alias(f"{name}_zero_share"), F.max(not_flag_int(f)).alias(f"{name}_{off_name}")]
         if name in counted:
             out.append(F.sum(not_flag_int(f)).alias(f"{name}_nonzero_count"))

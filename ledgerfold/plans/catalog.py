@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -239,23 +240,19 @@ def inject_stats(spark, sf):
     return frame.select(*ROW, m["pre_disc"].alias("m_pre_disc"), X.false_if_null(F.array_contains(r["pre_qty"], F.col("pre_qty"))).alias("rare_qty"))
 
 
-def _stat_shares(null_as_zero):
-    def run(spark, sf):
-        h = V.history(spark, sf)
-        frame, m, r = ST.inject_stats(h, ST.stats_of(train_history(spark, sf), STAT_COLS), STAT_COLS)
-        return frame, m, r, null_as_zero
-    return run
+def _with_stats(spark, sf):
+    return ST.inject_stats(V.history(spark, sf), ST.stats_of(train_history(spark, sf), STAT_COLS), STAT_COLS)
 
 
 def share_global_mode(spark, sf):
-    frame, m, _, _ = _stat_shares(True)(spark, sf)
+    frame, m, _ = _with_stats(spark, sf)
     cols = {c: m[c] for c in ("pre_disc", "pre_part")}
-    dense = [c.alias(n) for c, n in zip(B.share_global_mode({"pre_part": m["pre_part"]}, False), ["pre_part_share_of_known"])]
-    return rounded(frame.groupBy("id").agg(*B.share_global_mode(cols), *dense))
+    known = B.share_global_mode({"pre_part": m["pre_part"]}, null_as_zero=False)[0].alias("pre_part_share_of_known")
+    return rounded(frame.groupBy("id").agg(*B.share_global_mode(cols), known))
 
 
 def share_rare_bins(spark, sf):
-    frame, _, r, _ = _stat_shares(True)(spark, sf)
+    frame, _, r = _with_stats(spark, sf)
     return rounded(frame.groupBy("id").agg(*B.share_rare_bins({c: r[c] for c in ("pre_disc", "pre_qty", "pre_part")})))
 
 
@@ -328,7 +325,6 @@ def lag_by_entity(spark, sf):
 
 def lag_by_entity_row(spark, sf):
     long = G.unpivot_grid(V.history(spark, sf), ROW, V.GRID.pattern)
-    from pyspark.sql import Window as W
     # one row's months are the group, so no group exceeds the number of months
     return long.withColumn("prev_status", F.lag("status").over(W.partitionBy(*ROW).orderBy("month")))
 
@@ -617,26 +613,30 @@ def save_load_model(spark, sf):
     path = new_path(spark, "model")
     MO.save_model(model, path)
     again = MO.score(MO.load_model(path), rows).select("id", F.col("probability_1").alias("p_loaded"))
-    return rounded(MO.score(model, rows).select("id", "probability_1").join(again, "id"))
+    both = MO.score(model, rows).select("id", "probability_1").join(again, "id")
+    return both.select("id", (F.abs(F.col("probability_1") - F.col("p_loaded")) < 1e-12).alias("same"))
 
 
 def batch_score(spark, sf):
     rows, model = _quick(spark, sf, "gbt", maxIter=5, maxDepth=3)
     path = new_path(spark, "scores")
     WR.write_predictions(MO.score(model, rows, 0.5).select("id", "predicted", "probability_1", "confidence"), path)
-    return spark.read.parquet(path)
+    out, p = spark.read.parquet(path), F.col("probability_1")
+    return out.select("id", p.between(0, 1).alias("is_probability"), (F.col("predicted") == (p > 0.5).cast("int")).alias("by_threshold"),
+                      (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9).alias("is_largest"))
 
 
 def run_incremental_score(spark, sf):
+    """Two arrivals of files, one run each; the files of the first run are not scored again."""
     rows, model = _quick(spark, sf)
-    landing, out = new_path(spark, "landing"), new_path(spark, "scored")
+    landing, out, ckpt = new_path(spark, "landing"), new_path(spark, "scored"), new_path(spark, "stream")
     features = rows.drop("flag", "split")
-    features.where(F.col("id") % 2 == 0).write.mode("append").parquet(landing)
-    ckpt = new_path(spark, "stream")
-    incremental_score(spark, model, landing, features.schema, out, ckpt).awaitTermination()
-    features.where(F.col("id") % 2 != 0).write.mode("append").parquet(landing)
-    incremental_score(spark, model, landing, features.schema, out, ckpt).awaitTermination()
-    return rounded(spark.read.parquet(out).select("id", "predicted", "probability_1"))
+    for half in (0, 1):
+        features.where(F.col("id") % 2 == half).write.mode("append").parquet(landing)
+        incremental_score(spark, model, landing, features.schema, out, ckpt).awaitTermination()
+    batch = MO.score(model, rows).select("id", F.col("probability_1").alias("p_batch"))
+    times = spark.read.parquet(out).groupBy("id").agg(F.count("*").alias("times"), F.max("probability_1").alias("p"))
+    return times.join(batch, "id", "left").select("id", "times", (F.abs(F.col("p") - F.col("p_batch")) < 1e-12).alias("as_batch"))
 
 
 def random_search(spark, sf):

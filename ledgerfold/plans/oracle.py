@@ -574,6 +574,11 @@ def oracle() -> dict[str, str]:
                                "CASE WHEN p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL) THEN p_type END AS p_type FROM tx")
     # long form: one line per (row, fitted category) that is set, as the fitted set is data
     o["one_hot_encode"] = q(TXT, "SELECT p_partkey AS id, p_type AS category, 1 AS hot FROM tx WHERE p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL)")
+    # models: what must hold whatever the fitted numbers are
+    o["save_load_model"] = hist("SELECT DISTINCT id, true AS same FROM h")
+    o["batch_score"] = hist("SELECT DISTINCT id, true AS is_probability, true AS by_threshold, true AS is_largest FROM h")
+    o["incremental_score"] = hist(f"SELECT id, {big('1')} AS times, true AS as_batch FROM h GROUP BY id")
+    o["score_contract_checks"] = hist(f"SELECT {big('0')} AS out_of_range, {big('0')} AS bad_sum, count(DISTINCT id) AS n_scored, count(DISTINCT id) AS n_input FROM h")
     # metrics and errors
     o["class_weights"] = q(T, f"SELECT flag, count(*) AS n, {r('max(count(*)) OVER () / CAST(count(*) AS DOUBLE)', 'weight')} FROM t GROUP BY flag")
     o["confusion_matrix"] = q(S, "SELECT actual, predicted, count(*) AS n FROM s GROUP BY actual, predicted")
