@@ -20,10 +20,14 @@ def fit_categories(df: DataFrame, cols) -> DataFrame:
     return ranked.select("feature", "value", F.col("before__one").cast("int").alias("code"))
 
 
-def categories_of(fitted: DataFrame, cols) -> dict[str, list[str]]:
-    """Fitted categories as lists (a fitted parameter of bounded size)."""
+def categories_of(fitted: DataFrame, cols, limit: int = 10_000) -> dict[str, list[str]]:
+    """Fitted categories as lists. The number is checked: encoders that make a column or a literal
+    per category are for columns that passed the cardinality guard or were collapsed."""
+    rows = fitted.where(F.col("feature").isin(list(cols))).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} categories in {list(cols)}; collapse them first or use ordinal_encode")
     out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in fitted.where(F.col("feature").isin(list(cols))).orderBy("feature", "code").collect():
+    for r in sorted(rows, key=lambda r: (r["feature"], r["code"])):
         out[r["feature"]].append(r["value"])
     return out
 

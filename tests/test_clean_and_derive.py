@@ -97,3 +97,9 @@ def test_one_hot_unseen_and_missing(spark):
     cats = EN.categories_of(EN.fit_categories(train, ["c"]), ["c"])
     out = EN.one_hot_encode(spark.createDataFrame([("a",), ("z",), (None,)], "c string"), {**cats, "gone": ["x"]})
     assert [tuple(r) for r in out.collect()] == [(1, 0, 0), (0, 0, 0), (0, 0, 0)]
+
+
+def test_too_many_categories_to_collect(spark):
+    fitted = EN.fit_categories(spark.range(30).select(F.col("id").cast("string").alias("c")), ["c"])
+    with pytest.raises(ValueError):
+        EN.categories_of(fitted, ["c"], limit=20)

@@ -88,3 +88,19 @@ def test_credit_layout_has_all_features(spark):
     assert len(set(two.columns)) == len(two.columns) == 81 + 2
     assert one.count() == two.count() == 40
     assert one.where(F.col("paym_regular_entropy") > 0).count() == 0
+
+
+def test_plans_have_no_cross_joins_or_python(spark, sf):
+    import __spark_entry__ as entry
+
+    for name in ("mart_v1", "inject_stats", "roc_auc", "target_rate_by_bin", "stratified_entity_split", "error_trends", "dataset_profile"):
+        plan = plan_of(entry.queries()[name](spark, sf))
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Expand", "Python", "Arrow"):
+            assert word not in plan, (name, word)
+
+
+def test_top_n_is_limited_before_the_shuffle(spark, sf):
+    import __spark_entry__ as entry
+
+    for name in ("top_n_categories", "row_number_dedup"):
+        assert "WindowGroupLimit" in plan_of(entry.queries()[name](spark, sf))

@@ -90,3 +90,13 @@ def test_history_to_scores(spark):
     assert got.metrics.first()["n"] > 0
     scored = score_history(h, got, P.CREDIT_KEYS, P.CREDIT_V2)
     assert scored.count() == 150 and scored.where("probability_1 is null").count() == 0
+    # an entity whose history is empty but for its keys, and one with codes at their limits
+    blank = h.limit(1).select(*[F.col(c) if c in ("id", "rn") else F.lit(None).cast(t).alias(c) for c, t in h.dtypes])
+    edge = h.limit(1).select(*[F.lit(63).alias(c) if c.startswith(("pre_", "enc_loans")) else F.col(c) for c in h.columns])
+    for odd in (blank, edge):
+        one = score_history(odd, got, P.CREDIT_KEYS, P.CREDIT_V2).collect()
+        assert len(one) == 1 and 0.0 <= one[0]["probability_1"] <= 1.0
+    # a row's score does not depend on the other rows
+    some = [r["id"] for r in h.select("id").distinct().orderBy("id").limit(3).collect()]
+    alone = score_history(h.where(F.col("id").isin(some)), got, P.CREDIT_KEYS, P.CREDIT_V2)
+    assert {r["id"]: r["probability_1"] for r in alone.collect()} == {r["id"]: r["probability_1"] for r in scored.where(F.col("id").isin(some)).collect()}
