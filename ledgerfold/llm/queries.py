@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from ledgerfold.llm import near_dup, packing
 from ledgerfold.llm.common import table
-from ledgerfold.llm import near_dup
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op7_packing, op9_simhash_near_dedup)}
