@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import near_dup, packing
+from ledgerfold.llm import near_dup, packing, quality
 from ledgerfold.llm.common import table
 
 
+def op4_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -16,4 +21,4 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op7_packing, op9_simhash_near_dedup)}
