@@ -104,7 +104,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
     start = float(np.log(max(rate_of_ones, 1e-6) / max(1 - rate_of_ones, 1e-6)))
     nodes: list[list] = []
     roots: list[int] = []
-    if 0 < rate_of_ones < 1:
+    if len(y) and 0 < rate_of_ones < 1:
         edges = [np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1])) for column in x.T]
         width = bins
         binned = np.stack([np.searchsorted(e, column, "left") for e, column in zip(edges, x.T)], axis=1)
