@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import near_dup, packing, quality
+from ledgerfold.llm import line_dedup, near_dup, packing, quality
 from ledgerfold.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -21,4 +25,4 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
