@@ -84,19 +84,21 @@ def one_wildcard_keys() -> Column:
 def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
     """(a, b), a < b: enough links between the different fingerprints ``nodes.fp`` to connect
     exactly those that the radius connects; every row is a true link."""
-    variants = nodes.select("fp", F.explode(one_wildcard_keys()).alias("key"))
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # 64 keys come from 8 bytes: spread the rows by a fixed number before they are multiplied.
+    variants = nodes.repartition(tasks, "fp").select("fp", F.explode(one_wildcard_keys()).alias("key"))
     buckets = written(
         variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"),
         "buckets")
     close = bits_apart("a", "b") <= RADIUS
     twos = buckets.where("n = 2").select("a", "b").where(close)
     members = written(
-        variants.join(buckets.where("n > 2").select("key", "n"), "key").select("key", "n", "fp"), "members")
+        variants.join(buckets.where("n > 2").select("key", "n").hint("merge"), "key").select("key", "n", "fp"), "members")
     few = members.where(F.col("n") <= paired).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("m"))
     pairs = few.select(F.explode(F.expr("""flatten(transform(m, (x, i) ->
         transform(filter(slice(m, i + 2, size(m)), y -> bit_count(x ^ y) <= %d), y -> struct(x as a, y as b))))""" % RADIUS)
     ).alias("p")).select("p.a", "p.b")
-    many = members.where(F.col("n") > paired).select("fp").distinct()
+    many = members.where(F.col("n") > paired).select("fp").distinct().repartition(tasks)
     masks = F.expr("""flatten(transform(sequence(0, 62), i -> transform(sequence(i + 1, 63), j ->
         shiftleft(1L, i) | shiftleft(1L, j))))""")
     stars = (many.select("fp", F.explode(masks).alias("mask"))
