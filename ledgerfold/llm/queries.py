@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import line_dedup, near_dup, packing, quality
+from ledgerfold.llm import line_dedup, near_dup, packing, quality, token_counts
 from ledgerfold.llm.common import table
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -25,4 +29,4 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
