@@ -16,6 +16,8 @@ import numpy as np
 ENTRIES = 1_000_000
 FIRST = "\n\n"  # marks a text's first piece, which has no space before it
 OTHER_SPACE = re.compile("[^\\S \\n]|[\\u200b\\u180e]")
+SPACE = "\u0120"  # how the vocabulary writes a space
+JOINED = 1000
 SENTENCE_ENDS = (".", "!", "?")
 
 _made: dict[str, "WordEncoder"] = {}
@@ -37,6 +39,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith(SPACE)]] = True
         self.clear()
 
     def clear(self):
@@ -49,22 +54,30 @@ class WordEncoder:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: set[str]) -> None:
-        new = list(pieces - self.known.keys())
-        texts = [p[2:] if p.startswith(FIRST) else p if p.startswith("\n") else " " + p for p in new]
-        ids = [i for at in range(0, len(new), 10_000) for i in self.whole(texts[at:at + 10_000])]
-        first, n = len(self.known), len(self.known) + len(new)
+        new = [p for p in pieces if p not in self.known]
+        inner = [p for p in new if p[:1] != "\n"]
+        outer = [p for p in new if p[:1] == "\n"]
+        # Many pieces behind a space are encoded as one text: a token that starts with a space
+        # starts a piece, since pieces have no other space.
+        texts = [" " + " ".join(inner[at:at + JOINED]) for at in range(0, len(inner), JOINED)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *self.whole(texts)])
+        starts = np.flatnonzero(self.spaced[ids])
+        self.add(inner, ids, np.diff(starts, append=len(ids)))
+        found = self.whole([p.removeprefix(FIRST) for p in outer])
+        self.add(outer, np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(i) for i in found], np.int64))
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first, n = len(self.known), len(self.known) + len(pieces)
         self.start, self.length = grown(self.start, n), grown(self.length, n)
         self.ends, self.breaks = grown(self.ends, n), grown(self.breaks, n)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
-        self.flat = grown(self.flat, self.used + total)
-        self.flat[self.used:self.used + total] = np.concatenate(ids)
+        self.flat = grown(self.flat, self.used + len(ids))
+        self.flat[self.used:self.used + len(ids)] = ids
         self.start[first:n] = self.used + np.cumsum(sizes) - sizes
         self.length[first:n] = sizes
-        self.ends[first:n] = [p.endswith(SENTENCE_ENDS) for p in new]
-        self.breaks[first:n] = [p.startswith("\n") for p in new]
-        self.known.update(zip(new, range(first, n)))
-        self.used += total
+        self.ends[first:n] = [p.endswith(SENTENCE_ENDS) for p in pieces]
+        self.breaks[first:n] = [p.startswith("\n") for p in pieces]
+        self.known.update(zip(pieces, range(first, n)))
+        self.used += len(ids)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, ends) of each whole text: its ids, and the positions in them at which a sentence
