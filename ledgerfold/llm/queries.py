@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import line_dedup, near_dup, packing, quality, token_counts
+from ledgerfold.llm import line_dedup, near_dup, packing, quality, style_tree, token_counts
 from ledgerfold.llm.common import table
 
 
+def op1_html_extraction(spark, sf_dir):
+    return style_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -29,4 +33,4 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
