@@ -98,10 +98,9 @@ def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
     pairs = few.select(F.explode(F.expr("""flatten(transform(m, (x, i) ->
         transform(filter(slice(m, i + 2, size(m)), y -> bit_count(x ^ y) <= %d), y -> struct(x as a, y as b))))""" % RADIUS)
     ).alias("p")).select("p.a", "p.b")
-    many = members.where(F.col("n") > paired).select("fp").distinct().repartition(tasks)
-    masks = F.expr("""flatten(transform(sequence(0, 62), i -> transform(sequence(i + 1, 63), j ->
-        shiftleft(1L, i) | shiftleft(1L, j))))""")
-    stars = (many.select("fp", F.explode(masks).alias("mask"))
+    many = members.where(F.col("n") > paired).select("fp").distinct().select("fp", F.explode(F.expr("sequence(0, 62)")).alias("i"))
+    masks = F.expr("transform(sequence(i + 1, 63), j -> shiftleft(1L, i) | shiftleft(1L, j))")
+    stars = (many.repartition(tasks).select("fp", F.explode(masks).alias("mask"))
              .groupBy("mask", F.expr("fp & ~mask").alias("rest")).agg(F.collect_list("fp").alias("m"))
              .where("size(m) > 1").select(F.array_min("m").alias("a"), F.explode("m").alias("b")).where("a <> b"))
     return twos.union(pairs).union(stars).distinct()
