@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import line_dedup, near_dup, packing, quality, style_tree, token_counts
+from ledgerfold.llm import line_dedup, near_dup, packing, quality, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -33,4 +37,4 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
