@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import line_dedup, near_dup, packing, quality, style_tree, token_counts, topk
+from ledgerfold.llm import fingerprints, line_dedup, near_dup, packing, quality, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -33,8 +33,12 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup)}
