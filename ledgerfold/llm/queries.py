@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from ledgerfold.llm import fingerprints, line_dedup, near_dup, packing, quality, style_tree, token_counts, topk
+from ledgerfold.llm import fingerprints, line_dedup, near_dup, packing, piece_codec, quality, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -41,4 +41,8 @@ def op9_simhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup)}
+def op10_piece_codec(spark, sf_dir):
+    return piece_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec)}
