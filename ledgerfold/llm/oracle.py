@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerfold.llm.licenses import TEMPLATES, template_rows
+
 TOP_K = """
 WITH good AS (
   SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -13,4 +15,31 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op5_exact_top_k": TOP_K}
+def licenses_sql() -> str:
+    """The scan by joins: bigrams of units and templates as lists, compared where sizes allow."""
+    grams = ", ".join("('{}', {}, ['{}'])".format(name, k, "', '".join(found)) for name, k, found in template_rows(TEMPLATES))
+    words = "string_split(trim(regexp_replace(lower(t), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ')"
+    return f"""
+WITH template(name, k, grams) AS (VALUES {grams}),
+docs AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
+lines AS (SELECT r, string_split(text, chr(10)) AS l FROM docs),
+unit AS (
+  SELECT r, CAST(unnest(range(len(l))) AS INTEGER) AS line, unnest(l) AS t FROM lines
+  UNION ALL SELECT d.r, -1, d.text FROM docs d JOIN lines USING (r) WHERE len(l) > 1),
+words AS (SELECT r, line, {words} AS w FROM unit),
+sized AS (SELECT r, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) > 1),
+hit AS (
+  SELECT r, line, name, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
+  FROM sized JOIN template ON len(g) * 3 >= len(grams) * 2 AND len(grams) * 3 >= len(g) * 2
+  WHERE len(list_intersect(g, grams)) * 10 >= (len(g) + len(grams)) * 4),
+summed AS (
+  SELECT r, CAST(count(DISTINCT line) AS INTEGER) AS n, list_sort(list(DISTINCT name)) AS names,
+         first(name ORDER BY dice DESC, name, line) AS best, first(dice ORDER BY dice DESC, name, line) AS dice,
+         first(line ORDER BY dice DESC, name, line) AS line
+  FROM hit GROUP BY r)
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, []) AS licenses, best, dice AS best_dice, line AS best_line
+FROM docs LEFT JOIN summed USING (r)
+"""
+
+
+ORACLE: dict[str, str] = {"op3_license_scan": licenses_sql(), "op5_exact_top_k": TOP_K}

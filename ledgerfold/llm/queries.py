@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from ledgerfold.llm import fingerprints, line_dedup, near_dup, packing, piece_codec, quality, style_tree, token_counts, topk
+from ledgerfold.llm import fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -16,6 +17,10 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
@@ -45,4 +50,8 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec)}
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_license_scan, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec, pipeline)}
