@@ -101,15 +101,16 @@ def _categories(df: DataFrame, cols, keep, top_k: int) -> DataFrame:
     return melt(collapse_rare(text, cols, tops, OTHER_CATEGORY), cols, keep, "string").withColumnRenamed("value", "category")
 
 
-def error_trends(df: DataFrame, cols, is_error: str = "is_error", top_n: int = 6, top_k: int = 15) -> DataFrame:
-    """Error rate per category of up to ``top_n`` columns; categories outside the top are one."""
+def error_trends(df: DataFrame, cols, is_error: str = "is_error", top_n: int | None = None, top_k: int = 15) -> DataFrame:
+    """Error rate per category of the columns given (of the first ``top_n`` if that is set);
+    categories outside the top are one."""
     long = _categories(df, list(cols)[:top_n], [is_error], top_k)
     return long.groupBy("feature", "category").agg(
         F.count("*").alias("n"), F.sum(is_error).alias("errors"), F.avg(is_error).alias("error_rate"))
 
 
-def residual_trends(df: DataFrame, cols, error: str = "error", top_n: int = 6, top_k: int = 15) -> DataFrame:
-    """Exact residual quartiles per category of up to ``top_n`` columns."""
+def residual_trends(df: DataFrame, cols, error: str = "error", top_n: int | None = None, top_k: int = 15) -> DataFrame:
+    """Exact residual quartiles per category of the columns given (of the first ``top_n`` if set)."""
     long = _categories(df, list(cols)[:top_n], [error], top_k).withColumnRenamed("feature", "by")
     q = exact_quantiles(long, [error], [0.25, 0.5, 0.75], ["by", "category"])
     return q.select(F.col("by").alias("feature"), "category", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"))
@@ -151,11 +152,13 @@ def target_rate_by_bin(df: DataFrame, feature: str, target: str) -> DataFrame:
     """Per value: rows, target sum and mean, percent of all rows; a last line ``ALL``. Rows with a
     null value count in the denominator only."""
     per = df.groupBy(F.col(feature).cast("string").alias("category")).agg(
-        F.count("*").alias("n"), F.sum(target).alias("target_sum"), F.avg(target).alias("target_mean"))
-    everything = df.agg(F.count("*").alias("n"), F.sum(target).alias("target_sum"), F.avg(target).alias("target_mean"))
+        F.count("*").alias("n"), F.sum(target).alias("target_sum"), F.count(target).alias("_known"))
+    # the last line and the denominator are sums of the groups: the input is aggregated once
+    everything = per.agg(F.sum("n").alias("n"), F.sum("target_sum").alias("target_sum"), F.sum("_known").alias("_known"))
     total = everything.select("n").scalar()
-    lines = per.where(F.col("category").isNotNull()).unionByName(everything.withColumn("category", F.lit("ALL")))
-    return lines.withColumn("percent", F.col("n") * 100.0 / total)
+    lines = per.where(F.col("category").isNotNull()).unionByName(everything.select(F.lit("ALL").alias("category"), "n", "target_sum", "_known"))
+    return lines.select("category", "n", "target_sum", (F.col("target_sum") / F.nullif(F.col("_known"), F.lit(0))).alias("target_mean"),
+                        (F.col("n") * 100.0 / total).alias("percent"))
 
 
 def dataset_profile(df: DataFrame, id_col: str, rn: str, label: str, cols) -> DataFrame:

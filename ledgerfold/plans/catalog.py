@@ -16,6 +16,7 @@ from ledgerfold.operators import (
     preprocess as PR, split as SP, stats as ST)
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
+from ledgerfold.operators.skew import hot_keys
 from ledgerfold.plans.workflow import SplitConfig, train_stats
 from ledgerfold.sources import contract as C
 from ledgerfold.sources import readers as RD
@@ -33,10 +34,12 @@ WEIGHTS = {"x1": 0.7, "x2": -0.02}
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to a fixed number of digits, since the order of a sum is not fixed; no minus zero."""
+    """Doubles to a fixed number of digits, since the order of a sum is not fixed; no minus zero.
+    NaN, infinities and numbers too large for such digits stay as they are."""
     def cut(c):
         whole = f"floor(abs(double(`{c}`)) * 1e{DIGITS}D + 0.5D)"
-        return F.expr(f"IF(`{c}` < 0, -{whole}, {whole}) / 1e{DIGITS}D + 0D")
+        plain = f"isnan(`{c}`) OR abs(double(`{c}`)) >= 1e9D"
+        return F.expr(f"CASE WHEN {plain} THEN double(`{c}`) ELSE IF(`{c}` < 0, -{whole}, {whole}) / 1e{DIGITS}D + 0D END")
 
     return df.select([cut(f.name).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                       for f in df.schema.fields])
@@ -331,8 +334,9 @@ def lag_by_entity_row(spark, sf):
 
 def count_over_partition(spark, sf):
     h = V.history(spark, sf).select(*ROW, "pre_disc")
-    both = O.with_group_values(h, "id", {"n": F.count("*")})
-    return O.with_group_values(both, ["id", "pre_disc"], {"n_same": F.count("*")}).drop("pre_disc")
+    hot = hot_keys(h, "id")
+    both = O.with_group_values(h, "id", {"n": F.count("*")}, hot)
+    return O.with_group_values(both, ["id", "pre_disc"], {"n_same": F.count("*")}, hot).drop("pre_disc")
 
 
 def sum_over_partition(spark, sf):
@@ -340,8 +344,8 @@ def sum_over_partition(spark, sf):
 
 
 def max_by_over_partition(spark, sf):
-    return ST.value_counts(V.history(spark, sf), STAT_COLS).alias("c").join(
-        F.broadcast(ST.mode_of_counts(ST.value_counts(V.history(spark, sf), STAT_COLS))), "feature").select("feature", "value", "cnt", "mode_value")
+    counts = ST.value_counts(V.history(spark, sf), STAT_COLS)
+    return counts.alias("c").join(F.broadcast(ST.mode_of_counts(counts)), "feature").select("feature", "value", "cnt", "mode_value")
 
 
 # --- top-n and sets ----------------------------------------------------------------------------
@@ -537,8 +541,10 @@ def mutual_information(spark, sf):
 
 
 def _cat_split(spark, sf):
-    t = _texts(spark, sf).withColumn("id", F.col("p_partkey"))
-    return t, t.where(F.col("id") % 3 == 0).where(F.col("p_brand") != "Brand#1")
+    """Parts with a brand-and-size category, some of which only held-out parts have; fitted on the
+    train side of the split."""
+    t = _texts(spark, sf).select(F.col("p_partkey").alias("id"), F.concat_ws("|", "p_brand", "p_size").alias("p_brand"), "p_type")
+    return t, SP.entity_split(t, "id").where(F.col("split") == "train")
 
 
 def ordinal_encode(spark, sf):
@@ -547,20 +553,22 @@ def ordinal_encode(spark, sf):
 
 
 def one_hot_encode(spark, sf):
+    """One line per part over all 0/1 columns, since their names depend on the data: how many there
+    are, how many are set, and the category of the one that is."""
     t, train = _cat_split(spark, sf)
-    cats = EN.categories_of(EN.fit_categories(train, ["p_type"]), ["p_type"])
-    hot = EN.one_hot_encode(t.select("id", "p_type"), {**cats, "gone": ["x"]})
-    wide = hot.drop("gone_x").where(F.col("gone_x") == 0)
-    names = [c for c in wide.columns if c != "id"]
-    # the set of columns depends on the data, so the registered result is its long form
-    return (ST.melt(wide, names, ["id"], "int").where(F.col("value") == 1)
-            .select("id", F.substring_index("feature", "p_type_", -1).alias("category"), F.col("value").alias("hot")))
+    cats = EN.categories_of(EN.fit_categories(train, ["p_brand"]), ["p_brand"])
+    wide = EN.one_hot_encode(t.select("id", "p_brand"), {**cats, "gone": ["x"]})
+    names = [c for c in wide.columns if c not in ("id", "gone_x")]
+    bits = F.array(*[F.col(f"`{c}`") for c in names])
+    labels = F.array(*[F.lit(c.removeprefix("p_brand_")) for c in names])
+    return wide.select("id", "gone_x", bits.alias("_bits")).select(
+        "id", "gone_x", F.size("_bits").alias("n_columns"), F.aggregate("_bits", F.lit(0), lambda x, y: x + y).alias("n_hot"),
+        F.get(labels, (F.array_position("_bits", 1) - 1).cast("int")).alias("hot"))
 
 
 def freeze_categories(spark, sf):
     t, train = _cat_split(spark, sf)
-    cats = EN.categories_of(EN.fit_categories(train, ["p_brand", "p_type"]), ["p_brand", "p_type"])
-    return EN.freeze_categories(t, cats).select("id", "p_brand", "p_type")
+    return EN.freeze_categories(t, ["p_brand", "p_type"], EN.fit_categories(train, ["p_brand", "p_type"])).select("id", "p_brand", "p_type")
 
 
 # --- models ------------------------------------------------------------------------------------
@@ -579,22 +587,28 @@ def model_rows(spark, sf) -> DataFrame:
     return SP.entity_split(written(rows, "model-rows"), "id")
 
 
-def config(family: str, **params) -> MO.ModelConfig:
-    return MO.ModelConfig(family=family, params=params, numeric=MODEL_NUM, categorical=MODEL_CAT)
+def learnable(rows: DataFrame) -> DataFrame:
+    """Labels that are exact functions of a feature, so that the right prediction is known."""
+    n = F.col("loans_total_count")
+    return rows.withColumns({"many": (n > 3).cast("int"), "kind": F.when(n <= 2, 0.0).when(n <= 5, 1.0).otherwise(2.0)})
+
+
+def config(family: str, label: str = "many", **params) -> MO.ModelConfig:
+    return MO.ModelConfig(family=family, params=params, numeric=MODEL_NUM, categorical=MODEL_CAT, label=label)
 
 
 def _fit_and_score(family, **params):
     def run(spark, sf):
-        rows = model_rows(spark, sf)
+        rows = learnable(model_rows(spark, sf))
         use = rows.where(F.col("split") != "test").withColumn("_valid", F.col("split") == "val")
         model = MO.train(use, config(family, **params), "_valid")
-        return rounded(MO.score(model, rows.where(F.col("split") == "test")).select("id", "predicted", "probability_1"))
+        return MO.score(model, rows.where(F.col("split") == "test")).select("id", "predicted", (F.col("probability_1") > 0.5).alias("likely"))
     return run
 
 
-def _quick(spark, sf, family="logistic", **params):
-    rows = model_rows(spark, sf)
-    return rows, MO.train(rows.where(F.col("split") == "train"), config(family, **(params or {"maxIter": 10})))
+def _quick(spark, sf, **params):
+    rows = learnable(model_rows(spark, sf))
+    return rows, MO.train(rows.where(F.col("split") == "train"), config("gbt", **(params or {"maxIter": 3, "maxDepth": 2})))
 
 
 def class_weights(spark, sf):
@@ -602,59 +616,65 @@ def class_weights(spark, sf):
 
 
 def multiclass_ovr(spark, sf):
-    rows = model_rows(spark, sf).withColumn("kind", (F.col("id") % 3).cast("double"))
-    cfg = MO.ModelConfig(family="gbt", task="multiclass", params={"maxIter": 2, "maxDepth": 2}, numeric=MODEL_NUM, label="kind", weighting=None)
-    model = MO.train(rows.where(F.col("split") == "train"), cfg)
-    return MO.score(model, rows.where(F.col("split") == "test"), classes=False).select("id", "predicted")
+    rows = learnable(model_rows(spark, sf))
+    cfg = MO.ModelConfig(family="gbt", task="multiclass", params={"maxIter": 3, "maxDepth": 2}, numeric=MODEL_NUM, label="kind", n_classes=3)
+    out = MO.score(MO.train(rows.where(F.col("split") == "train"), cfg), rows.where(F.col("split") == "test"))
+    best = F.array_position("probabilities", F.array_max("probabilities")).cast("int") - 1
+    total = F.aggregate("probabilities", F.lit(0.0), lambda x, y: x + y)
+    return rounded(out.select("id", "predicted", best.alias("most_likely"), total.alias("total")))
 
 
 def save_load_model(spark, sf):
     rows, model = _quick(spark, sf)
     path = new_path(spark, "model")
     MO.save_model(model, path)
-    again = MO.score(MO.load_model(path), rows).select("id", F.col("probability_1").alias("p_loaded"))
+    again = MO.score(MO.load_model(path), rows).select("id", F.col("probability_1").alias("p_loaded"), F.col("predicted").alias("loaded"))
     both = MO.score(model, rows).select("id", "probability_1").join(again, "id")
-    return both.select("id", (F.abs(F.col("probability_1") - F.col("p_loaded")) < 1e-12).alias("same"))
+    return both.select("id", "loaded", (F.abs(F.col("probability_1") - F.col("p_loaded")) < 1e-12).alias("same"))
 
 
 def batch_score(spark, sf):
-    rows, model = _quick(spark, sf, "gbt", maxIter=5, maxDepth=3)
+    rows, model = _quick(spark, sf)
     path = new_path(spark, "scores")
     WR.write_predictions(MO.score(model, rows, 0.5).select("id", "predicted", "probability_1", "confidence"), path)
     out, p = spark.read.parquet(path), F.col("probability_1")
-    return out.select("id", p.between(0, 1).alias("is_probability"), (F.col("predicted") == (p > 0.5).cast("int")).alias("by_threshold"),
-                      (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9).alias("is_largest"))
+    return out.select("id", "predicted", (p.between(0, 1) & (F.abs(F.col("confidence") - F.greatest(p, 1 - p)) < 1e-9)).alias("consistent"))
 
 
 def run_incremental_score(spark, sf):
     """Two arrivals of files, one run each; the files of the first run are not scored again."""
     rows, model = _quick(spark, sf)
     landing, out, ckpt = new_path(spark, "landing"), new_path(spark, "scored"), new_path(spark, "stream")
-    features = rows.drop("flag", "split")
-    for half in (0, 1):
-        features.where(F.col("id") % 2 == half).write.mode("append").parquet(landing)
+    features = rows.drop("flag", "split", "many", "kind")
+    for early in (True, False):
+        features.where((F.col("loans_max_rn") > 3) == early).write.mode("append").parquet(landing)
         incremental_score(spark, model, landing, features.schema, out, ckpt).awaitTermination()
-    batch = MO.score(model, rows).select("id", F.col("probability_1").alias("p_batch"))
-    times = spark.read.parquet(out).groupBy("id").agg(F.count("*").alias("times"), F.max("probability_1").alias("p"))
-    return times.join(batch, "id", "left").select("id", "times", (F.abs(F.col("p") - F.col("p_batch")) < 1e-12).alias("as_batch"))
+    return spark.read.parquet(out).groupBy("id").agg(
+        F.count("*").alias("times"), F.max((F.col("probability_1") > 0.5).cast("int")).alias("predicted"))
 
 
 def random_search(spark, sf):
-    rows = model_rows(spark, sf)
-    space = {"regParam": {"type": "float", "bounds": [1e-4, 1e-1], "log": True}, "scale_pos_weight": {"type": "float", "bounds": [1.0, 4.0]}}
-    _, trials = MO.random_search(rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val"), config("logistic", maxIter=5), space, 3)
-    return trials.select("trial", "metric", "error")
+    """Trials with fixed draws, then the best setting fitted again and scored on the test side."""
+    rows = learnable(model_rows(spark, sf))
+    space = {"maxDepth": {"type": "int", "bounds": [1, 3]}, "scale_pos_weight": {"type": "float", "bounds": [1.0, 4.0]}}
+    cfg = config("gbt", maxIter=2)
+    train, valid, test = (rows.where(F.col("split") == s) for s in SP.SPLITS)
+    best, trials = MO.random_search(train, valid, cfg, space, 3)
+    out = MO.score(MO.refit(train, cfg, best), test).agg(F.avg((F.col("predicted") == F.col("many")).cast("double")).alias("metric"))
+    return rounded(trials.select("trial", "metric", "error").unionByName(out.select(F.lit(-1).alias("trial"), "metric", F.lit(None).cast("string").alias("error"))))
 
 
 def feature_importance(spark, sf):
-    _, model = _quick(spark, sf, "forest", numTrees=5, maxDepth=4)
-    return MO.feature_importance(model, spark)
+    _, model = _quick(spark, sf, maxIter=1, maxDepth=1)
+    return rounded(MO.feature_importance(model, spark))
 
 
 def permutation_importance(spark, sf):
-    rows, model = _quick(spark, sf)
-    return AT.permutation_importance(model, rows.where(F.col("split") == "val"), "id", ["loans_total_count", "is_zero_a_share"],
-                                     BinaryClassificationEvaluator(labelCol="flag"))
+    """The deciding feature loses, the others do not matter to a model that does not use them."""
+    rows, model = _quick(spark, sf, maxIter=1, maxDepth=1)
+    found = AT.permutation_importance(model, rows.where(F.col("split") == "val"), "id", ["loans_total_count", "is_zero_a_share"],
+                                      BinaryClassificationEvaluator(labelCol="many"))
+    return found.select("feature", F.signum("importance").cast("int").alias("sign"))
 
 
 def score_contract_checks(spark, sf):
@@ -801,10 +821,10 @@ QUERIES = {
     "typicalness_score": typicalness_score, "payer_flags": payer_flags, "code_transitions": code_transitions,
     "util_and_history": util_and_history, "diversity_profile": diversity_profile, "mutual_information": mutual_information,
     "ordinal_encode": ordinal_encode, "one_hot_encode": one_hot_encode, "freeze_categories": freeze_categories,
-    "train_gbt": _fit_and_score("gbt", maxIter=5, maxDepth=3),
-    "train_random_forest": _fit_and_score("forest", numTrees=10, maxDepth=4),
-    "train_logistic": _fit_and_score("logistic", maxIter=10),
-    "train_mlp": _fit_and_score("mlp", maxIter=10, hidden=[8]),
+    "train_gbt": _fit_and_score("gbt", maxIter=3, maxDepth=3),
+    "train_random_forest": _fit_and_score("forest", numTrees=10, maxDepth=5, featureSubsetStrategy="all"),
+    "train_logistic": _fit_and_score("logistic", maxIter=200),
+    "train_mlp": _fit_and_score("mlp", maxIter=200, hidden=[4]),
     "class_weights": class_weights, "multiclass_ovr": multiclass_ovr, "save_load_model": save_load_model,
     "batch_score": batch_score, "incremental_score": run_incremental_score, "random_search": random_search,
     "confusion_matrix": confusion_matrix, "classification_metrics": classification_metrics, "class_report": class_report,

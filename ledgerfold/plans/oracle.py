@@ -325,7 +325,10 @@ def num_value(c, clip=True):
 CLEANED = [*clean_ctes(), f"cleaned AS (SELECT id AS key, flag, {cat_value('brand')}, {cat_value('prio')}, {num_value('cust')}, {num_value('price_num')}, {num_value('bal_num')}, {cat_value('few')} FROM ct)"]
 
 TX = "tx AS (SELECT p_partkey, p_brand, CASE WHEN p_partkey % 11 <> 0 THEN p_type END AS p_type, CAST(p_size AS VARCHAR) AS p_size FROM part)"
-TXT = [TX, "trn AS (SELECT * FROM tx WHERE p_partkey % 3 = 0 AND p_brand <> 'Brand#1')"]
+TXT = [TX, "tk AS (SELECT p_partkey, p_brand || '|' || p_size AS p_brand, p_type FROM tx)",
+       f"trn AS (SELECT * FROM tk WHERE {split_of('p_partkey')} = 'train')"]
+MODEL = ["cnt AS (SELECT l_orderkey AS id, count(*) AS n FROM lineitem GROUP BY l_orderkey)",
+         f"md AS (SELECT id, CAST(n > 3 AS INTEGER) AS many, CASE WHEN n <= 2 THEN 0 WHEN n <= 5 THEN 1 ELSE 2 END AS kind, {split_of('id')} AS split FROM cnt)"]
 
 
 def text_counts(cols, n):
@@ -567,17 +570,25 @@ def oracle() -> dict[str, str]:
     o["mutual_information"] = mi()
 
     def enc(c):
-        return f"coalesce((SELECT CAST(count(DISTINCT b.{c}) AS INTEGER) FROM trn b WHERE b.{c} < tx.{c}) + (SELECT min(0) FROM trn b WHERE b.{c} = tx.{c}), -1) AS {c}_code"
+        return f"coalesce((SELECT CAST(count(DISTINCT b.{c}) AS INTEGER) FROM trn b WHERE b.{c} < tk.{c}) + (SELECT min(0) FROM trn b WHERE b.{c} = tk.{c}), -1) AS {c}_code"
 
-    o["ordinal_encode"] = q(TXT, f"SELECT p_partkey AS id, {enc('p_brand')}, {enc('p_type')} FROM tx")
+    o["ordinal_encode"] = q(TXT, f"SELECT p_partkey AS id, {enc('p_brand')}, {enc('p_type')} FROM tk")
     o["freeze_categories"] = q(TXT, "SELECT p_partkey AS id, CASE WHEN p_brand IN (SELECT p_brand FROM trn) THEN p_brand END AS p_brand, "
-                               "CASE WHEN p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL) THEN p_type END AS p_type FROM tx")
-    # long form: one line per (row, fitted category) that is set, as the fitted set is data
-    o["one_hot_encode"] = q(TXT, "SELECT p_partkey AS id, p_type AS category, 1 AS hot FROM tx WHERE p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL)")
-    # models: what must hold whatever the fitted numbers are
-    o["save_load_model"] = hist("SELECT DISTINCT id, true AS same FROM h")
-    o["batch_score"] = hist("SELECT DISTINCT id, true AS is_probability, true AS by_threshold, true AS is_largest FROM h")
-    o["incremental_score"] = hist(f"SELECT id, {big('1')} AS times, true AS as_batch FROM h GROUP BY id")
+                               "CASE WHEN p_type IN (SELECT p_type FROM trn WHERE p_type IS NOT NULL) THEN p_type END AS p_type FROM tk")
+    o["one_hot_encode"] = q(TXT, "SELECT p_partkey AS id, 0 AS gone_x, CAST((SELECT count(DISTINCT p_brand) FROM trn) AS INTEGER) AS n_columns, "
+                            "CAST(p_brand IN (SELECT p_brand FROM trn) AS INTEGER) AS n_hot, CASE WHEN p_brand IN (SELECT p_brand FROM trn) THEN p_brand END AS hot FROM tk")
+    # models: labels are exact functions of one feature, so the right answer is known
+    for family in ("train_gbt", "train_random_forest", "train_logistic", "train_mlp"):
+        o[family] = q(MODEL, "SELECT id, many AS predicted, many = 1 AS likely FROM md WHERE split = 'test'")
+    o["multiclass_ovr"] = q(MODEL, "SELECT id, CAST(kind AS INTEGER) AS predicted, CAST(kind AS INTEGER) AS most_likely, 1e0 AS total FROM md WHERE split = 'test'")
+    o["save_load_model"] = q(MODEL, "SELECT id, many AS loaded, true AS same FROM md")
+    o["batch_score"] = q(MODEL, "SELECT id, many AS predicted, true AS consistent FROM md")
+    o["incremental_score"] = q(MODEL, f"SELECT id, {big('1')} AS times, many AS predicted FROM md")
+    o["random_search"] = "SELECT CAST(unnest([-1, 0, 1, 2]) AS INTEGER) AS trial, 1e0 AS metric, CAST(NULL AS VARCHAR) AS error"
+    o["feature_importance"] = ("SELECT unnest(['loans_total_count', 'loans_max_rn', 'is_zero_a_share', 'is_zero_b_share', 'is_zero_c_share', "
+                               "'distinct_pre_disc_count', 'distinct_pre_part_count', 'last_pre_disc_idx', 'last_enc_ret_idx']) AS feature, "
+                               "unnest([1e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0]) AS importance")
+    o["permutation_importance"] = "SELECT unnest(['loans_total_count', 'is_zero_a_share']) AS feature, unnest([1, 0]) AS sign"
     o["score_contract_checks"] = hist(f"SELECT {big('0')} AS out_of_range, {big('0')} AS bad_sum, count(DISTINCT id) AS n_scored, count(DISTINCT id) AS n_input FROM h")
     # metrics and errors
     o["class_weights"] = q(T, f"SELECT flag, count(*) AS n, {r('max(count(*)) OVER () / CAST(count(*) AS DOUBLE)', 'weight')} FROM t GROUP BY flag")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,13 +14,18 @@ _local: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; one of our own only where that is
-    unset, as in tests."""
+    """The folder the cluster names in spark.checkpoint.dir. Only a session on local[…] may leave
+    that unset, as in tests: it then gets a temporary folder, removed when Python ends. On a
+    cluster each executor would write to its own disk, so that is refused."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if found:
         return found
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="ledgerfold-"))
+        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
     return _local[0]
 
 
