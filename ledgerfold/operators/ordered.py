@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.skew import hot_keys, quantile_bounds, split_hot, with_segment
+from ledgerfold.operators.skew import grid_of_quantiles, hot_keys, quantile_bounds, split_hot, thinned, with_own_segment, with_segment
+
+
+BROADCAST_ROWS = 100_000
 
 
 def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list | None = None,
@@ -16,8 +19,8 @@ def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list |
 
     ``order_col`` is unique within an entity. Ordinary entities share one window, whose hash
     partitioning by id is reused by a following groupBy(id). A hot entity is cut into segments
-    by order; the first row of a segment takes its value from a table that holds one row per
-    (hot id, segment), whose size is bounded by their product.
+    by its own order; the first row of a segment takes its value from a table that holds one row
+    per (hot id, segment), whose size is bounded by their product.
     """
     hot = hot_keys(df, id_col) if hot is None else hot
     window = W.partitionBy(id_col).orderBy(order_col)
@@ -28,15 +31,15 @@ def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list |
     if not hot:
         return lagged(df, window)
     cold_rows, hot_rows = split_hot(df, id_col, hot)
-    cut = with_segment(hot_rows, order_col, quantile_bounds(hot_rows, order_col))
+    cut = with_own_segment(hot_rows, id_col, order_col)
     ends = cut.groupBy(id_col, "_seg").agg(
         F.max_by(F.struct(*[F.col(c).alias("l_" + c) for c in cols]), order_col).alias("_last"))
-    edge = ends.select(id_col, "_seg", F.lag("_last").over(W.partitionBy(id_col).orderBy("_seg")).alias("_edge"))
+    edge = ends.select(F.col(id_col).alias("_id"), F.col("_seg").alias("_at"), F.lag("_last").over(W.partitionBy(id_col).orderBy("_seg")).alias("_edge"))
     inner = W.partitionBy(id_col, "_seg").orderBy(order_col)
     inside = cut.select(
         "*", F.row_number().over(inner).alias("_pos"),
         *[F.lag(c).over(inner).alias("_in_" + c) for c in cols])
-    joined = inside.join(F.broadcast(edge), [id_col, "_seg"], "left").select(
+    joined = inside.join(F.broadcast(edge), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_seg") == F.col("_at")), "left").select(
         *df.columns,
         *[F.when(F.col("_pos") == 1, F.col(f"_edge.l_{c}")).otherwise(F.col("_in_" + c)).alias(prefix + c) for c in cols])
     return lagged(cold_rows, window).unionByName(joined)
@@ -69,7 +72,7 @@ def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | N
     if not hot:
         return joined_text(slim, [id_col], order_col, cols, suffix)
     cold_rows, hot_rows = split_hot(slim, id_col, hot)
-    cut = with_segment(hot_rows, order_col, quantile_bounds(hot_rows, order_col, 4096))
+    cut = with_own_segment(hot_rows, id_col, order_col)
     parts = joined_text(cut, [id_col, "_seg"], order_col, cols, "")
     whole = joined_text(parts, [id_col], "_seg", cols, suffix)
     return joined_text(cold_rows, [id_col], order_col, cols, suffix).unionByName(whole)
@@ -124,18 +127,21 @@ def with_group_values(df: DataFrame, keys, aggs, hot: list | None = None) -> Dat
     cond = same[0]
     for s in same[1:]:
         cond = cond & s
-    joined = hot_rows.alias("h").join(totals.alias("t"), cond, "left").select("h.*", *[F.col("t." + n) for n in aggs])
+    # with the hot key alone there is a row per hot key; more keys may make more rows, so count
+    few = len(keys) == 1 or totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    side = F.broadcast(totals.alias("t")) if few else totals.alias("t")
+    joined = hot_rows.alias("h").join(side, cond, "left").select("h.*", *[F.col("t." + n) for n in aggs])
     return windowed(cold_rows).unionByName(joined)
 
 
 def with_running_sums(df: DataFrame, order_col: str, sums, group_cols=(), segment: str | None = None,
-                      segments: int = 256) -> DataFrame:
+                      segments: int | None = None) -> DataFrame:
     """Adds ``before_<s>`` and ``total_<s>`` for each summed column: the sum over all rows of the
     group that come before this one, and over the whole group. ``order_col`` is unique in a group.
 
-    Rows are cut into order-preserving segments; a running sum is taken inside a segment and
-    shifted by the sum of earlier segments. The table of segment sums has at most
-    ``segments`` rows per group, so its own running sum is small.
+    Rows are cut into order-preserving segments, as many as the rows ask for; a running sum is taken
+    inside a segment and shifted by the sum of earlier segments. The table of segment sums has one
+    row per segment and group, so its own running sum is small. A null group is a group.
     """
     group_cols = list(group_cols)
     if segment is None:
@@ -152,39 +158,37 @@ def with_running_sums(df: DataFrame, order_col: str, sums, group_cols=(), segmen
         shifts = F.broadcast(shifts)  # one row per segment
     inside = W.partitionBy(*group_cols, segment).orderBy(order_col).rowsBetween(W.unboundedPreceding, -1)
     local = df.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias("_l_" + s) for s in sums])
-    keep = [c for c in df.columns if c != "_seg"]
-    return local.join(shifts, [*group_cols, segment]).select(
+    keep = [F.col("l." + c) for c in df.columns if c != "_seg"]
+    same = F.col(f"l.{segment}").eqNullSafe(F.col(f"s.{segment}"))
+    for g in group_cols:
+        same = same & F.col("l." + g).eqNullSafe(F.col("s." + g))
+    return local.alias("l").join(shifts.alias("s"), same).select(
         *keep,
         *[(F.col("_l_" + s) + F.col("_e_" + s)).alias("before_" + s) for s in sums],
         *["total_" + s for s in sums])
 
 
-SMALL_CELLS = 2_000_000
-
-
-def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: int = 256,
-                    small_cells: int = SMALL_CELLS) -> DataFrame:
+def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles: one row per (group, feature), columns q0, q1, …;
-    nulls are left out.
+    null values are left out, a null group is a group.
 
-    The built-in exact percentile keeps every distinct value of a group in one task, so it is used
-    up to ``small_cells`` values only. Beyond that values are cut into segments by order and
-    counted; the counts say which segments hold the wanted ranks, and only the values of those few
-    segments are shuffled (equal values combined first) and sorted.
+    The built-in exact percentile keeps every distinct value of a group in one task. Here values
+    are cut into segments by order, as many as the rows ask for, and counted; the counts say which
+    segments hold the wanted ranks, and only the values of those few segments are shuffled (equal
+    values combined first) and sorted. The plan is the same at every size.
     """
     group_cols, value_cols, probs = list(group_cols), list(value_cols), list(probs)
-    if df.count() * len(value_cols) <= small_cells:
-        return _small_quantiles(df, value_cols, probs, group_cols)
-    grid = [i / segments for i in range(1, segments)]
-    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), grid, 10_000).alias(c) for c in value_cols]).first()
+    found = df.agg(*[grid_of_quantiles(c).alias(c) for c in value_cols], F.count("*").alias("_rows")).first()
     cut = df
     for i, c in enumerate(value_cols):
-        cut = with_segment(cut, c, sorted(set(found[c] or [])), f"_seg{i}")
+        cut = with_segment(cut, c, thinned(found[c], found["_rows"], segments), f"_seg{i}")
     items = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"), F.col(f"_seg{i}").alias("seg"))
         for i, c in enumerate(value_cols)])
-    long = cut.select(*group_cols, F.explode(items).alias("i")).select(*group_cols, "i.*").where(F.col("value").isNotNull())
-    keys = [*group_cols, "feature"]
+    # groups travel as one struct, which is never null itself
+    group = F.struct(*group_cols) if group_cols else F.struct(F.lit(0).alias("_all"))
+    long = cut.select(group.alias("_g"), F.explode(items).alias("i")).select("_g", "i.*").where(F.col("value").isNotNull())
+    keys = ["_g", "feature"]
     over = W.partitionBy(*keys)
     ranges = long.groupBy(*keys, "seg").agg(F.count("*").alias("n")).select(
         *keys, "seg", "n",
@@ -197,11 +201,15 @@ def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: i
     wanted = (ranges.select(*keys, "seg", "before", "total", "n", F.explode(ranks).alias("r"))
               .where((F.col("r.k") >= F.col("before")) & (F.col("r.k") < F.col("before") + F.col("n")))
               .groupBy(*keys, "seg", "before", "total").agg(F.collect_list("r").alias("ranks")))
-    counts = (long.join(wanted.select(*keys, "seg"), [*keys, "seg"], "left_semi")
+    def met(left, right, how):
+        same = (F.col("l._g").eqNullSafe(F.col("r._g")) & (F.col("l.feature") == F.col("r.feature")) & (F.col("l.seg") == F.col("r.seg")))
+        return left.alias("l").join(right.alias("r"), same, how)
+
+    counts = (met(long, wanted.select(*keys, "seg"), "left_semi")
               .groupBy(*keys, "seg", "value").agg(F.count("*").alias("n")))
     inside = W.partitionBy(*keys, "seg").orderBy("value")
     placed = counts.select(*keys, "seg", "value", "n", (F.sum("n").over(inside) - F.col("n")).alias("at"))
-    hits = (placed.join(wanted, [*keys, "seg"]).select(*keys, "value", "at", "n", "before", "total", F.explode("ranks").alias("r"))
+    hits = (met(placed, wanted, "inner").select("l._g", "l.feature", "value", "at", "n", "before", "total", F.explode("ranks").alias("r"))
             .where((F.col("r.k") >= F.col("before") + F.col("at")) & (F.col("r.k") < F.col("before") + F.col("at") + F.col("n"))))
 
     def pick(i, up):
@@ -212,11 +220,5 @@ def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: i
         pos = F.lit(float(p)) * (F.max("total") - 1)
         return lo + (hi - lo) * (pos - F.floor(pos))
 
-    return hits.groupBy(*keys).agg(*[quantile(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
-
-
-def _small_quantiles(df, value_cols, probs, group_cols):
-    found = df.groupBy(*group_cols).agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in value_cols])
-    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("q")) for c in value_cols])
-    return (found.select(*group_cols, F.explode(items).alias("i")).where(F.col("i.q").isNotNull())
-            .select(*group_cols, "i.feature", *[F.col("i.q")[i].alias(f"q{i}") for i in range(len(probs))]))
+    out = hits.groupBy(*keys).agg(*[quantile(i, p).alias(f"q{i}") for i, p in enumerate(probs)])
+    return out.select(*[F.col(f"_g.{g}").alias(g) for g in group_cols], "feature", *[f"q{i}" for i in range(len(probs))])

@@ -9,7 +9,7 @@ returns take the segmented plan, and results are the same on both plans.
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # An entity below this many rows is sorted by one task without trouble.
@@ -17,11 +17,13 @@ HOT_ROWS = 1_000_000
 # The sketch tracks TRACKED items; at most MAX_HOT of them are returned (a bound on the driver).
 TRACKED = 16_384
 MAX_HOT = 1_000
-SEGMENTS = 256
+# Ordered work is cut into parts of about SEGMENT_ROWS rows, at most SEGMENTS of them.
+SEGMENT_ROWS = 1_000_000
+SEGMENTS = 4096
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
-    """Keys that hold at least ``hot_rows`` rows, largest first.
+    """Keys that hold at least ``hot_rows`` rows, largest first; None, last, if null does.
 
     The frequent-items sketch has a fixed size, combines map-side and needs no shuffle of keys.
     It underestimates counts by at most rows / (0.75 * TRACKED), which is far below the row
@@ -29,23 +31,43 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
     the table, about one ordinary task.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    row = (
-        df.where(F.col(key).isNotNull())
-        .agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT}, {TRACKED})").alias("top"))
-        .first()
-    )
-    return [r["item"] for r in row["top"] if r["count"] >= limit]
+    row = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT + 1}, {TRACKED})").alias("top"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    found = [r["item"] for r in row["top"] or [] if r["item"] is not None and r["count"] >= limit][:MAX_HOT]
+    return [*found, None] if row["nulls"] >= limit else found
 
 
-def quantile_bounds(df: DataFrame, column: str, segments: int = SEGMENTS) -> list[float]:
-    """Strictly increasing inner bounds that cut the column into about equal parts.
+def grid_of_quantiles(column: str) -> Column:
+    return F.percentile_approx(F.col(column).cast("double"), [i / SEGMENTS for i in range(1, SEGMENTS)], 4 * SEGMENTS)
+
+
+def thinned(bounds: list[float] | None, rows: int, segments: int | None) -> list[float]:
+    """Of SEGMENTS - 1 quantiles those that cut ``rows`` rows into parts of about SEGMENT_ROWS, or
+    into ``segments`` parts; strictly increasing."""
+    parts = min(SEGMENTS, segments or -(-rows // SEGMENT_ROWS))
+    return sorted({bounds[i * SEGMENTS // parts - 1] for i in range(1, parts)}) if bounds else []
+
+
+def quantile_bounds(df: DataFrame, column: str, segments: int | None = None) -> list[float]:
+    """Strictly increasing inner bounds that cut the column into about equal parts; how many
+    follows from the number of rows, which the same job counts.
 
     The bounds are collected (a fixed number of doubles) and become literals, so every use in a
     plan, and every retry of a task, sees the same cut.
     """
-    probs = [i / segments for i in range(1, segments)]
-    found = df.agg(F.percentile_approx(F.col(column).cast("double"), probs, 10_000)).first()[0]
-    return sorted(set(found or []))
+    found = df.agg(grid_of_quantiles(column), F.count("*")).first()
+    return thinned(found[0], found[1], segments)
+
+
+def with_own_segment(df: DataFrame, key: str, column: str, segments: int | None = None, name: str = "_seg") -> DataFrame:
+    """Cuts each key's rows by the key's own quantiles. For hot keys: the table of bounds has one
+    row per key, at most MAX_HOT + 1, which bounds the broadcast."""
+    own = df.groupBy(F.col(key).alias("_k")).agg(grid_of_quantiles(column).alias("_b"), F.count("*").alias("_n"))
+    parts = F.least(F.lit(SEGMENTS), F.lit(segments) if segments else F.ceil(F.col("_n") / SEGMENT_ROWS)).cast("int")
+    own = own.withColumn("_p", parts).select("_k", F.when(F.col("_p") > 1, F.array_sort(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.col("_p") - 1), lambda i: F.get("_b", (F.floor(i * SEGMENTS / F.col("_p")) - 1).cast("int")))))).alias("_b"))
+    cut = F.coalesce(F.size(F.filter("_b", lambda b: b <= F.col(column).cast("double"))), F.lit(0))
+    return df.join(F.broadcast(own), F.col(key).eqNullSafe(F.col("_k")), "left").withColumn(
+        name, F.when(F.col("_b").isNull(), 0).otherwise(cut)).drop("_k", "_b")
 
 
 def with_segment(df: DataFrame, column: str, bounds: list[float], name: str = "_seg") -> DataFrame:
@@ -58,7 +80,7 @@ def with_segment(df: DataFrame, column: str, bounds: list[float], name: str = "_
     return cut.transform(df.withColumn(tmp, F.col(column).cast("double"))).drop(tmp)
 
 
-def text_bounds(df: DataFrame, column: str, segments: int = SEGMENTS, sample: int = 4096) -> list[str]:
+def text_bounds(df: DataFrame, column: str, segments: int = 256, sample: int = 4096) -> list[str]:
     """Inner bounds that cut the distinct texts of a column into about equal parts; empty when
     there are fewer than ``sample`` of them. The sample is the texts of smallest hash: a top-n per
     task, of fixed size on the driver, and the same on every run."""
@@ -78,6 +100,6 @@ def text_segment(column: str, bounds: list[str]):
 
 
 def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
-    """(cold rows, hot rows); a null key is cold."""
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    """(cold rows, hot rows); a null key is hot if None is in the list."""
+    is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(None in hot))
     return df.where(~is_hot), df.where(is_hot)

@@ -3,6 +3,8 @@ retry and later run puts an entity on the same side."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +48,14 @@ def entity_split(df: DataFrame, id_col: str, test: float = 0.2, val: float = 0.1
 def stratified_entity_split(ids: DataFrame, id_col: str, label: str, test: float = 0.2, val: float = 0.1,
                             seed: int = 42, name: str = "split") -> DataFrame:
     """Split of unique ids with exact proportions per label: the share of ids of a label, in the
-    order of their hash. A label may hold nearly all ids, so the order is taken inside 4096
-    segments (the first three hash digits) and shifted by the counts of earlier segments."""
+    order of their hash. Ids without a label are a stratum of their own. A label may hold nearly all
+    ids, so the order is taken inside segments (4096 of the first three hash digits) and shifted by
+    the counts of earlier segments. If a label has too few ids to be divided (one), the split falls
+    back to ``entity_split`` for all, with a warning."""
     check_sizes(ids, id_col, test, val)
+    if not ids.groupBy(label).agg(F.count("*").alias("n")).where("n < 2").isEmpty():
+        warnings.warn(f"a value of {label!r} has a single id; splitting without strata", stacklevel=2)
+        return entity_split(ids.select(id_col, label), id_col, test, val, seed, name)
     keyed = (ids.select(id_col, label)
              .withColumn("_h", F.concat(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}"))), F.lit("|"), F.col(id_col).cast("string")))
              .withColumn("_cut", F.substring("_h", 1, 3)).withColumn("_one", F.lit(1)))

@@ -1,12 +1,14 @@
 """The plan for hot entities gives the same rows as the plan for ordinary ones."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.operators import blocks as B
 from ledgerfold.operators import ordered as O
 from ledgerfold.operators.attribution import shuffled
-from ledgerfold.operators.skew import hot_keys
+from ledgerfold.operators.skew import hot_keys, with_own_segment
+from ledgerfold.operators.split import stratified_entity_split
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
 from ledgerfold.operators.stats import fit_population_stats
@@ -63,17 +65,41 @@ def test_marts_with_hot_orders(spark, sf):
 def test_quantiles_of_segments(spark, skewed):
     df = skewed.withColumn("x", F.when(F.col("rn") % 3 == 0, 11.0).otherwise(F.col("rn") * 0.5)).withColumn("y", F.col("a").cast("double"))
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    cut = {r["feature"]: r for r in O.exact_quantiles(df, ["x", "y"], probs, small_cells=0).collect()}
+    cut = {r["feature"]: r for r in O.exact_quantiles(df, ["x", "y"], probs, segments=64).collect()}
     small = {r["feature"]: r for r in O.exact_quantiles(df, ["x", "y"], probs).collect()}
     for c in ("x", "y"):
         values = np.array([r[c] for r in df.select(c).collect() if r[c] is not None])
         want = np.quantile(values, probs)
         assert np.allclose([cut[c][f"q{i}"] for i in range(5)], want)
         assert np.allclose([small[c][f"q{i}"] for i in range(5)], want)
-    by = O.exact_quantiles(df, ["x"], [0.5], ["b"], small_cells=0)
-    for r in by.collect():
-        values = [v["x"] for v in df.where(F.col("b") == r["b"]).select("x").collect()]
-        assert np.isclose(r["q0"], np.median(values))
+    for segments in (None, 64):
+        by = O.exact_quantiles(df, ["x"], [0.5], ["a"], segments=segments).collect()
+        assert {r["a"] for r in by} == {None, 0, 1, 2}
+        for r in by:
+            values = [v["x"] for v in df.where(F.col("a").eqNullSafe(F.lit(r["a"]))).select("x").collect()]
+            assert np.isclose(r["q0"], np.median(values))
+
+
+def test_strata_without_label_and_with_one_id(spark):
+    ids = spark.range(100).withColumn("y", F.when(F.col("id") % 2 == 0, (F.col("id") % 4).cast("int")))
+    got = stratified_entity_split(ids, "id", "y").groupBy("y", "split").count().collect()
+    assert {(r["y"], r["split"]): r["count"] for r in got if r["y"] is None} == {(None, "test"): 10, (None, "val"): 5, (None, "train"): 35}
+    assert sum(r["count"] for r in got) == 100
+    with pytest.warns(UserWarning):
+        assert stratified_entity_split(ids.withColumn("y", F.when(F.col("id") == 3, 9).otherwise(F.col("y"))), "id", "y").count() == 100
+
+
+def test_hot_null_and_narrow_orders(spark):
+    rows = ([(None, i, i % 5) for i in range(400)] + [(1, i, i % 3) for i in range(300)] + [(2, 10_000_000 + i, i % 7) for i in range(300)]
+            + [(3 + i % 50, 5_000 + i, 1) for i in range(200)])
+    df = spark.createDataFrame(rows, "id bigint, rn int, a int").repartition(5)
+    assert set(hot_keys(df, "id", 200)) == {None, 1, 2}
+    plain = rows_of(O.with_previous(df, "id", "rn", ["a"], []))
+    assert plain == rows_of(O.with_previous(df, "id", "rn", ["a"], [None, 1, 2]))
+    agg = {"n": F.count("*"), "s": F.sum("a")}
+    assert rows_of(O.with_group_values(df, "id", agg, [])) == rows_of(O.with_group_values(df, "id", agg, [None, 1, 2]))
+    cut = with_own_segment(df.where("id in (1, 2)"), "id", "rn", 8).groupBy("id").agg(F.count_distinct("_seg").alias("k")).collect()
+    assert {r["id"]: r["k"] for r in cut} == {1: 8, 2: 8}
 
 
 def test_running_sums(skewed):
