@@ -142,8 +142,11 @@ def code_bit(c: Column | str, word: int = 0, n_bins: int = BITS_PER_WORD) -> Col
     return checked
 
 
-def row_bits(cols, n_bins: int = BITS_PER_WORD) -> Column:
-    """Number of different codes among the columns of one row; codes are 0..n_bins-1."""
+def row_bits(cols, n_bins: int | None = None) -> Column:
+    """Number of different codes among the columns of one row; of any codes, or of a declared range
+    0..n_bins-1 by bit sets."""
+    if n_bins is None:
+        return F.size(F.array_distinct(F.array_compact(F.array(*cols))))
     xs = [f"int({t})" for t in texts(cols)]
     words = []
     for w in range((n_bins + BITS_PER_WORD - 1) // BITS_PER_WORD):

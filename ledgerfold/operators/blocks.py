@@ -12,11 +12,12 @@ from ledgerfold.functions.scalar import (
     BITS_PER_WORD, any_flag_off, code_bit, flag_int, false_if_null, not_flag_int, safe_ratio)
 
 
-def distinct_codes(c: str, n_bins: int | None = BITS_PER_WORD) -> Column:
-    """Exact COUNT(DISTINCT code). With a declared code range the buffer is a bit set;
-    ``n_bins=None`` is for columns of unknown range and lets Spark expand the rows."""
+def distinct_codes(c: str, n_bins: int | None = None) -> Column:
+    """Exact COUNT(DISTINCT code) of any codes; the buffer holds an entity's different codes. Who
+    knows the range can declare it: 0..n_bins-1 are counted in a bit set of fixed width, which stays
+    a hash aggregate, and a code outside fails the job."""
     if n_bins is None:
-        return F.count_distinct(c)
+        return F.size(F.collect_set(c)).cast("bigint")
     words = range((n_bins + BITS_PER_WORD - 1) // BITS_PER_WORD)
     parts = [F.bit_count(F.coalesce(F.bit_or(code_bit(c, w, n_bins)), F.lit(0).cast("bigint"))) for w in words]
     return reduce(lambda a, b: a + b, parts).cast("bigint")
@@ -80,7 +81,8 @@ def global_non_dominant(modes: dict[str, Column]) -> list[Column]:
 
 def local_non_dominant(cols, n_bins: int) -> list[Column]:
     """Count and share of rows that differ from the entity's own mode: present rows minus the
-    largest value count. One counter per code, so the range must be small and declared."""
+    largest value count. One counter per code of a small declared range; for any codes there is
+    ``stats.local_non_dominant_counts``."""
     out = []
     for c in cols:
         x = F.col(c)
@@ -94,11 +96,11 @@ def local_non_dominant(cols, n_bins: int) -> list[Column]:
     return out
 
 
-def distinct_counts(cols, n_bins: int | None = BITS_PER_WORD) -> list[Column]:
+def distinct_counts(cols, n_bins: int | None = None) -> list[Column]:
     return [distinct_codes(c, n_bins).alias(f"distinct_{c}_count") for c in cols]
 
 
-def ever_changed(cols, n_bins: int | None = BITS_PER_WORD) -> list[Column]:
+def ever_changed(cols, n_bins: int | None = None) -> list[Column]:
     return [(distinct_codes(c, n_bins) > 1).alias(f"{c}_ever_changed") for c in cols]
 
 
@@ -132,7 +134,7 @@ def _hit(cond: Column, null_as_zero: bool) -> Column:
     return false_if_null(cond) if null_as_zero else cond.cast("int")
 
 
-def nunique_first_last(cols, order: str, n_bins: int | None = BITS_PER_WORD) -> list[Column]:
+def nunique_first_last(cols, order: str, n_bins: int | None = None) -> list[Column]:
     out = []
     for c in cols:
         out += [distinct_codes(c, n_bins).alias(f"{c}_nunique"), F.min_by(c, order).alias(f"{c}_first"),

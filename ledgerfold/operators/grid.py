@@ -29,7 +29,7 @@ def split_months(columns, pattern: str, special) -> tuple[list[str], list[str]]:
     return [c for m, c in months if m not in special], [c for m, c in months if m in special]
 
 
-def grid_row_stats(columns, pattern: str, codes, n_bins: int = 64, prefix: str = "paym_row") -> list[Column]:
+def grid_row_stats(columns, pattern: str, codes, n_bins: int | None = None, prefix: str = "paym_row") -> list[Column]:
     """Row-local: distinct codes, changes between neighbouring non-empty months, first and last
     code, share of each wanted code. A row without any status gives nulls."""
     cols = [c for _, c in grid_columns(columns, pattern)]
@@ -56,19 +56,23 @@ def grid_entity_agg(codes, prefix: str = "paym_row") -> list[Column]:
     return out + [F.avg(f"{prefix}_share_code_{v}").alias(f"{prefix}_share_code_{v}_mean") for v in codes]
 
 
-def grid_regular(columns, pattern: str, special, normal, ever, n_codes: int, prefix: str = "paym_regular") -> list[Column]:
-    """Over regular months: entropy sum, cells outside the normal codes (count and share), whether
-    a code ever occurs. Codes are 0..n_codes-1; another code fails the job."""
+def grid_regular(columns, pattern: str, special, normal, ever, n_codes: int | None = None, prefix: str = "paym_regular") -> list[Column]:
+    """Over regular months: cells outside the normal codes (count and share), whether a code ever
+    occurs. With a declared range 0..n_codes-1 also the entropy sum, from one counter per code (a
+    code outside fails the job); for any codes that is ``grid_entropy``."""
     cols, _ = split_months(columns, pattern, special)
     n = F.sum(count_present(cols))
-    per_code = [F.sum(count_equal(cols, v)) for v in range(n_codes)]
     inside = reduce(lambda a, b: a + b, [count_equal(cols, v) for v in normal])
     outside = F.sum(count_present(cols) - inside)
-    checked = F.when(reduce(lambda a, b: a + b, per_code) == n, n).otherwise(
-        F.raise_error(F.lit(f"grid status outside 0..{n_codes - 1}")))
-    terms = [F.when(k > 0, k * (k / checked) * F.log(k / checked)).otherwise(0.0) for k in per_code]
+    entropy = []
+    if n_codes is not None:
+        per_code = [F.sum(count_equal(cols, v)) for v in range(n_codes)]
+        checked = F.when(reduce(lambda a, b: a + b, per_code) == n, n).otherwise(
+            F.raise_error(F.lit(f"grid status outside 0..{n_codes - 1}")))
+        terms = [F.when(k > 0, k * (k / checked) * F.log(k / checked)).otherwise(0.0) for k in per_code]
+        entropy = [F.when(n > 0, reduce(lambda a, b: a + b, terms)).alias(f"{prefix}_entropy")]
     return [
-        F.when(n > 0, reduce(lambda a, b: a + b, terms)).alias(f"{prefix}_entropy"),
+        *entropy,
         F.when(n > 0, outside).alias(f"{prefix}_outside_{'_'.join(map(str, normal))}_count"),
         safe_ratio(outside, n).alias(f"{prefix}_outside_{'_'.join(map(str, normal))}_share"),
         F.when(n > 0, F.max((count_equal(cols, ever) > 0).cast("int"))).alias(f"{prefix}_ever_bin{ever}"),

@@ -17,8 +17,9 @@ HOT_ROWS = 1_000_000
 # The sketch tracks TRACKED items; at most MAX_HOT of them are returned (a bound on the driver).
 TRACKED = 16_384
 MAX_HOT = 1_000
-# Ordered work is cut into parts of about SEGMENT_ROWS rows, at most SEGMENTS of them.
+# Ordered work is cut into parts of about SEGMENT_ROWS rows, LEAST_SEGMENTS to SEGMENTS of them.
 SEGMENT_ROWS = 1_000_000
+LEAST_SEGMENTS = 16
 SEGMENTS = 4096
 
 
@@ -43,7 +44,7 @@ def grid_of_quantiles(column: str) -> Column:
 def thinned(bounds: list[float] | None, rows: int, segments: int | None) -> list[float]:
     """Of SEGMENTS - 1 quantiles those that cut ``rows`` rows into parts of about SEGMENT_ROWS, or
     into ``segments`` parts; strictly increasing."""
-    parts = min(SEGMENTS, segments or -(-rows // SEGMENT_ROWS))
+    parts = min(SEGMENTS, segments or max(LEAST_SEGMENTS, -(-rows // SEGMENT_ROWS)))
     return sorted({bounds[i * SEGMENTS // parts - 1] for i in range(1, parts)}) if bounds else []
 
 

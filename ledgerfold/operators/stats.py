@@ -108,14 +108,21 @@ def inject_stats(df: DataFrame, stats: DataFrame, cols, name: str = "_stats") ->
         *[F.coalesce(of(c, "mode_value"), F.lit(MISSING_CODE)).alias("m_" + c) for c in cols],
         *[F.coalesce(of(c, "rare_bins"), F.array(F.lit(MISSING_CODE))).alias("rare_" + c) for c in cols],
     ).select(F.struct("*"))
-    out = df.withColumn(name, one_row.scalar())
-    return (out, {c: F.col(f"{name}.m_{c}") for c in cols}, {c: F.col(f"{name}.rare_{c}") for c in cols})
+    return df.withColumn(name, one_row.scalar()), mode_columns(cols, name), rare_columns(cols, name)
+
+
+def mode_columns(cols, name: str = "_modes") -> dict[str, Column]:
+    return {c: F.col(f"{name}.m_{c}") for c in cols}
+
+
+def rare_columns(cols, name: str = "_stats") -> dict[str, Column]:
+    return {c: F.col(f"{name}.rare_{c}") for c in cols}
 
 
 def inject_modes(df: DataFrame, modes: DataFrame, cols, name: str = "_modes") -> tuple[DataFrame, dict[str, Column]]:
     """The one row of ``global_modes`` as a constant on every row."""
     one = modes.select(F.struct(*["m_" + c for c in cols]))
-    return df.withColumn(name, one.scalar()), {c: F.col(f"{name}.m_{c}") for c in cols}
+    return df.withColumn(name, one.scalar()), mode_columns(cols, name)
 
 
 def top_values(counts: DataFrame, n: int) -> DataFrame:

@@ -292,6 +292,8 @@ def _regular(names):
     def run(spark, sf):
         h, g = V.history(spark, sf), V.GRID
         made = h.groupBy("id").agg(*G.grid_regular(h.columns, g.pattern, g.special, g.normal, g.ever, g.n_codes))
+        entropy = G.grid_entropy(h, "id", g.pattern, g.special).select("id", F.col("grid_entropy").alias("paym_regular_entropy"))
+        made = made.join(entropy, "id", "left") if "paym_regular_entropy" in names else made
         return rounded(made.select("id", *names))
     return run
 

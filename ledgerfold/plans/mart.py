@@ -11,7 +11,8 @@ from ledgerfold.operators import blocks as B
 from ledgerfold.operators import grid as G
 from ledgerfold.operators.ordered import aggregate_entities, ordered_text, with_previous
 from ledgerfold.operators.skew import hot_keys
-from ledgerfold.operators.stats import global_modes, inject_modes, inject_stats
+from ledgerfold.operators.stats import (
+    global_modes, inject_modes, inject_stats, local_non_dominant_counts, mode_columns, rare_columns)
 from ledgerfold.sources.readers import join_target
 
 
@@ -19,7 +20,7 @@ from ledgerfold.sources.readers import join_target
 class GridSpec:
     pattern: str
     special: tuple = ()
-    n_codes: int = 8
+    n_codes: int | None = None
     normal: tuple = (0, 3)
     special_normal: tuple = (4, 1)
     worst: int = 3
@@ -29,12 +30,13 @@ class GridSpec:
 
 @dataclass(frozen=True)
 class HistorySpec:
-    """Where the keys are. ``order`` is unique within an entity; codes are 0..n_bins-1."""
+    """Where the keys are. ``order`` is unique within an entity. ``n_bins`` declares that codes are
+    0..n_bins-1; None takes any codes."""
 
     id: str = "id"
     rn: str = "rn"
     order: str = "rn"
-    n_bins: int = 64
+    n_bins: int | None = None
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ class SnapshotMart:
     sequences: tuple
     first_eq_last: tuple
     grid: GridSpec
-    local_bins: int = 32
+    local_bins: int | None = None
 
 
 @dataclass(frozen=True)
@@ -77,28 +79,40 @@ class LeakFreeMart:
 def mart_v1(df: DataFrame, keys: HistorySpec, spec: SnapshotMart, target: DataFrame | None = None,
             hot: list | None = None) -> DataFrame:
     """Snapshots, flag shares, distance from population and own modes, diversity, code sequences
-    and the month grid, one row per entity. The population mode is that of the rows given."""
+    and the month grid, one row per entity. The population mode is that of the rows given.
+
+    Without declared code ranges the own modes and the entropy of the grid are aggregates of their
+    own, joined by id; with them they are columns of the wide one."""
     rows = df.where(F.col(keys.id).isNotNull())
     hot = hot_keys(rows, keys.id) if hot is None else hot
-    frame, modes = inject_modes(rows, global_modes(rows, spec.coded), spec.coded)
+    population = global_modes(rows, spec.coded)
+    modes = mode_columns(spec.coded)
     g = spec.grid
-    wide = aggregate_entities(frame, keys.id, [
+
+    def with_modes(part, hot_):
+        # after the shuffle, so that it does not carry a copy of the modes in every row
+        return inject_modes(part, population, spec.coded)[0]
+
+    wide = aggregate_entities(rows, keys.id, [
         *B.history_counts(keys.rn),
         *B.snapshots(spec.last, keys.order, "last"),
         *B.snapshots(spec.first, keys.order, "first"),
         *B.flag_shares(spec.shares, spec.ever_off),
         *B.global_non_dominant(modes),
-        *B.local_non_dominant(spec.local, spec.local_bins),
+        *(B.local_non_dominant(spec.local, spec.local_bins) if spec.local_bins else ()),
         *B.distinct_counts(spec.distinct, keys.n_bins),
         *B.ever_changed(spec.sequences, keys.n_bins),
         *B.first_eq_last(spec.first_eq_last, keys.order),
         *G.grid_regular(rows.columns, g.pattern, g.special, g.normal, g.ever, g.n_codes),
         *G.grid_special(rows.columns, g.pattern, g.special, g.special_normal, g.worst),
-    ], hot)
-    # the ordered text keeps its own aggregate, so that the wide one stays a hash aggregate; both
-    # sides of the join are already partitioned by id
-    text = ordered_text(rows, keys.id, keys.order, spec.sequences, hot)
-    out = wide.join(text, keys.id, "left")
+    ], hot, with_modes)
+    # the ordered text keeps its own aggregate: its lists would slow down the wide one
+    out = wide.join(ordered_text(rows, keys.id, keys.order, spec.sequences, hot), keys.id, "left")
+    if spec.local and not spec.local_bins:
+        out = out.join(local_non_dominant_counts(rows, keys.id, spec.local), keys.id, "left")
+    if g.n_codes is None:
+        entropy = G.grid_entropy(rows, keys.id, g.pattern, g.special)
+        out = out.join(entropy.select(keys.id, F.col("grid_entropy").alias("paym_regular_entropy")), keys.id, "left")
     return join_target(out, target, keys.id) if target is not None else out
 
 
@@ -108,15 +122,16 @@ def mart_v2(df: DataFrame, keys: HistorySpec, spec: LeakFreeMart, stats: DataFra
     rows = df.where(F.col(keys.id).isNotNull())
     changing = list(dict.fromkeys(spec.having("change_count") + spec.having("changed_ever")))
     hot = hot_keys(rows, keys.id) if hot is None else hot
-    frame, modes, rare = inject_stats(rows, stats, list(spec.coded))
+    modes, rare = mode_columns(spec.coded, "_stats"), rare_columns(spec.coded)
     g = spec.grid
 
     def in_order(part, hot_):
-        # after the shuffle, so that it carries the month columns as they are
+        # after the shuffle, so that it carries the columns as they are and no copy of the statistics
+        part = inject_stats(part, stats, list(spec.coded))[0]
         part = part.select("*", *G.grid_row_stats(rows.columns, g.pattern, g.shares, g.n_codes))
         return with_previous(part, keys.id, keys.order, changing, hot_) if changing else part
 
-    out = aggregate_entities(frame, keys.id, [
+    out = aggregate_entities(rows, keys.id, [
         *B.base_counters(keys.rn, spec.flags),
         *B.zero_flags(spec.overdue, "has_overdue"),
         *B.zero_flags(spec.usage, "has_nonzero", spec.usage_counted),

@@ -16,7 +16,7 @@ CLOSED = ("pclose_flag", "fclose_flag")
 ZERO_DELAYS = ("is_zero_loans5", "is_zero_loans530", "is_zero_loans3060", "is_zero_loans6090", "is_zero_loans90")
 ZERO_USAGE = ("is_zero_util", "is_zero_over2limit", "is_zero_maxover2limit")
 
-CREDIT_KEYS = HistorySpec(id="id", rn="rn", order="rn", n_bins=64)
+CREDIT_KEYS = HistorySpec(id="id", rn="rn", order="rn")
 CREDIT_GRID = GridSpec(pattern="^enc_paym_[0-9]+$", special=(11, 24))
 
 CREDIT_V1 = SnapshotMart(

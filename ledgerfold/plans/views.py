@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerfold.plans.mart import GridSpec, HistorySpec, LeakFreeMart, SnapshotMart
 
-KEYS = HistorySpec(id="id", rn="rn", order="seq", n_bins=64)
-GRID = GridSpec(pattern="^grid_[0-9]+$", special=(3,), n_codes=8)
+KEYS = HistorySpec(id="id", rn="rn", order="seq")
+GRID = GridSpec(pattern="^grid_[0-9]+$", special=(3,))
 CODES = ("pre_disc", "pre_tax", "pre_qty", "pre_part", "enc_ret", "enc_stat")
 
 MART_V1 = SnapshotMart(
@@ -17,7 +17,7 @@ MART_V1 = SnapshotMart(
     ever_off={"ever_had_a": "is_zero_a", "ever_had_b": "is_zero_b"},
     coded=CODES, local=("pre_disc", "pre_tax", "pre_part", "enc_ret"), distinct=CODES,
     sequences=("pre_disc", "pre_part", "enc_ret"), first_eq_last=("pre_disc", "pre_part"),
-    grid=GRID, local_bins=16)
+    grid=GRID)
 
 MART_V2 = LeakFreeMart(
     flags=("pclose_flag", "fclose_flag"), overdue={"a": "is_zero_a", "b": "is_zero_b"}, usage={"c": "is_zero_c"},

@@ -1,6 +1,7 @@
 """Mart semantics that bite, plan shape, and the credit-history layout."""
 
 import itertools
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -51,13 +52,50 @@ def test_grid_rows_against_plain_python(spark):
         assert r["paym_row_share_code_0"] == (v.count(0) / len(v) if v else None)
 
 
-def test_second_mart_shuffles_history_once(spark, sf):
+def exchanges_of_history(df):
+    """Output lists of the exchanges by id that carry rows of the history."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    formatted = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "Exchange" in text
+    out = []
+    for block in formatted.split("\n\n"):
+        if "Exchange" in block.split("\n")[0] and "REPARTITION_BY_COL" in block:
+            out.append(block)
+    return out
+
+
+def test_statistics_do_not_travel(spark, sf):
+    """One exchange of the history by id for the wide block, without statistics in its rows; the
+    same for hot entities, whose rows are not dealt out at all."""
     h = V.history(spark, sf)
     stats = spark.createDataFrame([(c, 1, [2]) for c in V.MART_V2.coded], "feature string, mode_value int, rare_bins array<int>").coalesce(1)
-    plan = plan_of(M.mart_v2(h, V.KEYS, V.MART_V2, stats, hot=[]))
-    main = plan.split("Subquery subquery")[0] + plan.split("FileScan")[-2].split("Scan ExistingRDD")[-1]
-    assert main.count("Exchange hashpartitioning(id") == 1
-    assert "Expand" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for hot in ([], [5]):
+        for made in (M.mart_v2(h, V.KEYS, V.MART_V2, stats, hot=hot), M.mart_v1(h, V.KEYS, V.MART_V1, hot=hot)):
+            found = exchanges_of_history(made)
+            assert len(found) == 1 and "_stats" not in found[0] and "_modes" not in found[0]
+            plan = plan_of(made)
+            assert "Expand" not in plan and "CartesianProduct" not in plan
+
+
+def test_any_codes(spark):
+    """Codes far outside the usual ranges, negative ones too, count like any others."""
+    h = credit_history(spark, 30)
+    odd = h.withColumns({c: F.when(F.col("rn") == 2, F.lit(1000)).when(F.col("rn") == 3, F.lit(-7)).otherwise(F.col(c))
+                         for c in ("pre_loans_credit_limit", "pre_util", "pre_loans5", "enc_paym_2")})
+    one = {r["id"]: r for r in M.mart_v1(odd, P.CREDIT_KEYS, P.CREDIT_V1).collect()}
+    two = {r["id"]: r for r in M.mart_v2(odd, P.CREDIT_KEYS, P.CREDIT_V2, fit_population_stats(odd, list(P.CREDIT_V2.coded))).collect()}
+    by = {}
+    for r in odd.collect():
+        by.setdefault(r["id"], []).append(r)
+    for i, rows in by.items():
+        values = [r["pre_loans5"] for r in rows if r["pre_loans5"] is not None]
+        assert one[i]["distinct_pre_loans5_count"] == len(set(values))
+        top = max((values.count(v) for v in values), default=None)
+        assert one[i]["pre_loans5_lnd_count"] == (len(values) - top if values else None)
+        assert two[i]["pre_util_nunique"] == len({r["pre_util"] for r in rows} - {None})
+        cells = [r[f"enc_paym_{m}"] for r in rows for m in range(25) if m not in (11, 24) and r[f"enc_paym_{m}"] is not None]
+        want = sum(cells.count(v) ** 2 / len(cells) * math.log(cells.count(v) / len(cells)) for v in set(cells)) if cells else None
+        assert math.isclose(one[i]["paym_regular_entropy"], want, abs_tol=1e-9)
 
 
 def test_scan_reads_only_needed_columns(spark, sf):
