@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local: list[str] = []
 
 
@@ -35,8 +37,16 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: lineage ends there, and losing an executor
-    costs a re-read instead of a recomputation."""
+    costs a re-read instead of a recomputation. The shuffle files of the write are not needed any
+    more and are removed with it, where the Spark version can do that."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
