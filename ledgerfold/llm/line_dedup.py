@@ -32,53 +32,54 @@ PLAN_TEXT, PLAN_TEXT_DEFAULT = "spark.sql.maxPlanStringLength", "2147483632b"
 
 
 def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(line), r"\s+"), "")
 
 
 def rarity_levels(texts: DataFrame) -> Column:
-    """Constant array: for each hash bucket the level (4 log2 of the count) of its words. The
-    counts are over all texts; what the driver passes on is one number per bucket."""
+    """Constant array: for each hash bucket the level (4 log2 of the count) of its words, in the
+    eight highest bits of a long. The counts are over all texts; what the driver passes on is one
+    number per bucket."""
     spark = texts.sparkSession
     words = texts.select(F.explode(F.split(F.lower("_text"), r"\s+")).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("id")).agg(F.count("*").alias("n"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).agg(F.count("*").alias("n"))
     level = F.coalesce(F.least(F.floor(4 * F.log2("n")), F.lit(127)), F.lit(0)).alias("level")
     row = (spark.range(BUCKETS).join(counts, "id", "left").select("id", level)
            .agg(F.array_sort(F.collect_list(F.struct("id", "level"))).alias("s"))
-           .select(F.array_join(F.col("s.level").cast("array<string>"), ",")).first())
+           .select(F.array_join(F.transform("s", lambda s: F.shiftleft(s["level"].cast("bigint"), 56).cast("string")), ",")).first())
     if spark.conf.get(PLAN_TEXT) == PLAN_TEXT_DEFAULT:
         spark.conf.set(PLAN_TEXT, "100000")  # the array is not for printing with every plan
-    return F.split(F.lit(row[0]), ",").cast("array<tinyint>")
+    return F.split(F.lit(row[0]), ",").cast("array<bigint>")
 
 
 def coded_lines(texts: DataFrame) -> DataFrame:
     """(doc, line, hash, k1, k2, n, sig, prefix) of every line that has a word; texts: (doc, _text)."""
     levels = rarity_levels(texts)
 
-    def code(word):
-        h = F.xxhash64(word)
-        rare = F.get(levels, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint")
-        return F.shiftleft(rare, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    def code(h):
+        return F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    lines = texts.select("doc", F.posexplode(F.split("_text", "\n")).alias("line", "_line"))
-    sets = lines.select("doc", "line", F.xxhash64("_line").alias("hash"), F.sort_array(F.array_distinct(F.transform(words_of(F.col("_line")), code))).alias("codes"))
+    lines = texts.select("doc", F.posexplode(F.split("_text", "\n")).alias("line", "_line")).where(F.col("_line").rlike(r"\S"))
+    sets = lines.select("doc", "line", F.xxhash64("_line").alias("hash"), F.sort_array(F.transform(
+        F.array_distinct(F.transform(words_of(F.col("_line")), lambda w: F.xxhash64(w))), code)).alias("codes"))
     n = F.size("codes")
     parity = F.aggregate("codes", F.lit(0).cast("bigint"), lambda s, c: s.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))))
-    return sets.where("size(codes) > 0").select(
+    return sets.select(
         "doc", "line", "hash", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), "codes").alias("k2"), n.alias("n"), parity.alias("sig"),
         F.slice("codes", F.lit(1), n - F.expr(f"cast((size(codes) * {NUM} + {DEN - 1}) div {DEN} as int)") + 1).alias("prefix"))
 
 
-def could_match(a: str, b: str) -> Column:
-    """Length and signature filters on two sets."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+def could_match(a: str, b: str, size: str = "n") -> Column:
+    """Length and signature filters on two sets; ``size`` names the size of the first."""
+    n, m = F.col(f"{a}.{size}"), F.col(f"{b}.n")
     apart = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig")))
     # Jaccard t needs an overlap of t / (1 + t) of both sizes together.
     return (n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (apart * (NUM + DEN) <= (n + m) * (DEN - NUM))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (doc, line) of pairs (doc, line, edoc, eline) that are similar by their words. Texts are
+    """The (doc, line) of pairs (doc, line, edoc, eline, both) that are similar by their words; ``both``
+    is the number of words of the two sets. Texts are
     met by document; only the lines asked for are cut out of them."""
     pairs = written(pairs, "pairs")
     asked = (pairs.select("doc", "line").union(pairs.select("edoc", "eline"))
@@ -87,13 +88,13 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         texts.join(asked, F.col("doc").eqNullSafe(F.col("_doc")))
         .select("doc", "_lines", F.split("_text", "\n").alias("_all"))
         .select("doc", "_all", F.explode("_lines").alias("line")).where("line < size(_all)")
-        .select("doc", "line", F.array_distinct(words_of(F.get("_all", F.col("line")))).alias("w")).distinct(), "asked")
+        .select("doc", "line", F.get("_all", F.col("line")).alias("t")).distinct(), "asked")
     own, early = lines.alias("o"), lines.alias("e")
     joined = (pairs.alias("p")
               .join(own, F.col("p.doc").eqNullSafe(F.col("o.doc")) & (F.col("p.line") == F.col("o.line")))
               .join(early, F.col("p.edoc").eqNullSafe(F.col("e.doc")) & (F.col("p.eline") == F.col("e.line"))))
-    shared = F.size(F.array_intersect("o.w", "e.w"))
-    return joined.where(shared * (NUM + DEN) >= (F.size("o.w") + F.size("e.w")) * NUM).select("p.doc", "p.line").distinct()
+    shared = F.size(F.array_intersect(words_of(F.col("o.t")), words_of(F.col("e.t"))))
+    return joined.where(shared * (NUM + DEN) >= F.col("both") * NUM).select("p.doc", "p.line").distinct()
 
 
 def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
@@ -102,20 +103,23 @@ def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
     first = sets.select(place.alias("s"), F.explode(F.slice("prefix", 1, LEADERS)).alias("token"))
     leaders = first.groupBy("token").agg(F.min("s").alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
     led = (first.join(leaders, "token").where(could_match("s", "e") & (F.col("s") != F.col("e")))
-           .select("s.doc", "s.line", F.col("e.doc").alias("edoc"), F.col("e.line").alias("eline")).distinct())
+           .select("s.doc", "s.line", F.col("e.doc").alias("edoc"), F.col("e.line").alias("eline"), (F.col("s.n") + F.col("e.n")).alias("both")).distinct())
     found = written(verified(led, texts), "led")
 
     rows = (sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
                       F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
-            .select(place.alias("s"), F.coalesce("_open", F.lit(True)).alias("open"), F.posexplode("prefix").alias("pos", "token")))
-    later, early = rows.alias("l"), rows.select("token", F.col("s").alias("e"), F.col("pos").alias("epos"))
-    n, m = F.col("s.n"), F.col("e.n")
-    left_over = F.least(n - F.col("pos"), m - F.col("epos"))
-    pairs = (later.join(early, "token")
-             .where(F.col("open") & (F.struct("e.doc", "e.line") < F.struct("s.doc", "s.line"))
-                    & could_match("s", "e") & (left_over * (NUM + DEN) >= (n + m) * NUM))
-             .select("s.doc", "s.line", F.col("e.doc").alias("edoc"), F.col("e.line").alias("eline")).distinct())
-    return found.union(verified(pairs, texts))
+            .select(F.struct("doc", "line", "n", "sig", F.when(F.col("_open").isNull(), F.col("n")).otherwise(0).alias("open_n")).alias("s"),
+                    F.posexplode("prefix").alias("pos", "token")))
+    # Both sides are the same frame, so that its exchange is made once and read twice: sets that
+    # have a match already are kept out by their size of 0 as the later side.
+    later, early = rows.alias("l"), rows.alias("r")
+    n, m = F.col("l.s.open_n"), F.col("r.s.n")
+    left_over = F.least(n - F.col("l.pos"), m - F.col("r.pos"))
+    pairs = (later.join(early, F.col("l.token") == F.col("r.token"))
+             .where((F.struct("r.s.doc", "r.s.line") < F.struct("l.s.doc", "l.s.line"))
+                    & could_match("l.s", "r.s", "open_n") & (left_over * (NUM + DEN) >= (n + m) * NUM))
+             .select("l.s.doc", "l.s.line", F.col("r.s.doc").alias("edoc"), F.col("r.s.line").alias("eline"), (n + m).alias("both")).distinct())
+    return written(found.union(verified(pairs, texts)), "repeated")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -139,31 +143,38 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .where(F.coalesce("gone", F.lit(False)) | ~own).select("doc", "line", "hash").distinct())
 
 
-def with_removed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with _lines (their lines) and _gone (numbers of the lines to remove, ascending)."""
-    marks = removed_lines(docs, id_col, text_col).groupBy(F.col("doc").alias("_doc")).agg(
+def marks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_doc, _marks): per document the (line, hash) to remove."""
+    return removed_lines(docs, id_col, text_col).groupBy(F.col("doc").alias("_doc")).agg(
         F.collect_list(F.struct("line", "hash")).alias("_marks"))
-    lines = F.split(whole_text(text_col), "\n")
-    met = docs.join(marks, F.col(id_col).cast("bigint").eqNullSafe(F.col("_doc")), "left").withColumn("_lines", lines)
-    meant = F.filter(F.coalesce("_marks", F.array().cast("array<struct<line:int,hash:bigint>>")),
-                     lambda m: F.xxhash64(F.get("_lines", m["line"])) == m["hash"])
-    return met.withColumn("_gone", F.sort_array(F.transform(meant, lambda m: m["line"]))).drop("_doc", "_marks")
+
+
+def meant_lines(hash_at) -> Column:
+    """Of _marks the numbers of the lines that have the marked text; ascending."""
+    marks = F.coalesce("_marks", F.array().cast("array<struct<line:int,hash:bigint>>"))
+    return F.sort_array(F.transform(F.filter(marks, lambda m: hash_at(m["line"]) == m["hash"]), lambda m: m["line"]))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_removed, removed_lines (numbers from 0)."""
-    return with_removed(docs.select(id_col, text_col), id_col, text_col).select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.size("_lines").alias("n_lines"), F.size("_gone").alias("n_removed"),
-        F.col("_gone").alias("removed_lines"))
+    """One row per row of ``docs``: doc_id, n_lines, n_removed, removed_lines (numbers from 0). Texts
+    are not shuffled for it, only a hash per line."""
+    hashes = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
+                         F.transform(F.split(whole_text(text_col), "\n"), lambda t: F.xxhash64(t)).alias("_hashes"))
+    met = hashes.join(marks_of(docs, id_col, text_col), F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    gone = met.select("doc_id", F.size("_hashes").alias("n_lines"), meant_lines(lambda i: F.get("_hashes", i)).alias("removed_lines"))
+    return gone.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), "removed_lines")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` without their repeated lines, and with n_chars (if there) counted anew.
     A text that loses every line is empty; a row without removals is unchanged, null text included."""
+    lines = F.split(whole_text(text_col), "\n")
+    met = docs.join(marks_of(docs, id_col, text_col), F.col(id_col).cast("bigint").eqNullSafe(F.col("_doc")), "left").withColumn("_lines", lines)
+    met = met.withColumn("_gone", meant_lines(lambda i: F.xxhash64(F.get("_lines", i))))
     keep = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     rest = F.array_join(F.transform(keep, lambda i: F.get("_lines", i)), "\n")
     changed = F.size("_gone") > 0
     new = {text_col: F.when(changed, rest).otherwise(F.col(text_col))}
     if chars_col in docs.columns:
         new[chars_col] = F.when(changed, F.char_length(rest).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))
-    return with_removed(docs, id_col, text_col).withColumns(new).select(*docs.columns)
+    return met.withColumns(new).select(*docs.columns)
