@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import small_batches, whole_text
-from ledgerfold.sources.scratch import new_path
+from ledgerfold.sources.scratch import new_path, written
 
 LIMIT = 4096
 CACHE = "tokenizer string, digest binary, n_tokens bigint"
@@ -95,9 +95,10 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str | None = None,
     spark = docs.sparkSession
     path = cache_path or new_path(spark, "token-cache")
     append_misses(docs, tokenizer, path, text_col, normalise)
-    # Writers that met at the same miss may both have appended it.
-    known = (spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == tokenizer_digest(tokenizer))
-             .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    # Writers that met at the same miss may both have appended it. Written, so that the join reads a plain table and adaptive execution can split a digest that
+    # very many rows share.
+    known = written(spark.read.schema(CACHE).parquet(path).where(F.col("tokenizer") == tokenizer_digest(tokenizer))
+                    .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.octet_length(text).cast("bigint").alias("n_bytes"),
                        digest(normalise(text).cast("binary")).alias("digest"))
