@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.bpe import grown
 from ledgerfold.llm.common import small_batches, text_bytes, whole_text
 
 MARK = "▁"
@@ -26,7 +27,7 @@ UNKNOWN_PENALTY = 10.0
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LONG = 64
 TOGETHER = 8192
-ENTRIES = 1_000_000
+ENTRIES = 800_000
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 _made: dict[str, "PieceCodec"] = {}
@@ -58,7 +59,7 @@ class PieceCodec:
         self.longest = max(map(len, texts))
         self.unknown = min(s for s, _ in self.scores_of.values()) - UNKNOWN_PENALTY
         self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, MULTIPLIER)]), dtype=np.uint64)
-        hashes = np.array([self.prefix_hashes(np.array([[ord(c) for c in t]], np.uint64))[0, -1] for t in texts], np.uint64)
+        hashes = np.array([self.prefix_hashes(np.array([[ord(c)] for c in t], np.uint64))[-1, 0] for t in texts], np.uint64)
         order = np.argsort(hashes)
         self.keys, self.key_ids = hashes[order], np.array(ordinary, np.int32)[order]
         self.key_scores = np.array([self.scores_of[t][0] for t in texts])[order]
@@ -67,41 +68,50 @@ class PieceCodec:
         self.clear()
 
     def clear(self):
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 20, np.int32), 0
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     @staticmethod
     def prefix_hashes(codes: np.ndarray) -> np.ndarray:
-        """For rows of code points: hashes of the prefixes of length 0, 1, ..."""
-        out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
-        for j in range(codes.shape[1]):
-            out[:, j + 1] = out[:, j] * MULTIPLIER + codes[:, j] + np.uint64(1)
+        """For columns of code points: hashes of the prefixes of length 0, 1, ..., one row each."""
+        out = np.zeros((codes.shape[0] + 1, codes.shape[1]), np.uint64)
+        for j in range(codes.shape[0]):
+            out[j + 1] = out[j] * MULTIPLIER + codes[j] + np.uint64(1)
         return out
 
     def solve(self, words: list[str]) -> list[list[int]]:
-        """Piece ids of words of one length; -1 stands for a character in no piece."""
+        """Piece ids of words of one length; -1 stands for a character in no piece. Arrays have one
+        row per position and one column per word."""
         n, length = len(words), len(words[0])
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).astype(np.uint64)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).T.astype(np.uint64)
         hashes = self.prefix_hashes(codes)
-        best = np.full((n, length + 1), -np.inf)
-        best[:, 0] = 0
-        back, piece = np.zeros((n, length + 1), np.int32), np.full((n, length + 1), -1, np.int32)
+        best = np.full((length + 1, n), -np.inf)
+        best[0] = 0
+        back, piece = np.zeros((length + 1, n), np.int32), np.full((length + 1, n), -1, np.int32)
+        last = len(self.keys) - 1
         for j in range(1, length + 1):
             for i in range(max(0, j - self.longest), j):
-                part = hashes[:, j] - hashes[:, i] * self.powers[j - i]
-                at = np.searchsorted(self.keys, part)
-                at[at == len(self.keys)] = 0
+                part = hashes[j] - hashes[i] * self.powers[j - i]
+                at = np.minimum(np.searchsorted(self.keys, part), last)
                 hit = self.keys[at] == part
-                gain = np.where(hit, self.key_scores[at], self.unknown if i == j - 1 else -np.inf) + best[:, i]
-                better = gain > best[:, j]
-                best[:, j] = np.where(better, gain, best[:, j])
-                back[:, j] = np.where(better, i, back[:, j])
-                piece[:, j] = np.where(better, np.where(hit, self.key_ids[at], -1), piece[:, j])
+                rows = np.flatnonzero(hit)
+                gain = self.key_scores[at[rows]] + best[i, rows]
+                better = gain > best[j, rows]
+                rows = rows[better]
+                best[j, rows], back[j, rows], piece[j, rows] = gain[better], i, self.key_ids[at[rows]]
+                if i == j - 1 and not hit.all():
+                    rows = np.flatnonzero(~hit)
+                    gain = self.unknown + best[i, rows]
+                    better = gain > best[j, rows]
+                    rows = rows[better]
+                    best[j, rows], back[j, rows], piece[j, rows] = gain[better], i, -1
         found: list[list[int]] = [[] for _ in words]
         rows, ends = np.arange(n), np.full(n, length)
         while len(rows):
-            for r, p in zip(rows.tolist(), piece[rows, ends].tolist()):
+            for r, p in zip(rows.tolist(), piece[ends, rows].tolist()):
                 found[r].append(p)
-            ends = back[rows, ends]
+            ends = back[ends, rows]
             rows, ends = rows[ends > 0], ends[ends > 0]
         return [f[::-1] for f in found]
 
@@ -123,9 +133,16 @@ class PieceCodec:
             found.append(p)
         return found[::-1]
 
-    def with_bytes(self, word: str, pieces: list[int]) -> np.ndarray:
-        if -1 not in pieces:
-            return np.array(pieces, np.int32)
+    def spells(self, pieces: list[int], word: str) -> bool:
+        at = 0
+        for p in pieces:
+            size = 1 if p < 0 else len(self.pieces[p])
+            if p >= 0 and self.pieces[p] != word[at:at + size]:
+                return False
+            at += size
+        return at == len(word)
+
+    def with_bytes(self, word: str, pieces: list[int]) -> list[int]:
         out, at = [], 0
         for p in pieces:
             if p < 0:
@@ -134,10 +151,13 @@ class PieceCodec:
             else:
                 out.append(p)
                 at += len(self.pieces[p])
-        return np.array(out, np.int32)
+        return out
 
     def learn(self, words: set[str]) -> None:
         by_length: dict[int, list[str]] = {}
+        names: list[str] = []
+        ids: list[int] = []
+        sizes: list[int] = []
         for word in words:
             if word not in self.known:
                 by_length.setdefault(len(word), []).append(word)
@@ -145,22 +165,42 @@ class PieceCodec:
             for at in range(0, len(group), TOGETHER):
                 part = group[at:at + TOGETHER]
                 for word, pieces in zip(part, self.solve(part) if length <= LONG else map(self.solve_alone, part)):
-                    at_char = 0
-                    for p in pieces:
-                        size = 1 if p < 0 else len(self.pieces[p])
-                        if p >= 0 and self.pieces[p] != word[at_char:at_char + size]:
-                            pieces = self.solve_alone(word)
-                            break
-                        at_char += size
-                    self.known[word] = self.with_bytes(word, pieces)
+                    if -1 in pieces:
+                        pieces = self.with_bytes(word, pieces if self.spells(pieces, word) else self.solve_alone(word))
+                    elif "".join(map(self.pieces.__getitem__, pieces)) != word:
+                        pieces = self.with_bytes(word, self.solve_alone(word))
+                    names.append(word)
+                    ids += pieces
+                    sizes.append(len(pieces))
+        first, n, total = len(self.known), len(self.known) + len(names), self.used + len(ids)
+        self.start, self.length, self.flat = grown(self.start, n), grown(self.length, n), grown(self.flat, total)
+        self.flat[self.used:total] = ids
+        self.length[first:n] = sizes
+        self.start[first:n] = self.used + np.cumsum(self.length[first:n]) - self.length[first:n]
+        self.known.update(zip(names, range(first, n)))
+        self.used = total
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > ENTRIES:
             self.clear()
-        split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        self.learn({w for words in split for w in words})
-        get = self.known.__getitem__
-        return [np.concatenate([np.zeros(0, np.int32), *map(get, words)]) for words in split]
+        if not texts:
+            return []
+        words: list[str] = []
+        counts = []
+        for text in texts:
+            own = WORD.findall(MARK + text.replace(" ", MARK)) if text else []
+            words += own
+            counts.append(len(own))
+        try:
+            index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            self.learn(set(words))
+            index = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        sizes = self.length[index]
+        after = np.cumsum(sizes)
+        ids = self.flat[np.repeat(self.start[index] - (after - sizes), sizes) + np.arange(int(after[-1]) if len(after) else 0)]
+        ends = np.concatenate([[0], after])[np.cumsum(counts)]
+        return np.split(ids, ends[:-1])
 
     def decode(self, ids) -> str:
         """The text of ids; control pieces have none, bytes that are no UTF-8 become U+FFFD."""
