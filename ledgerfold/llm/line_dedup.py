@@ -69,9 +69,9 @@ def coded_lines(texts: DataFrame) -> DataFrame:
         F.slice("codes", F.lit(1), n - F.expr(f"cast((size(codes) * {NUM} + {DEN - 1}) div {DEN} as int)") + 1).alias("prefix"))
 
 
-def could_match(a: str, b: str, size: str = "n") -> Column:
-    """Length and signature filters on two sets; ``size`` names the size of the first."""
-    n, m = F.col(f"{a}.{size}"), F.col(f"{b}.n")
+def could_match(a: str, b: str) -> Column:
+    """Length and signature filters on two sets."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     apart = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig")))
     # Jaccard t needs an overlap of t / (1 + t) of both sizes together.
     return (n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (apart * (NUM + DEN) <= (n + m) * (DEN - NUM))
@@ -108,17 +108,16 @@ def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
     rows = (sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
                       F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
-            .select(F.struct("doc", "line", "n", "sig", F.when(F.col("_open").isNull(), F.col("n")).otherwise(0).alias("open_n")).alias("s"),
-                    F.posexplode("prefix").alias("pos", "token")))
-    # Both sides are the same frame, so that its exchange is made once and read twice: sets that
-    # have a match already are kept out by their size of 0 as the later side.
+            .select("doc", "line", "n", "sig", F.col("_open").isNull().cast("int").alias("open"), F.posexplode("prefix").alias("pos", "token")))
+    # Both sides read the same columns under the same filters, so that the exchange is made once and
+    # read twice: hence "the later one is open" as a condition on both.
     later, early = rows.alias("l"), rows.alias("r")
-    n, m = F.col("l.s.open_n"), F.col("r.s.n")
+    n, m = F.col("l.n"), F.col("r.n")
     left_over = F.least(n - F.col("l.pos"), m - F.col("r.pos"))
     pairs = (later.join(early, F.col("l.token") == F.col("r.token"))
-             .where((F.struct("r.s.doc", "r.s.line") < F.struct("l.s.doc", "l.s.line"))
-                    & could_match("l.s", "r.s", "open_n") & (left_over * (NUM + DEN) >= (n + m) * NUM))
-             .select("l.s.doc", "l.s.line", F.col("r.s.doc").alias("edoc"), F.col("r.s.line").alias("eline"), (n + m).alias("both")).distinct())
+             .where((F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")) & (F.col("l.open") * 2 + F.col("r.open") >= 2)
+                    & could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM))
+             .select("l.doc", "l.line", F.col("r.doc").alias("edoc"), F.col("r.line").alias("eline"), (n + m).alias("both")).distinct())
     return written(found.union(verified(pairs, texts)), "repeated")
 
 
