@@ -33,11 +33,11 @@ hit AS (
   FROM sized JOIN template ON len(g) * 3 >= len(grams) * 2 AND len(grams) * 3 >= len(g) * 2
   WHERE len(list_intersect(g, grams)) * 10 >= (len(g) + len(grams)) * 4),
 summed AS (
-  SELECT r, CAST(count(DISTINCT line) AS INTEGER) AS n, list_sort(list(DISTINCT name)) AS names,
+  SELECT r, CAST(count(DISTINCT line) AS INTEGER) AS n, array_to_string(list_sort(list(DISTINCT name)), ',') AS names,
          first(name ORDER BY dice DESC, name, line) AS best, first(dice ORDER BY dice DESC, name, line) AS dice,
          first(line ORDER BY dice DESC, name, line) AS line
   FROM hit GROUP BY r)
-SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, []) AS licenses, best, dice AS best_dice, line AS best_line
+SELECT doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, best, dice AS best_dice, line AS best_line
 FROM docs LEFT JOIN summed USING (r)
 """
 

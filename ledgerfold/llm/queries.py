@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from ledgerfold.llm import fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
@@ -18,7 +19,7 @@ def op2_token_counts(spark, sf_dir):
 
 
 def op3_license_scan(spark, sf_dir):
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn("licenses", F.array_join("licenses", ","))
 
 
 def op4_quality_classifier(spark, sf_dir):
