@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.scalar import MISSING_CODE
+from ledgerfold.operators.skew import hot_keys, split_hot
 
 RARE_SHARE = 0.05
 
@@ -43,18 +44,43 @@ def global_modes(df: DataFrame, cols) -> DataFrame:
     return df.agg(*[F.mode(c, True).alias("m_" + c) for c in cols])
 
 
-def local_modes(df: DataFrame, id_col: str, cols) -> DataFrame:
+def counts_by_entity(df: DataFrame, id_col: str, cols, fold, keep_null: bool = False, hot: list | None = None) -> DataFrame:
+    """``fold`` of the value counts per entity. Ordinary entities' narrow rows are dealt out by id
+    once, and that serves every grouping that begins with the id; hot entities' counts are combined
+    map-side first."""
+    slim = df.select(id_col, *cols)
+    hot = hot_keys(slim, id_col) if hot is None else hot
+
+    def counted(rows):
+        return fold(value_counts(rows, cols, keys=[id_col], keep_null=keep_null))
+
+    if not hot:
+        return counted(slim.repartition(id_col))
+    cold_rows, hot_rows = split_hot(slim, id_col, hot)
+    return counted(cold_rows.repartition(id_col)).unionByName(counted(hot_rows))
+
+
+def local_modes(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:
     """``lm_<c>`` per entity, from value counts; null where an entity has no value."""
-    counts = value_counts(df, cols, keys=[id_col], keep_null=True).withColumn(
+    return counts_by_entity(df, id_col, cols, lambda counts: _modes_of_entities(counts, id_col, cols), True, hot)
+
+
+def _modes_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
+    counts = counts.withColumn(
         "cnt", F.when(F.col("value").isNull(), 0).otherwise(F.col("cnt")))
     best = mode_of_counts(counts, (id_col, "feature"))
     return best.groupBy(id_col).agg(*[
         F.max(F.when(F.col("feature") == c, F.col("mode_value"))).alias("lm_" + c) for c in cols])
 
 
-def local_non_dominant_counts(df: DataFrame, id_col: str, cols) -> DataFrame:
-    """Like the block of the same name, for codes of unknown range: from value counts per entity."""
-    per_value = value_counts(df, cols, keys=[id_col])
+def local_non_dominant_counts(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:
+    """Like the block of the same name, for codes of unknown range: from value counts per entity. An
+    entity whose codes are all null has nulls."""
+    return counts_by_entity(df, id_col, cols, lambda counts: _off_of_entities(counts, id_col, cols), True, hot)
+
+
+def _off_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
+    per_value = counts.withColumn("cnt", F.when(F.col("value").isNotNull(), F.col("cnt")))
     per_feature = per_value.groupBy(id_col, "feature").agg(F.sum("cnt").alias("n"), F.max("cnt").alias("top"))
     out = []
     for c in cols:

@@ -109,7 +109,7 @@ def mart_v1(df: DataFrame, keys: HistorySpec, spec: SnapshotMart, target: DataFr
     # the ordered text keeps its own aggregate: its lists would slow down the wide one
     out = wide.join(ordered_text(rows, keys.id, keys.order, spec.sequences, hot), keys.id, "left")
     if spec.local and not spec.local_bins:
-        out = out.join(local_non_dominant_counts(rows, keys.id, spec.local), keys.id, "left")
+        out = out.join(local_non_dominant_counts(rows, keys.id, spec.local, hot), keys.id, "left")
     if g.n_codes is None:
         entropy = G.grid_entropy(rows, keys.id, g.pattern, g.special)
         out = out.join(entropy.select(keys.id, F.col("grid_entropy").alias("paym_regular_entropy")), keys.id, "left")

@@ -128,3 +128,11 @@ def test_text_codes_across_segments(spark):
     assert len(text_bounds(df, "t")) == 255
     codes = {r["value"]: r["code"] for r in fit_categories(df, ["t"]).collect()}
     assert codes == {t: i for i, t in enumerate(sorted(codes))} and len(codes) == 6000
+
+
+def test_entity_counts_take_one_exchange(spark, skewed):
+    from ledgerfold.operators.stats import local_modes, local_non_dominant_counts
+
+    for made in (local_modes, local_non_dominant_counts):
+        assert rows_of(made(skewed, "id", ["a", "b"], [])) == rows_of(made(skewed, "id", ["a", "b"], [7]))
+        assert made(skewed, "id", ["a", "b"], [])._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
