@@ -13,6 +13,8 @@ tried with every start, so no window of Dice 0.8 is missed.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +71,23 @@ TEMPLATES = {
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
 }
+TEMPLATES["GPL-2.0"].append(
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+    "the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+
+# Whole bodies, one file per licence. MIT is above.
+for _file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+    TEMPLATES.setdefault(_file.stem, []).append(_file.read_text(encoding="utf-8"))
 
 
 def plain_words(text: str) -> list[str]:
@@ -175,7 +193,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     Units are the lines of a text, numbered from 0, the whole text (-1) if it has several lines, and
     passages, which have the number of the line in which they begin. A passage counts if no line that
     resembles a template holds it, and neither a line it touches nor the whole text resembles a
-    template of the same licence.
+    template of the same licence. Of passages that share words the most alike counts; another licence's
+    stays if at most half of it is shared.
     ``n_matches`` counts different numbers of units that resemble some template, ``licenses`` names all
     licences found, in order; ``best`` is the one of highest Dice coefficient, of ties the first by
     name, then line. A null or empty text has no match; repeated rows are each scanned; a null doc_id
@@ -228,7 +247,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
 
     def beaten(p):
         rank = lambda q: F.struct(-q["dice"], q["a"], q["k"])
-        return F.exists("parts", lambda q: (q["name"] == p["name"]) & (q["a"] <= p["b"]) & (p["a"] <= q["b"]) & (rank(q) < rank(p)))
+        common = lambda q: F.least(p["b"], q["b"]) - F.greatest(p["a"], q["a"]) + 1
+        return F.exists("parts", lambda q: (rank(q) < rank(p)) & (common(q) > 0) & (
+            (q["name"] == p["name"]) | (common(q) * 2 > p["b"] - p["a"] + 1)))
 
     placed = F.transform(F.filter("parts", lambda p: ~beaten(p)), lambda p: F.struct(
         (-p["dice"]).alias("less"), p["name"].alias("name"), line_of(p["a"]).alias("line"), line_of(p["b"] + 1).alias("to")))

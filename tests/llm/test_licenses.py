@@ -2,6 +2,7 @@
 
 import random
 import textwrap
+from pathlib import Path
 
 import regex
 
@@ -94,3 +95,14 @@ def test_no_window_is_missed(spark):
     got = {r.doc_id: r for r in licenses.scan(frame, templates=only).collect()}
     hits = [max(windows(t)) >= 0.8 for t in texts]
     assert [bool(got[i].licenses) for i in range(60)] == hits and 5 < sum(hits) < 55
+
+
+def test_whole_bodies(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    bodies = {f.stem: f.read_text(encoding="utf-8") for f in folder.glob("*.txt")} | {"MIT": MIT}
+    assert set(licenses.TEMPLATES) - set(bodies) == {"CC-BY-4.0", "CC-BY-NC-4.0"}
+    short = ["ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Apache-2.0"]
+    texts = [(name, body) for name, body in bodies.items()] + [(name, PROSE + "\n" + bodies[name] + "\n" + PROSE) for name in short]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id bigint, text string")
+    for r in licenses.scan(frame).collect():
+        assert r.best == texts[r.doc_id][0] and r.best_dice > (0.97 if r.doc_id < len(bodies) else 0.8)
