@@ -2,7 +2,7 @@
 
 The pages of a host are merged into one tree: elements with the same path of styles (tag, class
 and id without long numbers) are one node. A node is judged by two entropies over the m pages that have
-it, both relative to log m: of the different ways its children are arranged (presentation: more is
+it, equal pages once, both relative to log m: of the different ways its children are arranged (presentation: more is
 more important), and of every different text in it over the pages (content: a text that stands on
 many pages alike carries little). The importance of a branch blends the two, content averaged over
 all texts of the branch.
@@ -134,7 +134,10 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in TREE.split(", ")])
 
     small_batches(pages.sparkSession)
-    raw = pages.select(host_of(url_col).alias("host"), whole_text(html_col).alias("html")).mapInArrow(run, TREE)
+    # Copies on a host (repeated rows, variants of a URL) are one page; tasks drop their own copies before the shuffle.
+    slim = pages.select(host_of(url_col).alias("host"), whole_text(html_col).alias("html"))
+    different = slim.groupBy("host", F.xxhash64("html").alias("h"), F.length("html").alias("size")).agg(F.first("html").alias("html"))
+    raw = different.select("host", "html").mapInArrow(run, TREE)
     keys = ["host", "path"]
     sums = raw.groupBy(*keys, "kind", "feature").agg(F.sum("n").alias("n"), F.sum("weighted").alias("w"), F.sum("linked").alias("l"))
 
@@ -167,8 +170,9 @@ def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
         F.when(F.col("chars") > 0, F.col("links") / F.col("chars")).alias("link_share"))
 
 
-def main_text(html: str, low: set[str]) -> str:
-    """The article of a page; ``low`` holds the paths of its host's unimportant branches."""
+def main_text(html: str, low: set[str], boxes: set[str] | frozenset = frozenset()) -> str:
+    """The article of a page; ``low`` holds the paths of its host's unimportant branches, ``boxes`` those
+    that besides are mostly links. Inside a container of the article only ``boxes`` are removed."""
     nodes, blocks = read_page(html)
     if not blocks:
         return ""
@@ -180,7 +184,7 @@ def main_text(html: str, low: set[str]) -> str:
         node = nodes[i]
         if node.path not in low or i in held or node.tag in ROOTS:
             return False
-        return not (inside[i] and node.tag in PROSE)
+        return not inside[i] or (node.path in boxes and node.tag not in PROSE)
 
     gone = inherited(nodes, lambda i: is_chrome(nodes[i], inside[i]) or unimportant(i))
     return "\n".join(t for at, t, _ in blocks if not gone[at] and (inside[at] or not held))
@@ -190,23 +194,25 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """(page_id, url, text, n_chars), one row per row of ``pages``; text is never null.
 
     A null html is empty; a null or odd url belongs to the host without a name; repeated rows are
-    each returned and each count as a page of their host; null ids stay null. Other columns are not
-    read.
+    each returned, and equal html counts once as a page of its host; null ids stay null. Other columns
+    are not read.
     """
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            texts = [main_text(h, set(low or ())) for h, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            texts = [main_text(h, set(low or ()), set(boxes or ())) for h, low, boxes in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4)])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
     tree = style_tree(pages, url_col, html_col)
-    poor = (F.col("importance") < LOW) | ((F.col("link_share") > LINKS_LOW) & F.col("importance").isNotNull())
-    low = written(tree.where(poor).groupBy("host").agg(F.collect_list("path").alias("low")), "style-low")
+    linked = (F.col("link_share") > LINKS_LOW) & F.col("importance").isNotNull()
+    box = F.when((F.col("importance") < LOW) & linked, F.col("path"))
+    low = written(tree.where((F.col("importance") < LOW) | linked).groupBy("host").agg(
+        F.collect_list("path").alias("low"), F.collect_list(box).alias("boxes")), "style-low")
     slim = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         whole_text(html_col).alias("html"), host_of(url_col).alias("host"))
-    met = slim.join(low, "host", "left").select("page_id", "url", "html", "low")
+    met = slim.join(low, "host", "left").select("page_id", "url", "html", "low", "boxes")
     return met.mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")

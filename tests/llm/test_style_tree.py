@@ -88,3 +88,15 @@ def test_importance_is_the_plain_one(spark):
         shape = -sum(c / total * math.log(c / total) for c in shapes[path].values()) / scale if total else 0
         keep = 0.9 ** (sum(fans[path]) / len(fans[path]) if fans[path] else 0)
         assert near(r.importance, min(1, (1 - keep) * shape + keep * (1 - sum(alike) / len(alike))))
+
+
+def test_copies_and_wrappers_keep_their_text(spark):
+    plain, held = site(1)[0][2], """<article><h1>Head</h1><div class="body"><p>One line.</p><ul><li>Item</li></ul><table><tr><td>Cell</td></tr></table></div>
+        <div class="links"><a href=/a>More of it</a></div></article>"""
+    copies = [(i, f"http://c.example/p?utm={i}", plain) for i in range(8)] + [(100 + i, f"http://d.example/p#{i}", held) for i in range(8)]
+    alike = [(200 + i, f"http://e.example/{i}", held + f"<!-- {i} -->") for i in range(8)]
+    frame = spark.createDataFrame(copies + alike, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in style_tree.extract(frame).collect()}
+    assert all(got[i] == style_tree.main_text(plain, set()) for i in range(8))
+    assert all(got[100 + i] == "Head\nOne line.\nItem\nCell\nMore of it" for i in range(8))
+    assert all(got[200 + i] == "Head\nOne line.\nItem\nCell" for i in range(8))
