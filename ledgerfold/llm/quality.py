@@ -155,7 +155,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 rows: int = TRAIN_ROWS) -> Trees:
     """Trees from labelled documents that are not held out. At most ``rows`` labels are used: those
     of smallest hash of the id. Null labels and ids are left out; of repeated labels of an id the
-    larger counts; of repeated documents each row counts."""
+    larger counts; of rows of one id the text of smallest hash counts, so that at most ``rows`` rows
+    are collected."""
 
     def run(batches):
         import pyarrow as pa
@@ -171,6 +172,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     slim = docs.select(F.col(id_col).alias("_id"), text_bytes(text_col).alias("_text"))
     # At most ``rows`` ids: broadcast, so that texts are filtered where they are read.
     sample = slim.join(F.broadcast(usable), slim._id == usable._labelled).select("quality", "_text", "_id")
+    sample = sample.groupBy("_id", "quality").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"))
     found = sample.select("quality", "_text").mapInArrow(run, "quality int, x array<double>").collect()
     found.sort(key=lambda r: (r.quality, r.x))  # the same model whatever the order of tasks
     return fit_trees(np.array([r.x for r in found]).reshape(len(found), len(FEATURES)), np.array([r.quality for r in found]))

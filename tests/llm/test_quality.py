@@ -70,3 +70,14 @@ def test_held_out_accuracy(spark):
     assert len(scores) == spark.read.parquet(f"{SF}/documents.parquet").count()
     held = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if scores[r.doc_id].held_out]
     assert len(held) > 10 and sum(scores[r.doc_id].predicted == r.quality for r in held) >= 0.9 * len(held)
+
+
+def test_repeated_rows_do_not_weigh(spark, monkeypatch):
+    docs = [(i, ("good words. " if i % 3 else "x!! ") * (1 + i % 7)) for i in range(120)]
+    trained = []
+    monkeypatch.setattr(quality, "fit_trees", lambda x, y, *a, **k: trained.append((x.tolist(), y.tolist())))
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(120)], "doc_id bigint, quality int")
+    one = next(i for i in range(120) if zlib.crc32(str(i).encode()) % 4 != quality.HELD_OUT)
+    for rows in (docs, docs + [docs[one]] * 500):
+        quality.fit_quality(spark.createDataFrame(rows, "doc_id bigint, text string"), labels, rows=50)
+    assert trained[0] == trained[1] and len(trained[0][1]) == 50
