@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, style_tree, token_counts, topk
+from ledgerfold.llm import fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, runs, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -51,8 +51,13 @@ def op10_piece_codec(spark, sf_dir):
     return piece_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return runs.run_digests(runs.find_runs(table(spark, sf_dir, "documents"), edit=runs.with_repeated_tail))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_license_scan, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_license_scan, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec,
+                                   op11_periodic_runs, pipeline)}
