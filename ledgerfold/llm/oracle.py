@@ -42,4 +42,23 @@ FROM docs LEFT JOIN summed USING (r)
 """
 
 
-ORACLE: dict[str, str] = {"op3_license_scan": licenses_sql(), "op5_exact_top_k": TOP_K}
+TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS t FROM documents WHERE text IS NOT NULL),
+size AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n FROM docs WHERE len(t) > 0),
+total AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM size),
+asked AS (SELECT DISTINCT item_id, unnest({TERMS}) AS term FROM benchmark WHERE text IS NOT NULL),
+words AS (SELECT r, unnest(t) AS term FROM docs),
+tf AS (SELECT r, term, count(*) AS tf FROM words SEMI JOIN asked USING (term) GROUP BY r, term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+part AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nd) // nt))) AS s
+         FROM tf JOIN size USING (r) JOIN weight USING (term), total),
+summed AS (SELECT item_id, r, CAST(sum(s) AS BIGINT) AS score FROM asked JOIN part USING (term) GROUP BY item_id, r),
+ranked AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+           FROM summed JOIN size USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+ORACLE: dict[str, str] = {"op3_license_scan": licenses_sql(), "op5_exact_top_k": TOP_K, "op12_ranked_search": RANKED}
