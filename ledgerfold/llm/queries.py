@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, ranked, runs, style_tree, token_counts, topk
+from ledgerfold.llm import bilinear, fingerprints, licenses, line_dedup, near_dup, packing, piece_codec, quality, ranked, runs, style_tree, token_counts, topk
 from ledgerfold.llm.common import table
 
 
@@ -59,9 +59,13 @@ def op12_ranked_search(spark, sf_dir):
     return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lm_scoring(spark, sf_dir):
+    return bilinear.score_texts(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_token_counts, op3_license_scan, op4_quality_classifier, op5_exact_top_k, op6_line_dedup, op7_packing, op8_fingerprints, op9_simhash_near_dedup, op10_piece_codec,
-                                   op11_periodic_runs, op12_ranked_search, pipeline)}
+                                   op11_periodic_runs, op12_ranked_search, op13_lm_scoring, pipeline)}
