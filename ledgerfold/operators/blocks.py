@@ -96,6 +96,25 @@ def local_non_dominant(cols, n_bins: int) -> list[Column]:
     return out
 
 
+def listed_text(values: str) -> Column:
+    """The values of an ordered list as one text, nulls skipped; null if none."""
+    return F.nullif(F.array_join(F.col(values).cast("array<string>"), ""), F.lit(""))
+
+
+def listed_distinct(values: str) -> Column:
+    return F.size(F.array_distinct(F.array_compact(F.col(values)))).cast("bigint")
+
+
+def listed_non_dominant(c: str, values: str, kind: str) -> list[Column]:
+    """``local_non_dominant`` from the list of an entity's values, of any codes: sorted, so that
+    equal values stand together, and folded to the longest stretch."""
+    run = "IF(a.v <=> x, a.run + 1L, 1L)"
+    top = F.expr(f"""aggregate(array_sort(array_compact({values})), named_struct('v', CAST(NULL AS {kind}), 'run', 0L, 'top', 0L),
+        (a, x) -> named_struct('v', x, 'run', {run}, 'top', greatest(a.top, {run})), a -> a.top)""")
+    n = F.size(F.array_compact(F.col(values))).cast("bigint")
+    return [F.when(n > 0, n - top).alias(f"{c}_lnd_count"), safe_ratio(n - top, n).alias(f"{c}_lnd_share")]
+
+
 def distinct_counts(cols, n_bins: int | None = None) -> list[Column]:
     return [distinct_codes(c, n_bins).alias(f"distinct_{c}_count") for c in cols]
 

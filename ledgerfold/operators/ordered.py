@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerfold.operators.placed import PlacedHistory, parted
 from ledgerfold.operators.skew import grid_of_quantiles, hot_keys, quantile_bounds, split_hot, thinned, with_own_segment, with_segment
 
 
@@ -45,8 +46,8 @@ def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list |
     return lagged(cold_rows, window).unionByName(joined)
 
 
-def aggregate_entities(df: DataFrame, id_col: str, aggs, hot: list, prepare=None) -> DataFrame:
-    """groupBy(id) for wide aggregates.
+def aggregate_entities(df: DataFrame | PlacedHistory, id_col: str, aggs, hot: list, prepare=None) -> DataFrame:
+    """groupBy(id) for wide aggregates. A placed history is not moved at all.
 
     Ordinary entities have few rows per task, so combining before the shuffle saves nothing and
     would move wide aggregation buffers; their narrow rows are moved instead, once, and folded
@@ -54,11 +55,9 @@ def aggregate_entities(df: DataFrame, id_col: str, aggs, hot: list, prepare=None
     ``prepare(rows, hot)`` may add columns that need the rows of an entity in order.
     """
     made = prepare or (lambda rows, hot_: rows)
-    if not hot:
-        return made(df.repartition(id_col), []).groupBy(id_col).agg(*aggs)
-    cold_rows, hot_rows = split_hot(df, id_col, hot)
-    folded = made(cold_rows.repartition(id_col), []).groupBy(id_col).agg(*aggs)
-    return folded.unionByName(made(hot_rows, hot).groupBy(id_col).agg(*aggs))
+    cold_rows, hot_rows = parted(df, id_col, hot)
+    folded = made(cold_rows, []).groupBy(id_col).agg(*aggs)
+    return folded if hot_rows is None else folded.unionByName(made(hot_rows, hot).groupBy(id_col).agg(*aggs))
 
 
 def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | None = None,
@@ -72,10 +71,14 @@ def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | N
     if not hot:
         return joined_text(slim, [id_col], order_col, cols, suffix)
     cold_rows, hot_rows = split_hot(slim, id_col, hot)
-    cut = with_own_segment(hot_rows, id_col, order_col)
+    return joined_text(cold_rows, [id_col], order_col, cols, suffix).unionByName(segmented_text(hot_rows, id_col, order_col, cols, suffix))
+
+
+def segmented_text(df: DataFrame, id_col: str, order_col: str, cols, suffix: str = "_bin_sequence") -> DataFrame:
+    """The ordered text of hot entities, first per segment."""
+    cut = with_own_segment(df.select(id_col, order_col, *cols), id_col, order_col)
     parts = joined_text(cut, [id_col, "_seg"], order_col, cols, "")
-    whole = joined_text(parts, [id_col], "_seg", cols, suffix)
-    return joined_text(cold_rows, [id_col], order_col, cols, suffix).unionByName(whole)
+    return joined_text(parts, [id_col], "_seg", cols, suffix)
 
 
 def joined_text(df: DataFrame, keys, order_col: str, cols, suffix: str) -> DataFrame:

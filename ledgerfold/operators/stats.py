@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,8 +42,19 @@ def mode_of_counts(counts: DataFrame, keys=("feature",)) -> DataFrame:
 
 
 def global_modes(df: DataFrame, cols) -> DataFrame:
-    """One row ``m_<c>``: each task keeps one small map of codes per column."""
-    return df.agg(*[F.mode(c, True).alias("m_" + c) for c in cols])
+    """One row ``m_<c>``, from value counts: equal values are combined in every task and dealt out
+    by value, so no task holds a map of all values. Columns of one type are counted together."""
+    cols = list(cols)
+    kinds: dict[str, list] = {}
+    for c in cols:
+        kinds.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    found = [_modes_row(df, names, kind) for kind, names in kinds.items()]
+    return reduce(lambda a, b: a.crossJoin(b), found).select(*["m_" + c for c in cols])  # one row each
+
+
+def _modes_row(df: DataFrame, cols, kind: str) -> DataFrame:
+    best = mode_of_counts(value_counts(df, cols, kind))
+    return best.agg(*[F.max(F.when(F.col("feature") == c, F.col("mode_value"))).alias("m_" + c) for c in cols])
 
 
 def counts_by_entity(df: DataFrame, id_col: str, cols, fold, keep_null: bool = False, hot: list | None = None) -> DataFrame:
@@ -76,10 +89,10 @@ def _modes_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
 def local_non_dominant_counts(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:
     """Like the block of the same name, for codes of unknown range: from value counts per entity. An
     entity whose codes are all null has nulls."""
-    return counts_by_entity(df, id_col, cols, lambda counts: _off_of_entities(counts, id_col, cols), True, hot)
+    return counts_by_entity(df, id_col, cols, lambda counts: off_of_entities(counts, id_col, cols), True, hot)
 
 
-def _off_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
+def off_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
     per_value = counts.withColumn("cnt", F.when(F.col("value").isNotNull(), F.col("cnt")))
     per_feature = per_value.groupBy(id_col, "feature").agg(F.sum("cnt").alias("n"), F.max("cnt").alias("top"))
     out = []

@@ -16,6 +16,7 @@ from ledgerfold.operators import (
     preprocess as PR, split as SP, stats as ST)
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
+from ledgerfold.operators.placed import place_history, read_placed
 from ledgerfold.operators.skew import hot_keys
 from ledgerfold.plans.workflow import SplitConfig, train_stats
 from ledgerfold.sources import contract as C
@@ -278,6 +279,20 @@ def mart_v2(spark, sf):
     return rounded(M.mart_v2(V.history(spark, sf), V.KEYS, V.MART_V2, stats, V.target(spark, sf)))
 
 
+def placed(spark, sf):
+    """The history written by entity and read again."""
+    return read_placed(spark, place_history(V.history(spark, sf), new_path(spark, "placed"), "id", "seq", buckets=8))
+
+
+def mart_v1_placed(spark, sf):
+    return rounded(M.mart_v1(placed(spark, sf), V.KEYS, V.MART_V1, V.target(spark, sf)))
+
+
+def mart_v2_placed(spark, sf):
+    stats = train_stats(V.history(spark, sf), V.KEYS, V.MART_V2, SplitConfig())
+    return rounded(M.mart_v2(placed(spark, sf), V.KEYS, V.MART_V2, stats, V.target(spark, sf)))
+
+
 # --- month grid --------------------------------------------------------------------------------
 
 def unpivot_grid(spark, sf):
@@ -803,7 +818,7 @@ QUERIES = {
     "change_count": change_count, "changed_ever": changed_ever, "share_global_mode": share_global_mode,
     "share_rare_bins": share_rare_bins,
     "cat_nunique_first_last": by_id(lambda: B.nunique_first_last(["pre_disc", "pre_part"], "seq")),
-    "mart_v2": mart_v2,
+    "mart_v2": mart_v2, "mart_v1_placed": mart_v1_placed, "mart_v2_placed": mart_v2_placed,
     "unpivot_grid": unpivot_grid, "grid_entropy": grid_entropy,
     "grid_outside_normal": _regular(["paym_regular_entropy", "paym_regular_outside_0_3_count", "paym_regular_outside_0_3_share"]),
     "grid_ever_code": _regular(["paym_regular_ever_bin2"]),

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerfold.operators import blocks as B
 from ledgerfold.operators import grid as G
-from ledgerfold.operators.ordered import aggregate_entities, ordered_text, with_previous
-from ledgerfold.operators.skew import hot_keys
+from ledgerfold.operators.ordered import aggregate_entities, segmented_text, with_previous
+from ledgerfold.operators.placed import PlacedHistory, hot_of, parted, rows_of_history
 from ledgerfold.operators.stats import (
-    global_modes, inject_modes, inject_stats, local_non_dominant_counts, mode_columns, rare_columns)
+    global_modes, inject_modes, inject_stats, mode_columns, off_of_entities, rare_columns, value_counts)
 from ledgerfold.sources.readers import join_target
 
 
@@ -76,52 +76,83 @@ class LeakFreeMart:
         return [c for c, fs in self.coded.items() if feature in fs]
 
 
-def mart_v1(df: DataFrame, keys: HistorySpec, spec: SnapshotMart, target: DataFrame | None = None,
+def mart_v1(df: DataFrame | PlacedHistory, keys: HistorySpec, spec: SnapshotMart, target: DataFrame | None = None,
             hot: list | None = None) -> DataFrame:
     """Snapshots, flag shares, distance from population and own modes, diversity, code sequences
     and the month grid, one row per entity. The population mode is that of the rows given.
 
-    Without declared code ranges the own modes and the entropy of the grid are aggregates of their
-    own, joined by id; with them they are columns of the wide one."""
+    Ordinary entities take one exchange and one aggregate (none and one over a placed history): what
+    needs an entity's values together (ordered text, own modes, distinct codes, entropy of
+    the grid) is folded from one list of its rows, in the row that the aggregate makes. Hot
+    entities have no such list: their counts are combined in every task, their text is cut into
+    segments, and the parts, one row per hot entity, are joined."""
     rows = df.where(F.col(keys.id).isNotNull())
-    hot = hot_keys(rows, keys.id) if hot is None else hot
-    population = global_modes(rows, spec.coded)
-    modes = mode_columns(spec.coded)
-    g = spec.grid
+    hot = hot_of(rows, keys.id, hot)
+    population = global_modes(rows_of_history(rows), spec.coded)
+    cold, hot_rows = parted(rows, keys.id, hot)
+    out = folded_snapshots(inject_modes(cold, population, spec.coded)[0], keys, spec)
+    if hot_rows is not None:
+        out = out.unionByName(hot_snapshots(hot_rows, population, keys, spec))
+    return join_target(out, target, keys.id) if target is not None else out
 
-    def with_modes(part, hot_):
-        # after the shuffle, so that it does not carry a copy of the modes in every row
-        return inject_modes(part, population, spec.coded)[0]
 
-    wide = aggregate_entities(rows, keys.id, [
+def snapshot_columns(columns, keys: HistorySpec, spec: SnapshotMart, distinct: bool) -> list:
+    """What both kinds of entities aggregate alike."""
+    g = spec.grid
+    return [
         *B.history_counts(keys.rn),
         *B.snapshots(spec.last, keys.order, "last"),
         *B.snapshots(spec.first, keys.order, "first"),
         *B.flag_shares(spec.shares, spec.ever_off),
-        *B.global_non_dominant(modes),
+        *B.global_non_dominant(mode_columns(spec.coded)),
         *(B.local_non_dominant(spec.local, spec.local_bins) if spec.local_bins else ()),
-        *B.distinct_counts(spec.distinct, keys.n_bins),
-        *B.ever_changed(spec.sequences, keys.n_bins),
+        *([*B.distinct_counts(spec.distinct, keys.n_bins), *B.ever_changed(spec.sequences, keys.n_bins)] if distinct else ()),
         *B.first_eq_last(spec.first_eq_last, keys.order),
-        *G.grid_regular(rows.columns, g.pattern, g.special, g.normal, g.ever, g.n_codes),
-        *G.grid_special(rows.columns, g.pattern, g.special, g.special_normal, g.worst),
-    ], hot, with_modes)
-    # the ordered text keeps its own aggregate: its lists would slow down the wide one
-    out = wide.join(ordered_text(rows, keys.id, keys.order, spec.sequences, hot), keys.id, "left")
+        *G.grid_regular(columns, g.pattern, g.special, g.normal, g.ever, g.n_codes),
+        *G.grid_special(columns, g.pattern, g.special, g.special_normal, g.worst),
+    ]
+
+
+def folded_snapshots(rows: DataFrame, keys: HistorySpec, spec: SnapshotMart) -> DataFrame:
+    g = spec.grid
+    regular, _ = G.split_months(rows.columns, g.pattern, g.special)
+    listed = list(dict.fromkeys([*spec.sequences, *(() if keys.n_bins else spec.distinct), *(() if spec.local_bins else spec.local)]))
+    cells = [F.array(*regular).alias("_cells")] if g.n_codes is None and regular else []
+    wide = rows.groupBy(keys.id).agg(
+        *snapshot_columns(rows.columns, keys, spec, bool(keys.n_bins)),
+        F.array_sort(F.collect_list(F.struct(F.col(keys.order).alias("_order"), *listed, *cells))).alias("_rows"))
+    made = [B.listed_text(f"_rows.{c}").alias(f"{c}_bin_sequence") for c in spec.sequences]
+    if not keys.n_bins:
+        made += [B.listed_distinct(f"_rows.{c}").alias(f"distinct_{c}_count") for c in spec.distinct]
+        made += [(B.listed_distinct(f"_rows.{c}") > 1).alias(f"{c}_ever_changed") for c in spec.sequences]
     if spec.local and not spec.local_bins:
-        out = out.join(local_non_dominant_counts(rows, keys.id, spec.local, hot), keys.id, "left")
+        for c in spec.local:
+            made += B.listed_non_dominant(c, f"_rows.{c}", rows.schema[c].dataType.simpleString())
+    if g.n_codes is None:
+        entropy = G.listed_entropy("flatten(_rows._cells)", rows.schema[regular[0]].dataType.simpleString()) if cells else F.lit(None).cast("double")
+        made.append(entropy.alias("paym_regular_entropy"))
+    return wide.select(*[c for c in wide.columns if c != "_rows"], *made)
+
+
+def hot_snapshots(rows: DataFrame, population: DataFrame, keys: HistorySpec, spec: SnapshotMart) -> DataFrame:
+    g = spec.grid
+    out = inject_modes(rows, population, spec.coded)[0].groupBy(keys.id).agg(*snapshot_columns(rows.columns, keys, spec, True))
+    out = out.join(segmented_text(rows, keys.id, keys.order, spec.sequences), keys.id, "left")
+    if spec.local and not spec.local_bins:
+        out = out.join(off_of_entities(value_counts(rows, spec.local, keys=[keys.id], keep_null=True), keys.id, spec.local), keys.id, "left")
     if g.n_codes is None:
         entropy = G.grid_entropy(rows, keys.id, g.pattern, g.special)
         out = out.join(entropy.select(keys.id, F.col("grid_entropy").alias("paym_regular_entropy")), keys.id, "left")
-    return join_target(out, target, keys.id) if target is not None else out
+    return out
 
 
-def mart_v2(df: DataFrame, keys: HistorySpec, spec: LeakFreeMart, stats: DataFrame, target: DataFrame | None = None,
+def mart_v2(df: DataFrame | PlacedHistory, keys: HistorySpec, spec: LeakFreeMart, stats: DataFrame, target: DataFrame | None = None,
             null_as_zero: bool = True, hot: list | None = None) -> DataFrame:
-    """The leak-free mart: population statistics come from outside (training entities only)."""
+    """The leak-free mart: population statistics come from outside (training entities only). A
+    placed history is aggregated without any exchange of its rows."""
     rows = df.where(F.col(keys.id).isNotNull())
     changing = list(dict.fromkeys(spec.having("change_count") + spec.having("changed_ever")))
-    hot = hot_keys(rows, keys.id) if hot is None else hot
+    hot = hot_of(rows, keys.id, hot)
     modes, rare = mode_columns(spec.coded, "_stats"), rare_columns(spec.coded)
     g = spec.grid
 

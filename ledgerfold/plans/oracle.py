@@ -467,7 +467,7 @@ def oracle() -> dict[str, str]:
     o["bin_sequence"] = per_id(text(["pre_disc", "pre_part", "enc_ret"]))
     o["ever_changed"] = per_id(changed(MART_V1.sequences))
     o["first_eq_last"] = per_id(eq(MART_V1.first_eq_last))
-    o["mart_v1"] = mart_v1()
+    o["mart_v1"] = o["mart_v1_placed"] = mart_v1()
     # statistics
     st = stats_ctes("h", STAT_COLS)
     o["value_counts"] = hist(f"SELECT vc.feature, value, cnt, {big('total')} AS total_cnt FROM vc JOIN tot USING (feature)", *st)
@@ -488,7 +488,7 @@ def oracle() -> dict[str, str]:
     o["share_rare_bins"] = per_id([r(f"avg({is_rare(c)})", f"{c}_share_rare_bins") for c in ("pre_disc", "pre_qty", "pre_part")], TRAIN, *stats_ctes("tr", STAT_COLS))
     o["cat_nunique_first_last"] = per_id([x for c in ("pre_disc", "pre_part") for x in (
         f"count(DISTINCT {c}) AS {c}_nunique", f"first({c} ORDER BY seq) AS {c}_first", f"first({c} ORDER BY seq DESC) AS {c}_last")])
-    o["mart_v2"] = mart_v2()
+    o["mart_v2"] = o["mart_v2_placed"] = mart_v2()
     # grid
     o["unpivot_grid"] = hist("SELECT id, seq, month, status FROM g", long_grid())
     o["grid_entropy"] = hist(f"SELECT id, {r('entropy', 'grid_entropy')}, {r('shannon', 'grid_shannon')} FROM en", long_grid(), ENTROPY)
