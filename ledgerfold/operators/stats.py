@@ -121,18 +121,22 @@ def fit_population_stats(df: DataFrame, cols, train_ids: DataFrame | None = None
 
 
 def stats_of(df: DataFrame, cols, rare_share: float = RARE_SHARE) -> DataFrame:
-    # null cells stay in the counts with weight 0, so a column without values keeps its row
-    counts = value_counts(df, cols, keep_null=True).withColumn(
-        "cnt", F.when(F.col("value").isNull(), 0).otherwise(F.col("cnt")))
-    summary = counts.groupBy("feature").agg(
-        F.sum("cnt").alias("total"),
+    return stats_of_counts(value_counts(df, cols, keep_null=True), rare_share)
+
+
+def stats_of_counts(counts: DataFrame, rare_share: float = RARE_SHARE) -> DataFrame:
+    """(feature, mode_value, rare_bins) from (feature, value, cnt) with null cells counted too: they weigh
+    nothing, but a column without values keeps its row. A feature's counts are gathered once, as many
+    as it has different values, which for binned columns is the number of bins."""
+    weighed = counts.withColumn("cnt", F.when(F.col("value").isNull(), F.lit(0)).otherwise(F.col("cnt")))
+    found = weighed.groupBy("feature").agg(
+        F.sum("cnt").alias("total"), F.collect_list(F.struct("value", "cnt")).alias("bins"),
         F.min_by("value", F.struct((-F.col("cnt")).alias("c"), F.col("value").alias("v"))).alias("mode"))
-    rare = (F.col("cnt") > 0) & (F.col("cnt") / F.col("total") < rare_share) & (F.col("value") != F.col("mode"))
-    none = F.array(F.lit(MISSING_CODE))
-    lists = F.sort_array(F.collect_list(F.when(rare, F.col("value"))))
-    return (counts.join(F.broadcast(summary), "feature").groupBy("feature")
-            .agg(F.coalesce(F.max("mode"), F.lit(MISSING_CODE)).alias("mode_value"), lists.alias("rare_bins"))
-            .withColumn("rare_bins", F.when(F.size("rare_bins") == 0, none).otherwise(F.col("rare_bins"))))
+    rare = F.filter("bins", lambda b: (b["cnt"] > 0) & (b["cnt"] / F.col("total") < rare_share) & (b["value"] != F.col("mode")))
+    lists = F.sort_array(F.transform(rare, lambda b: b["value"]))
+    return found.select(
+        "feature", F.coalesce("mode", F.lit(MISSING_CODE)).alias("mode_value"),
+        F.when(F.size(rare) == 0, F.array(F.lit(MISSING_CODE))).otherwise(lists).alias("rare_bins"))
 
 
 def inject_stats(df: DataFrame, stats: DataFrame, cols, name: str = "_stats") -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:

@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from ledgerfold.functions import scalar as X
 from ledgerfold.functions.naming import select_names
 from ledgerfold.operators import (
-    attribution as AT, blocks as B, encode as EN, engineer as EG, evaluate as EV, grid as G, models as MO, ordered as O,
+    arrivals as AR, attribution as AT, blocks as B, encode as EN, engineer as EG, evaluate as EV, grid as G, models as MO, ordered as O,
     preprocess as PR, split as SP, stats as ST)
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
@@ -23,6 +23,7 @@ from ledgerfold.sources import contract as C
 from ledgerfold.sources import readers as RD
 from ledgerfold.sources import writers as WR
 from ledgerfold.sources.scratch import new_path, written
+from ledgerfold.streaming.monitor import latest_counts, monitor_stream
 from ledgerfold.streaming.score import incremental_score
 
 DIGITS = 6
@@ -238,6 +239,15 @@ def fit_population_stats(spark, sf):
     return stats_text(ST.fit_population_stats(with_empty(V.history(spark, sf)), [*STAT_COLS, "pre_none"], ids, "id"))
 
 
+def incremental_stats(spark, sf):
+    """Statistics after two arrivals: the lines with odd, then those with even numbers."""
+    h, path, state = V.history(spark, sf), new_path(spark, "arrivals"), new_path(spark, "counts")
+    for odd in (1, 0):
+        h.where(F.col("rn") % 2 == odd).write.mode("append").parquet(path)
+        AR.count_arrival(spark, state, path, h.schema, STAT_COLS)
+    return stats_text(AR.arrived_stats(spark, state))
+
+
 def inject_stats(spark, sf):
     h = V.history(spark, sf)
     frame, m, r = ST.inject_stats(h, ST.stats_of(train_history(spark, sf), STAT_COLS), STAT_COLS)
@@ -777,6 +787,17 @@ def prediction_monitor(spark, sf):
     return rounded(EV.prediction_monitor(V.scored(spark, sf).withColumn("confidence", F.round(conf, 3)), "predicted", "confidence"))
 
 
+def streaming_monitor(spark, sf):
+    """The monitor's counts after two arrivals, the stream stopped and started again between them."""
+    conf = F.when(F.col("p") > 0.5, F.col("p")).otherwise(1 - F.col("p"))
+    rows = V.scored(spark, sf).select("id", "predicted", F.round(conf, 3).alias("confidence"))
+    path, out, checkpoint = (new_path(spark, n) for n in ("predictions", "monitor", "checkpoint"))
+    for odd in (1, 0):
+        rows.where(F.col("id") % 2 == odd).write.mode("append").parquet(path)
+        monitor_stream(spark, path, rows.schema, out, checkpoint).awaitTermination()
+    return rounded(latest_counts(spark, out))
+
+
 C_ = F.col
 QUERIES = {
     "scan_parquet_glob": scan_parquet_glob, "scan_csv_target": scan_csv_target, "sample_by_id": sample_by_id,
@@ -811,7 +832,7 @@ QUERIES = {
     "first_eq_last": by_id(lambda: B.first_eq_last(V.MART_V1.first_eq_last, "seq")),
     "mart_v1": mart_v1,
     "value_counts": value_counts, "mode_per_feature": mode_per_feature, "rare_bins": rare_bins,
-    "fit_population_stats": fit_population_stats, "inject_stats": inject_stats,
+    "fit_population_stats": fit_population_stats, "incremental_stats": incremental_stats, "inject_stats": inject_stats,
     "base_counters": by_id(lambda: B.base_counters("rn", V.MART_V2.flags)),
     "overdue_util": by_id(lambda: [*B.zero_flags(V.MART_V2.overdue, "has_overdue"), *B.zero_flags(V.MART_V2.usage, "has_nonzero", ("c",))]),
     "composite_overdue": by_id(lambda: B.composite_overdue(V.MART_V2.serious, V.MART_V2.any, V.MART_V2.mild)),
@@ -850,5 +871,6 @@ QUERIES = {
     "error_probability_histogram": error_probability_histogram, "target_rate_by_bin": target_rate_by_bin,
     "dataset_profile": dataset_profile, "feature_importance": feature_importance,
     "permutation_importance": permutation_importance, "global_attribution": global_attribution,
-    "local_attribution": local_attribution, "prediction_monitor": prediction_monitor, "score_contract_checks": score_contract_checks,
+    "local_attribution": local_attribution, "prediction_monitor": prediction_monitor,
+    "streaming_monitor": streaming_monitor, "score_contract_checks": score_contract_checks,
 }

@@ -413,7 +413,7 @@ def oracle() -> dict[str, str]:
     o["baseline_join_target"] = hist("SELECT h.* EXCLUDE (seq), t.flag FROM h LEFT JOIN t ON h.id = t.id", T)
     o["eda_slice"] = hist("SELECT h.id, pre_part, flag FROM h LEFT JOIN t ON h.id = t.id WHERE pre_part <> 1 OR pre_part IS NULL", T)
     o["write_predictions"] = q(S, "SELECT id, predicted, p FROM s")
-    o["save_load_stats"] = hist(ALL_STATS, *stats_ctes("h", STAT_COLS))
+    o["save_load_stats"] = o["incremental_stats"] = hist(ALL_STATS, *stats_ctes("h", STAT_COLS))
     o["feature_schema"] = hist("SELECT id, seq, rn, pre_disc, is_zero_a, pre_part FROM h")
     o["decimal_to_double"] = "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DOUBLE) AS price, o_orderkey * CAST(1.5 AS DOUBLE) AS half FROM orders"
     o["split_ids_scan"] = hist("SELECT id, first(enc_ret ORDER BY seq DESC) AS enc_ret FROM h GROUP BY id")
@@ -620,5 +620,5 @@ def oracle() -> dict[str, str]:
     bad = "(SELECT * FROM lin WHERE actual = 0 AND is_error = 1 ORDER BY p DESC, id LIMIT 10)"
     o["local_attribution"] = q(LIN, f"SELECT id, feature, {r('contribution', 'contribution')} FROM ({' UNION ALL '.join(a + bad for a in attribution(w2))})")
     les = ", ".join(f"{big(f'sum(CAST(c <= {b} AS INTEGER))')} AS le_{b.replace('.', '_')}" for b in BUCKETS)
-    o["prediction_monitor"] = q(S, f"SELECT predicted, count(*) AS n, {r('sum(c)', 'confidence_sum')}, {les} FROM (SELECT predicted, round(CASE WHEN p > 0.5 THEN p ELSE 1 - p END, 3) AS c FROM s) GROUP BY predicted")
+    o["prediction_monitor"] = o["streaming_monitor"] = q(S, f"SELECT predicted, count(*) AS n, {r('sum(c)', 'confidence_sum')}, {les} FROM (SELECT predicted, round(CASE WHEN p > 0.5 THEN p ELSE 1 - p END, 3) AS c FROM s) GROUP BY predicted")
     return o
