@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerfold.operators.evaluate import worst_false_positives
 from ledgerfold.operators.ordered import with_running_sums
 from ledgerfold.operators.stats import melt
+from ledgerfold.sources.scratch import written
 
 
 def contributions(df: DataFrame, weights: dict[str, float], keep=()) -> DataFrame:
@@ -43,21 +44,32 @@ def one_row(df: DataFrame, weights: dict[str, float], id_col: str, wanted) -> Da
 def ranked(df: DataFrame, key: str, name: str, seed: int) -> DataFrame:
     """Adds the position of each row in the order of a seeded digest of its key."""
     h = df.withColumn("_h", F.concat(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), F.lit("|"), F.col(key).cast("string")))
-    h = h.withColumn("_cut", F.substring("_h", 1, 3)).withColumn("_one", F.lit(1))
-    run = with_running_sums(h, "_h", ["_one"], segment="_cut")
+    run = with_running_sums(h.withColumn("_one", F.lit(1)), "_h", ["_one"])
     return run.withColumn(name, F.col("before__one")).select(*df.columns, name)
 
 
+def with_shuffled(df: DataFrame, key: str, cols, seed: int) -> DataFrame:
+    """The frame with ``_new_<c>`` for each column: the values of the row at another random rank.
+    Two rankings and one join serve all columns."""
+    cols = list(cols)
+    values = ranked(df.select(key, *cols), key, "_rank", seed + 1).select("_rank", *[F.col(c).alias("_new_" + c) for c in cols])
+    return ranked(df, key, "_rank", seed).join(values, "_rank").drop("_rank")
+
+
 def shuffled(df: DataFrame, key: str, column: str, seed: int) -> DataFrame:
-    """The frame with one column permuted: values at one random rank go to the rows at another."""
-    rest = ranked(df.drop(column), key, "_rank", seed)
-    values = ranked(df.select(key, column), key, "_rank", seed + 1).select("_rank", column)
-    return rest.join(values, "_rank").select(*df.columns)
+    """The frame with one column permuted."""
+    return with_shuffled(df, key, [column], seed).withColumn(column, F.col("_new_" + column)).select(*df.columns)
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, key: str, cols, evaluator, seed: int = 42) -> DataFrame:
-    """(feature, importance): how much the metric worsens when a column is permuted."""
-    base = evaluator.evaluate(model.transform(df))
+    """(feature, importance): how much the metric worsens when a column is permuted. The table with
+    all permuted columns is written once."""
+    both = written(with_shuffled(df, key, cols, seed), "shuffled")
+    base = evaluator.evaluate(model.transform(both.select(*df.columns)))
     sign = 1.0 if evaluator.isLargerBetter() else -1.0
-    rows = [(c, sign * (base - evaluator.evaluate(model.transform(shuffled(df, key, c, seed))))) for c in cols]
+
+    def without(c):
+        return both.select(*[F.col("_new_" + c).alias(c) if n == c else F.col(n) for n in df.columns])
+
+    rows = [(c, sign * (base - evaluator.evaluate(model.transform(without(c))))) for c in cols]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")

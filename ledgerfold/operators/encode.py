@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.ordered import with_running_sums
-from ledgerfold.operators.skew import text_bounds, text_segment
 from ledgerfold.operators.stats import melt, value_counts
 from ledgerfold.sources.scratch import written
 
@@ -16,11 +15,9 @@ SALTS = 16
 
 def fit_categories(df: DataFrame, cols) -> DataFrame:
     """(feature, value, code): distinct values in sorted order, numbered from 0. Text columns may
-    have very many values, so the order is taken inside segments of the sorted texts."""
+    have very many values, so the order is taken inside ranges of them."""
     distinct = value_counts(df, cols, kind="string").select("feature", "value").withColumn("_one", F.lit(1))
-    bounds = text_bounds(distinct, "value")
-    cut = distinct.withColumn("_cut", text_segment("value", bounds))
-    ranked = with_running_sums(cut, "value", ["_one"], ["feature"], segment="_cut")
+    ranked = with_running_sums(distinct, "value", ["_one"], ["feature"])
     return ranked.select("feature", "value", F.col("before__one").cast("int").alias("code"))
 
 

@@ -8,42 +8,34 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.placed import PlacedHistory, parted
-from ledgerfold.operators.skew import grid_of_quantiles, hot_keys, quantile_bounds, split_hot, thinned, with_own_segment, with_segment
-
-
-BROADCAST_ROWS = 100_000
+from ledgerfold.operators.ranged import FAN, levels_of, ranged, same, segments_of, sums_before
+from ledgerfold.operators.skew import grid_of_quantiles, thinned, with_segment
 
 
 def with_previous(df: DataFrame, id_col: str, order_col: str, cols, hot: list | None = None,
-                  prefix: str = "prev_") -> DataFrame:
-    """Adds ``prev_<c>``: the value in the entity's preceding row.
-
-    ``order_col`` is unique within an entity. Ordinary entities share one window, whose hash
-    partitioning by id is reused by a following groupBy(id). A hot entity is cut into segments
-    by its own order; the first row of a segment takes its value from a table that holds one row
-    per (hot id, segment), whose size is bounded by their product.
+                  prefix: str = "prev_", segments: int | None = None) -> DataFrame:
+    """Adds ``prev_<c>``: the value in the entity's preceding row. ``order_col`` is unique within an
+    entity.
+
+    Rows are cut into ranges of (id, order), so the size of an entity does not matter. Inside a
+    range this is one window; the first row of a range looks at the last row of the ranges before it,
+    a table of one row per range. A caller that knows that no entity is large says ``hot=[]``: then
+    it is one window per entity, whose partitioning a following groupBy(id) uses again.
     """
-    hot = hot_keys(df, id_col) if hot is None else hot
-    window = W.partitionBy(id_col).orderBy(order_col)
-
-    def lagged(frame, win):
-        return frame.select("*", *[F.lag(c).over(win).alias(prefix + c) for c in cols])
-
-    if not hot:
-        return lagged(df, window)
-    cold_rows, hot_rows = split_hot(df, id_col, hot)
-    cut = with_own_segment(hot_rows, id_col, order_col)
-    ends = cut.groupBy(id_col, "_seg").agg(
-        F.max_by(F.struct(*[F.col(c).alias("l_" + c) for c in cols]), order_col).alias("_last"))
-    edge = ends.select(F.col(id_col).alias("_id"), F.col("_seg").alias("_at"), F.lag("_last").over(W.partitionBy(id_col).orderBy("_seg")).alias("_edge"))
-    inner = W.partitionBy(id_col, "_seg").orderBy(order_col)
-    inside = cut.select(
-        "*", F.row_number().over(inner).alias("_pos"),
-        *[F.lag(c).over(inner).alias("_in_" + c) for c in cols])
-    joined = inside.join(F.broadcast(edge), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_seg") == F.col("_at")), "left").select(
-        *df.columns,
-        *[F.when(F.col("_pos") == 1, F.col(f"_edge.l_{c}")).otherwise(F.col("_in_" + c)).alias(prefix + c) for c in cols])
-    return lagged(cold_rows, window).unionByName(joined)
+    cols = list(cols)
+    if hot is not None and not hot:
+        window = W.partitionBy(id_col).orderBy(order_col)
+        return df.select("*", *[F.lag(c).over(window).alias(prefix + c) for c in cols])
+    cut = ranged(df, [id_col, order_col], segments)
+    seen = F.struct(F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    ends = cut.groupBy("_seg").agg(F.max_by(seen, F.struct(id_col, order_col)).alias("_last"))
+    border = ends.select(F.col("_seg").alias("_at"), F.lag("_last").over(W.partitionBy(F.lit(0)).orderBy("_seg")).alias("_border"))
+    inside = W.partitionBy("_seg").orderBy(id_col, order_col)
+    lagged = cut.select("*", F.lag(seen).over(inside).alias("_in"), F.row_number().over(inside).alias("_pos"))
+    # one row per segment
+    met = lagged.join(F.broadcast(border), F.col("_seg") == F.col("_at")).withColumn("_p", F.when(F.col("_pos") == 1, F.col("_border")).otherwise(F.col("_in")))
+    mine = F.col("_p").isNotNull() & F.col("_p.id").eqNullSafe(F.col(id_col))
+    return met.select(*df.columns, *[F.when(mine, F.col(f"_p.c{i}")).alias(prefix + c) for i, c in enumerate(cols)])
 
 
 def aggregate_entities(df: DataFrame | PlacedHistory, id_col: str, aggs, hot: list, prepare=None) -> DataFrame:
@@ -61,23 +53,16 @@ def aggregate_entities(df: DataFrame | PlacedHistory, id_col: str, aggs, hot: li
 
 
 def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | None = None,
-                 suffix: str = "_bin_sequence") -> DataFrame:
+                 suffix: str = "_bin_sequence", segments: int | None = None) -> DataFrame:
     """One row per id: the codes of each column joined in order, nulls skipped, null if none.
 
-    A hot entity is first joined to text per segment, so a task sorts one segment at a time.
+    Rows are cut into ranges of (id, order); an entity's text is joined in each range it touches,
+    where its rows lie, and the parts are joined by range. ``hot=[]`` says that no entity is large.
     """
-    hot = hot_keys(df, id_col) if hot is None else hot
     slim = df.select(id_col, order_col, *cols)
-    if not hot:
+    if hot is not None and not hot:
         return joined_text(slim, [id_col], order_col, cols, suffix)
-    cold_rows, hot_rows = split_hot(slim, id_col, hot)
-    return joined_text(cold_rows, [id_col], order_col, cols, suffix).unionByName(segmented_text(hot_rows, id_col, order_col, cols, suffix))
-
-
-def segmented_text(df: DataFrame, id_col: str, order_col: str, cols, suffix: str = "_bin_sequence") -> DataFrame:
-    """The ordered text of hot entities, first per segment."""
-    cut = with_own_segment(df.select(id_col, order_col, *cols), id_col, order_col)
-    parts = joined_text(cut, [id_col, "_seg"], order_col, cols, "")
+    parts = joined_text(ranged(slim, [id_col, order_col], segments), [id_col, "_seg"], order_col, cols, "")
     return joined_text(parts, [id_col], "_seg", cols, suffix)
 
 
@@ -108,67 +93,50 @@ def first_rows_by_rank(df: DataFrame, id_col: str, order_col: str, descending: b
             .where(F.col("_n") == 1).drop("_n"))
 
 
-def with_group_values(df: DataFrame, keys, aggs, hot: list | None = None) -> DataFrame:
+def with_group_values(df: DataFrame, keys, aggs, hot: list | None = None, segments: int | None = None) -> DataFrame:
     """Group aggregates repeated on every row of the group (a window without order).
 
-    Without hot groups this is one window. Rows of hot groups are not shuffled at all: they
-    meet their aggregates, one row per hot group, by broadcast.
+    Rows are cut into ranges of (keys, a hash of the row), so a group of any size is spread. The
+    groups' aggregates are combined in every task first, and come back to a range as one row for
+    each group in it. ``hot=[]`` says that no group is large: then this is one window.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    lead = keys[0]
-    hot = hot_keys(df, lead) if hot is None else hot
-    win = W.partitionBy(*keys)
-
-    def windowed(frame):
-        return frame.select("*", *[a.over(win).alias(n) for n, a in aggs.items()])
-
-    if not hot:
-        return windowed(df)
-    cold_rows, hot_rows = split_hot(df, lead, hot)
-    totals = hot_rows.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
-    same = [F.col("h." + k).eqNullSafe(F.col("t." + k)) for k in keys]
-    cond = same[0]
-    for s in same[1:]:
-        cond = cond & s
-    # with the hot key alone there is a row per hot key; more keys may make more rows, so count
-    few = len(keys) == 1 or totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    side = F.broadcast(totals.alias("t")) if few else totals.alias("t")
-    joined = hot_rows.alias("h").join(side, cond, "left").select("h.*", *[F.col("t." + n) for n in aggs])
-    return windowed(cold_rows).unionByName(joined)
-
-
-def with_running_sums(df: DataFrame, order_col: str, sums, group_cols=(), segment: str | None = None,
-                      segments: int | None = None) -> DataFrame:
+    if hot is not None and not hot:
+        win = W.partitionBy(*keys)
+        return df.select("*", *[a.over(win).alias(n) for n, a in aggs.items()])
+    cut = ranged(df.withColumn("_mix", F.xxhash64(*df.columns)), [*keys, "_mix"], segments)
+    totals = cut.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    # which groups a range holds: no two ranges share more than the group at their border
+    places = cut.groupBy("_seg", *keys).agg(F.lit(1).alias("_one"))
+    found = places.alias("p").join(totals.alias("t"), same("p", "t", keys)).select("p._seg", *["p." + k for k in keys], *["t." + n for n in aggs])
+    met = cut.alias("r").join(found.alias("f"), (F.col("r._seg") == F.col("f._seg")) & same("r", "f", keys))
+    return met.select(*["r." + c for c in df.columns], *["f." + n for n in aggs])
+
+
+def with_running_sums(df: DataFrame, order_col: str, sums, group_cols=(), segments: int | None = None, levels: int | None = None,
+                      fan: int = FAN) -> DataFrame:
     """Adds ``before_<s>`` and ``total_<s>`` for each summed column: the sum over all rows of the
     group that come before this one, and over the whole group. ``order_col`` is unique in a group.
 
-    Rows are cut into order-preserving segments, as many as the rows ask for; a running sum is taken
-    inside a segment and shifted by the sum of earlier segments. The table of segment sums has one
-    row per segment and group, so its own running sum is small. A null group is a group.
+    Rows are cut into ranges of (group, order); a running sum is taken inside a range and shifted by
+    the group's sums over earlier ranges (``sums_before``), so neither a group nor the number of
+    ranges has a limit. A null group is a group.
     """
-    group_cols = list(group_cols)
-    if segment is None:
-        df = with_segment(df, order_col, quantile_bounds(df, order_col, segments))
-        segment = "_seg"
-    per_segment = df.groupBy(*group_cols, segment).agg(*[F.sum(s).alias("_s_" + s) for s in sums])
-    over = W.partitionBy(*group_cols) if group_cols else W.partitionBy(F.lit(0))
-    earlier = over.orderBy(segment).rowsBetween(W.unboundedPreceding, -1)
-    shifts = per_segment.select(
-        *group_cols, segment,
-        *[F.coalesce(F.sum("_s_" + s).over(earlier), F.lit(0)).alias("_e_" + s) for s in sums],
-        *[F.sum("_s_" + s).over(over).alias("total_" + s) for s in sums])
-    if not group_cols:
-        shifts = F.broadcast(shifts)  # one row per segment
-    inside = W.partitionBy(*group_cols, segment).orderBy(order_col).rowsBetween(W.unboundedPreceding, -1)
-    local = df.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias("_l_" + s) for s in sums])
-    keep = [F.col("l." + c) for c in df.columns if c != "_seg"]
-    same = F.col(f"l.{segment}").eqNullSafe(F.col(f"s.{segment}"))
-    for g in group_cols:
-        same = same & F.col("l." + g).eqNullSafe(F.col("s." + g))
-    return local.alias("l").join(shifts.alias("s"), same).select(
-        *keep,
-        *[(F.col("_l_" + s) + F.col("_e_" + s)).alias("before_" + s) for s in sums],
-        *["total_" + s for s in sums])
+    group_cols, sums = list(group_cols), list(sums)
+    cut = ranged(df, [*group_cols, order_col], segments)
+    parts = cut.groupBy(*group_cols, "_seg").agg(*[F.sum(s).alias(s) for s in sums])
+    before = sums_before(parts, "_seg", sums, group_cols, levels or levels_of(segments_of(df, segments), fan), fan)
+    totals = parts.groupBy(*group_cols).agg(*[F.sum(s).alias("total_" + s) for s in sums])
+    if group_cols:
+        shifts = before.alias("b").join(totals.alias("t"), same("b", "t", group_cols)).select("b.*", *["t.total_" + s for s in sums])
+    else:
+        shifts = before.withColumn("_t", totals.select(F.struct("*")).scalar()).select("*", "_t.*")
+    inside = W.partitionBy("_seg", *group_cols).orderBy(order_col).rowsBetween(W.unboundedPreceding, -1)
+    local = cut.select("*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias("_l_" + s) for s in sums])
+    met = local.alias("l").join(shifts.alias("s"), (F.col("l._seg") == F.col("s._seg")) & same("l", "s", group_cols))
+    return met.select(
+        *["l." + c for c in df.columns],
+        *[(F.col("_l_" + s) + F.col("_e_" + s)).alias("before_" + s) for s in sums], *["s.total_" + s for s in sums])
 
 
 def exact_quantiles(df: DataFrame, value_cols, probs, group_cols=(), segments: int | None = None) -> DataFrame:

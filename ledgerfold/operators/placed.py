@@ -8,12 +8,13 @@ their own, in plain files that any number of tasks read.
 from __future__ import annotations
 
 import json
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from ledgerfold.operators.skew import hot_keys, split_hot
+from ledgerfold.operators.ranged import read_buckets, write_buckets
+from ledgerfold.operators.skew import ALL, hot_keys, split_hot
 
 BUCKET_ROWS = 2_000_000
 
@@ -47,15 +48,12 @@ def place_history(df: DataFrame, path: str, id_col: str, order_col: str | None =
     spark = df.sparkSession
     hot = hot_keys(df, id_col) if hot is None else hot
     n = buckets or max(1, -(-df.count() // BUCKET_ROWS))
-    cold, hot_rows = split_hot(df, id_col, hot)
+    cold, hot_rows = (df.limit(0), df) if hot is ALL else split_hot(df, id_col, hot)
     kind = df.schema[id_col].dataType.simpleString()
-    name = f"placed_{uuid.uuid4().hex}"
-    (cold.repartition(n, id_col).write.bucketBy(n, id_col).sortBy(id_col, *([order_col] if order_col else []))
-     .option("path", f"{path}/cold").saveAsTable(name))
-    spark.sql(f"DROP TABLE {name}")  # the files stay: the table is external
+    write_buckets(cold.repartition(n, id_col), f"{path}/cold", id_col, n, [id_col, *([order_col] if order_col else [])])
     hot_rows.write.parquet(f"{path}/hot")
-    spark.createDataFrame([(h,) for h in hot], f"hot {kind}").coalesce(1).write.parquet(f"{path}/hot_ids")
-    layout = json.dumps({"id": id_col, "order": order_col, "buckets": n, "schema": df.schema.jsonValue()})
+    spark.createDataFrame([] if hot is ALL else [(h,) for h in hot], f"hot {kind}").coalesce(1).write.parquet(f"{path}/hot_ids")
+    layout = json.dumps({"id": id_col, "buckets": n, "all_hot": hot is ALL, "schema": df.schema.jsonValue()})
     spark.createDataFrame([(layout,)], "layout string").coalesce(1).write.parquet(f"{path}/layout")
     return path
 
@@ -63,26 +61,23 @@ def place_history(df: DataFrame, path: str, id_col: str, order_col: str | None =
 def read_placed(spark: SparkSession, path: str) -> PlacedHistory:
     """The history at a path that ``place_history`` wrote. The bucketed files are registered under a
     fresh name in the session's catalog, which needs nothing else."""
-    from pyspark.sql.types import StructType
-
     layout = json.loads(spark.read.parquet(f"{path}/layout").first()[0])
     schema = StructType.fromJson(layout["schema"])
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    order = f" SORTED BY (`{layout['id']}`{', `%s`' % layout['order'] if layout['order'] else ''})"
-    name = f"placed_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{layout['id']}`){order} "
-              f"INTO {layout['buckets']} BUCKETS LOCATION '{path}/cold'")
-    hot = [r[0] for r in spark.read.parquet(f"{path}/hot_ids").collect()]
-    return PlacedHistory(layout["id"], spark.table(name), spark.read.schema(schema).parquet(f"{path}/hot"), hot)
+    cold = read_buckets(spark, f"{path}/cold", schema, layout["id"], layout["buckets"])
+    hot = ALL if layout["all_hot"] else [r[0] for r in spark.read.parquet(f"{path}/hot_ids").collect()]
+    return PlacedHistory(layout["id"], cold, spark.read.schema(schema).parquet(f"{path}/hot"), hot)
 
 
 def parted(df: DataFrame | PlacedHistory, id_col: str, hot: list) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary entities, each entity in one partition; rows of hot ones, None if there
-    are none). A placed history is there already, other rows are dealt out by id."""
+    are none). A placed history is there already, other rows are dealt out by id. With more hot
+    entities than a list may name, all rows take the hot plan, which suits any entity."""
     if isinstance(df, PlacedHistory):
         if df.id_col != id_col:
             raise ValueError(f"placed by {df.id_col}, asked by {id_col}")
         return df.cold, df.hot_rows if df.hot else None
+    if hot is ALL:
+        return df.limit(0), df
     if not hot:
         return df.repartition(id_col), None
     cold, hot_rows = split_hot(df, id_col, hot)

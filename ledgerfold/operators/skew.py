@@ -1,9 +1,9 @@
 """Entities too large for one task.
 
-Order-dependent work (previous row, ordered sequence) sorts an entity inside one task. That is
-the cheapest plan as long as no entity is huge, and wrong when one entity owns a third of the
-table. ``hot_keys`` measures this with one sketch over the key column; only the entities it
-returns take the segmented plan, and results are the same on both plans.
+An aggregate that lists an entity's rows does so inside one task. That is the cheapest plan as long
+as no entity is huge, and wrong when one entity owns a third of the table. ``hot_keys`` measures
+this with one sketch over the key column; only the entities it returns take the plan for hot ones,
+and results are the same on both plans.
 """
 
 from __future__ import annotations
@@ -14,9 +14,20 @@ from pyspark.sql import functions as F
 
 # An entity below this many rows is sorted by one task without trouble.
 HOT_ROWS = 1_000_000
-# The sketch tracks TRACKED items; at most MAX_HOT of them are returned (a bound on the driver).
+# The sketch tracks TRACKED items; with more than MAX_HOT hot ones the list would be long, and all
+# entities count as hot (ALL).
 TRACKED = 16_384
 MAX_HOT = 1_000
+
+
+class _All(list):
+    """Stands for every entity; true like a list that is not empty."""
+
+    def __bool__(self):
+        return True
+
+
+ALL = _All()
 # Ordered work is cut into parts of about SEGMENT_ROWS rows, LEAST_SEGMENTS to SEGMENTS of them.
 SEGMENT_ROWS = 1_000_000
 LEAST_SEGMENTS = 16
@@ -24,7 +35,8 @@ SEGMENTS = 1024
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
-    """Keys that hold at least ``hot_rows`` rows, largest first; None, last, if null does.
+    """Keys that hold at least ``hot_rows`` rows, largest first; None, last, if null does. ``ALL``
+    if there are more than MAX_HOT.
 
     The frequent-items sketch has a fixed size, combines map-side and needs no shuffle of keys.
     It underestimates counts by at most rows / (0.75 * TRACKED), which is far below the row
@@ -33,7 +45,9 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
     row = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT + 1}, {TRACKED})").alias("top"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
-    found = [r["item"] for r in row["top"] or [] if r["item"] is not None and r["count"] >= limit][:MAX_HOT]
+    found = [r["item"] for r in row["top"] or [] if r["item"] is not None and r["count"] >= limit]
+    if len(found) > MAX_HOT:
+        return ALL
     return [*found, None] if row["nulls"] >= limit else found
 
 
@@ -61,18 +75,6 @@ def quantile_bounds(df: DataFrame, column: str, segments: int | None = None) ->
     return thinned(found[0], found[1], segments)
 
 
-def with_own_segment(df: DataFrame, key: str, column: str, segments: int | None = None, name: str = "_seg") -> DataFrame:
-    """Cuts each key's rows by the key's own quantiles. For hot keys: the table of bounds has one
-    row per key, at most MAX_HOT + 1, which bounds the broadcast."""
-    own = df.groupBy(F.col(key).alias("_k")).agg(grid_of_quantiles(column).alias("_b"), F.count("*").alias("_n"))
-    parts = F.least(F.lit(SEGMENTS), F.lit(segments) if segments else F.ceil(F.col("_n") / SEGMENT_ROWS)).cast("int")
-    own = own.withColumn("_p", parts).select("_k", F.when(F.col("_p") > 1, F.array_sort(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.col("_p") - 1), lambda i: F.get("_b", (F.floor(i * SEGMENTS / F.col("_p")) - 1).cast("int")))))).alias("_b"))
-    cut = F.coalesce(F.size(F.filter("_b", lambda b: b <= F.col(column).cast("double"))), F.lit(0))
-    return df.join(F.broadcast(own), F.col(key).eqNullSafe(F.col("_k")), "left").withColumn(
-        name, F.when(F.col("_b").isNull(), 0).otherwise(cut)).drop("_k", "_b")
-
-
 def with_segment(df: DataFrame, column: str, bounds: list[float], name: str = "_seg") -> DataFrame:
     """Number of the part of ``bounds`` that holds the column: order-preserving, row-local."""
     if not bounds:
@@ -83,25 +85,6 @@ def with_segment(df: DataFrame, column: str, bounds: list[float], name: str = "_
     return cut.transform(df.withColumn(tmp, F.col(column).cast("double"))).drop(tmp)
 
 
-def text_bounds(df: DataFrame, column: str, segments: int = 256, sample: int = 4096) -> list[str]:
-    """Inner bounds that cut the distinct texts of a column into about equal parts; empty when
-    there are fewer than ``sample`` of them. The sample is the texts of smallest hash: a top-n per
-    task, of fixed size on the driver, and the same on every run."""
-    found = (df.where(F.col(column).isNotNull()).select(column).distinct()
-             .orderBy(F.xxhash64(column), column).limit(sample).collect())
-    if len(found) < sample:
-        return []
-    texts = sorted(r[0] for r in found)
-    return [texts[i * sample // segments] for i in range(1, segments)]
-
-
-def text_segment(column: str, bounds: list[str]):
-    """Number of bounds at or below the text: order-preserving, row-local."""
-    if not bounds:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(column)))
-
-
 def split_hot(df: DataFrame, key: str, hot: list) -> tuple[DataFrame, DataFrame]:
     """(cold rows, hot rows); a null key is hot if None is in the list."""
     is_hot = F.coalesce(F.col(key).isin([k for k in hot if k is not None]), F.lit(None in hot))

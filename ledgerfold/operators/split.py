@@ -49,8 +49,7 @@ def stratified_entity_split(ids: DataFrame, id_col: str, label: str, test: float
                             seed: int = 42, name: str = "split") -> DataFrame:
     """Split of unique ids with exact proportions per label: the share of ids of a label, in the
     order of their hash. Ids without a label are a stratum of their own. A label may hold nearly all
-    ids, so the order is taken inside segments (4096 of the first three hash digits) and shifted by
-    the counts of earlier segments. If a label has too few ids to be divided (one), the split falls
+    ids, so the order is taken inside ranges and shifted by the counts of earlier ones. If a label has too few ids to be divided (one), the split falls
     back to ``entity_split`` for all, with a warning."""
     check_sizes(ids, id_col, test, val)
     if not ids.groupBy(label).agg(F.count("*").alias("n")).where("n < 2").isEmpty():
@@ -58,8 +57,8 @@ def stratified_entity_split(ids: DataFrame, id_col: str, label: str, test: float
         return entity_split(ids.select(id_col, label), id_col, test, val, seed, name)
     keyed = (ids.select(id_col, label)
              .withColumn("_h", F.concat(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}"))), F.lit("|"), F.col(id_col).cast("string")))
-             .withColumn("_cut", F.substring("_h", 1, 3)).withColumn("_one", F.lit(1)))
-    ranked = with_running_sums(keyed, "_h", ["_one"], [label], segment="_cut")
+             .withColumn("_one", F.lit(1)))
+    ranked = with_running_sums(keyed, "_h", ["_one"], [label])
     at, n = F.col("before__one"), F.col("total__one")
     out = F.when(at < F.round(n * F.lit(float(test))), "test")
     out = out.when(at < F.round(n * F.lit(float(test))) + F.round(n * F.lit(float(val))), "val")

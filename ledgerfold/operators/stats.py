@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.scalar import MISSING_CODE
-from ledgerfold.operators.skew import hot_keys, split_hot
+from ledgerfold.operators.placed import parted
+from ledgerfold.operators.skew import hot_keys
 
 RARE_SHARE = 0.05
 
@@ -67,10 +68,8 @@ def counts_by_entity(df: DataFrame, id_col: str, cols, fold, keep_null: bool = F
     def counted(rows):
         return fold(value_counts(rows, cols, keys=[id_col], keep_null=keep_null))
 
-    if not hot:
-        return counted(slim.repartition(id_col))
-    cold_rows, hot_rows = split_hot(slim, id_col, hot)
-    return counted(cold_rows.repartition(id_col)).unionByName(counted(hot_rows))
+    cold_rows, hot_rows = parted(slim, id_col, hot)
+    return counted(cold_rows) if hot_rows is None else counted(cold_rows).unionByName(counted(hot_rows))
 
 
 def local_modes(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.operators import blocks as B
 from ledgerfold.operators import grid as G
-from ledgerfold.operators.ordered import aggregate_entities, segmented_text, with_previous
+from ledgerfold.operators.ordered import aggregate_entities, ordered_text, with_previous
 from ledgerfold.operators.placed import PlacedHistory, hot_of, parted, rows_of_history
 from ledgerfold.operators.stats import (
     global_modes, inject_modes, inject_stats, mode_columns, off_of_entities, rare_columns, value_counts)
@@ -137,7 +137,7 @@ def folded_snapshots(rows: DataFrame, keys: HistorySpec, spec: SnapshotMart) ->
 def hot_snapshots(rows: DataFrame, population: DataFrame, keys: HistorySpec, spec: SnapshotMart) -> DataFrame:
     g = spec.grid
     out = inject_modes(rows, population, spec.coded)[0].groupBy(keys.id).agg(*snapshot_columns(rows.columns, keys, spec, True))
-    out = out.join(segmented_text(rows, keys.id, keys.order, spec.sequences), keys.id, "left")
+    out = out.join(ordered_text(rows, keys.id, keys.order, spec.sequences), keys.id, "left")
     if spec.local and not spec.local_bins:
         out = out.join(off_of_entities(value_counts(rows, spec.local, keys=[keys.id], keep_null=True), keys.id, spec.local), keys.id, "left")
     if g.n_codes is None:
@@ -160,7 +160,7 @@ def mart_v2(df: DataFrame | PlacedHistory, keys: HistorySpec, spec: LeakFreeMart
         # after the shuffle, so that it carries the columns as they are and no copy of the statistics
         part = inject_stats(part, stats, list(spec.coded))[0]
         part = part.select("*", *G.grid_row_stats(rows.columns, g.pattern, g.shares, g.n_codes))
-        return with_previous(part, keys.id, keys.order, changing, hot_) if changing else part
+        return with_previous(part, keys.id, keys.order, changing, hot_ or []) if changing else part
 
     out = aggregate_entities(rows, keys.id, [
         *B.base_counters(keys.rn, spec.flags),

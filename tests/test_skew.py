@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerfold.operators import blocks as B
 from ledgerfold.operators import ordered as O
 from ledgerfold.operators.attribution import shuffled
-from ledgerfold.operators.skew import hot_keys, with_own_segment
+from ledgerfold.operators.skew import ALL, hot_keys
 from ledgerfold.operators.split import stratified_entity_split
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
@@ -98,17 +98,58 @@ def test_hot_null_and_narrow_orders(spark):
     assert plain == rows_of(O.with_previous(df, "id", "rn", ["a"], [None, 1, 2]))
     agg = {"n": F.count("*"), "s": F.sum("a")}
     assert rows_of(O.with_group_values(df, "id", agg, [])) == rows_of(O.with_group_values(df, "id", agg, [None, 1, 2]))
-    cut = with_own_segment(df.where("id in (1, 2)"), "id", "rn", 8).groupBy("id").agg(F.count_distinct("_seg").alias("k")).collect()
-    assert {r["id"]: r["k"] for r in cut} == {1: 8, 2: 8}
+    for segments in (1, 7, 200):  # many of 200 ranges are empty
+        assert plain == rows_of(O.with_previous(df, "id", "rn", ["a"], segments=segments))
+        assert rows_of(O.ordered_text(df, "id", "rn", ["a"], [])) == rows_of(O.ordered_text(df, "id", "rn", ["a"], segments=segments))
+
+
+@pytest.mark.parametrize("segments, levels, fan", [(1, None, 1024), (16, None, 1024), (16, 2, 8), (16, 3, 3), (40, None, 3), (40, 5, 2)])
+def test_running_sums(skewed, segments, levels, fan):
+    df = skewed.groupBy("rn").agg(F.sum("b").alias("b"), (F.max("rn") % 3).alias("g"))
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))
+    got = {r["rn"]: (r["before_b"], r["total_b"]) for r in O.with_running_sums(df, "rn", ["b"], (), segments, levels, fan).collect()}
+    by = {r["rn"]: (r["before_b"], r["total_b"]) for r in O.with_running_sums(df, "rn", ["b"], ["g"], segments, levels, fan).collect()}
+    rows = df.orderBy("rn").collect()
+    seen, total = {None: 0, 1: 0, 2: 0}, {None: 0, 1: 0, 2: 0}
+    for r in rows:
+        total[r["g"]] += r["b"]
+    for r in rows:
+        assert got[r["rn"]] == (sum(seen.values()), sum(total.values()))
+        assert by[r["rn"]] == (seen[r["g"]], total[r["g"]])
+        seen[r["g"]] += r["b"]
+
+
+def test_two_thousand_large_entities(spark, monkeypatch):
+    """More large entities than any list names: previous row, text and group values have no list, and
+    the marts' plan for hot entities takes all rows."""
+    from ledgerfold.operators import skew
+
+    df = spark.range(2000 * 20).select((F.col("id") % 2000).alias("id"), F.col("id").alias("rn"), (F.hash("id") % 5).alias("a"))
+    monkeypatch.setattr(skew, "HOT_ROWS", 15)
+    assert hot_keys(df, "id") is ALL
+    assert rows_of(O.with_previous(df, "id", "rn", ["a"], [])) == rows_of(O.with_previous(df, "id", "rn", ["a"]))
+    assert rows_of(O.ordered_text(df, "id", "rn", ["a"], [])) == rows_of(O.ordered_text(df, "id", "rn", ["a"]))
+    agg = {"n": F.count("*"), "s": F.sum("a")}
+    assert rows_of(O.with_group_values(df, "id", agg, [])) == rows_of(O.with_group_values(df, "id", agg))
+    aggs = [F.count("*").alias("n"), *B.change_counts(["a"])]
+
+    def prepare(rows, hot):
+        return O.with_previous(rows, "id", "rn", ["a"], hot)
+
+    assert rows_of(O.aggregate_entities(df, "id", aggs, [], prepare)) == rows_of(O.aggregate_entities(df, "id", aggs, ALL, prepare))
+    from ledgerfold.operators.stats import local_modes
+
+    assert rows_of(local_modes(df, "id", ["a"], [])) == rows_of(local_modes(df, "id", ["a"]))
+
 
+def test_no_list_and_no_scan_before(spark, skewed, monkeypatch):
+    """Plans are made without looking at the keys."""
+    from ledgerfold.operators import skew
 
-def test_running_sums(skewed):
-    df = skewed.groupBy("rn").agg(F.sum("b").alias("b"))
-    got = {r["rn"]: (r["before_b"], r["total_b"]) for r in O.with_running_sums(df, "rn", ["b"], segments=16).collect()}
-    seen, total = 0, sum(r["b"] for r in df.collect())
-    for r in df.orderBy("rn").collect():
-        assert got[r["rn"]] == (seen, total)
-        seen += r["b"]
+    monkeypatch.setattr(skew, "hot_keys", None)
+    O.with_previous(skewed, "id", "rn", ["a"])
+    O.ordered_text(skewed, "id", "rn", ["a"])
+    O.with_group_values(skewed, "id", {"n": F.count("*")})
 
 
 def test_permutation_keeps_all_values(spark, skewed):
@@ -120,12 +161,10 @@ def test_permutation_keeps_all_values(spark, skewed):
     assert rows_of(out) != rows_of(df)
 
 
-def test_text_codes_across_segments(spark):
+def test_text_codes_across_ranges(spark):
     from ledgerfold.operators.encode import fit_categories
-    from ledgerfold.operators.skew import text_bounds
 
     df = spark.range(6000).select(F.md5(F.col("id").cast("string")).alias("t"))
-    assert len(text_bounds(df, "t")) == 255
     codes = {r["value"]: r["code"] for r in fit_categories(df, ["t"]).collect()}
     assert codes == {t: i for i, t in enumerate(sorted(codes))} and len(codes) == 6000
 
