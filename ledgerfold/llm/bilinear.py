@@ -12,8 +12,8 @@ task goes on from the same parameters with its own texts, batch by batch: the ne
 against ``NOISE`` symbols drawn from the frequencies. The parameters, some ten thousand numbers
 whatever the corpus, are averaged over tasks by their tokens. Scoring uses full sums over all symbols.
 
-Tasks know the counts of the ``CACHED`` most frequent words, a fixed number; a text's other words leave
-the task as (word, count) and meet the table of counts in a join.
+Tasks know the counts of words with at least one in ``CACHED`` of all tokens, so at most that many; a
+text's other words leave the task as (word, count) and meet the table of counts in a join.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.common import small_batches, text_bytes
 from ledgerfold.sources.scratch import written
 
-HEAD, CLASSES, CACHED = 384, 383, 100_000
+HEAD, CLASSES, CACHED = 256, 255, 1_000_000
 CONTEXT, WIDTH, NOISE = 5, 16, 48
-BATCH, RATE, SEED = 2048, 0.08, 7
+BATCH, SCORED, RATE, SEED = 1024, 128, 0.08, 7
 ROUNDS = ((0, 1), (1, 4), (4, 16))  # sixteenths of the training texts
 WORDS = 1 << 18
 END = b"\n"  # no word can be this
@@ -106,8 +106,11 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the written table of counts. The driver gets CACHED words, CLASSES endings and sums."""
-    first = counts.orderBy(F.col("c").desc(), "word").limit(CACHED).collect()
+    """From the written table of counts. The driver gets the words of at least one in CACHED tokens, which
+    are at most CACHED, CLASSES endings and sums."""
+    whole = counts.agg(F.sum("c").alias("c"), F.count("*").alias("v")).first()
+    tokens = whole.c or 0
+    first = sorted(counts.where(F.col("c") * CACHED >= tokens).collect(), key=lambda r: (-r.c, r.word))
     heads = first[:HEAD]
     least = (heads[-1].c, bytes(heads[-1].word)) if heads else (0, b"")
     # the words after the last head in the same order
@@ -115,15 +118,14 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     ending = F.expr("substring(word, greatest(octet_length(word) - 2, 1), 3)")
     by_ending = written(tail.groupBy(ending.alias("ending")).agg(F.sum("c").alias("c"), F.count("*").alias("v")), "endings")
     classes = by_ending.orderBy(F.col("c").desc(), "ending").limit(CLASSES).collect()
-    whole = by_ending.agg(F.sum("c").alias("c"), F.sum("v").alias("v")).first()
-    rest = [(whole.c or 0) - sum(r.c for r in classes), (whole.v or 0) - sum(r.v for r in classes)]
+    rest = [tokens - sum(r.c for r in [*heads, *classes]), whole.v - len(heads) - sum(r.v for r in classes)]
     endings = {bytes(r.ending): len(heads) + i for i, r in enumerate(classes)}
     sizes = [(r.c, r.v) for r in classes] + [tuple(rest)]
     last = len(heads) + len(classes)
     symbol = np.array([i if i < len(heads) else endings.get(bytes(r.word)[-3:], last) for i, r in enumerate(first)] + [0], np.int64)
     share = np.concatenate([np.zeros(len(heads)), [-np.log10(c + v + 1) for c, v in sizes]])
     return Vocabulary(
-        sum(r.c for r in heads) + (whole.c or 0), len(heads) + (whole.v or 0), {bytes(r.word): i for i, r in enumerate(first)},
+        tokens, whole.v, {bytes(r.word): i for i, r in enumerate(first)},
         np.array([r.c for r in first] + [0], np.int64), symbol, endings, share,
         np.array([r.c for r in heads] + [c + 1 for c, _ in sizes], float))
 
@@ -148,8 +150,8 @@ class Model:
     @classmethod
     def fresh(cls, frequency: np.ndarray):
         rng, n = np.random.default_rng(SEED), len(frequency)
-        return cls(rng.normal(0, 0.1, (n + 1, WIDTH)), rng.normal(0, 0.1, (n, WIDTH)), np.log(frequency / frequency.sum()),
-                   np.ones((CONTEXT, WIDTH)))
+        parts = [rng.normal(0, 0.1, (n + 1, WIDTH)), rng.normal(0, 0.1, (n, WIDTH)), np.log(frequency / frequency.sum()), np.ones((CONTEXT, WIDTH))]
+        return cls(*[p.astype(np.float32) for p in parts])
 
     def parts(self):
         return [self.given, self.wanted, self.bias, self.places]
@@ -159,7 +161,7 @@ class Model:
 
     def with_values(self, flat: np.ndarray):
         cuts = np.cumsum([p.size for p in self.parts()])[:-1]
-        return Model(*[x.reshape(p.shape) for x, p in zip(np.split(flat, cuts), self.parts())])
+        return Model(*[x.reshape(p.shape).astype(np.float32) for x, p in zip(np.split(flat, cuts), self.parts())])
 
     def contexts(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The symbols before each token, nearest first."""
@@ -171,39 +173,45 @@ class Model:
     def train(self, symbols: np.ndarray, sizes: np.ndarray, frequency: np.ndarray, rng) -> None:
         """One pass over the tokens of a block, in random order of batches."""
         noise = frequency / frequency.sum()
-        level, steps = np.log(NOISE * noise), np.cumsum(noise)
-        context = self.contexts(symbols, sizes)
+        level, steps = np.log(NOISE * noise).astype(np.float32), np.cumsum(noise)
+        context, place = self.contexts(symbols, sizes), np.arange(CONTEXT) * len(self.given)
         if not self.seen:
-            self.seen = [np.full(p.shape, 1e-3) for p in self.parts()]
+            self.seen = [np.full(p.shape, 1e-3, np.float32) for p in self.parts()]
         for at in rng.permutation(np.arange(0, len(symbols), BATCH)):
             before, target = context[at:at + BATCH], symbols[at:at + BATCH]
             drawn = np.minimum(np.searchsorted(steps, rng.random(NOISE)), len(steps) - 1)
-            vectors = self.given[before]
-            guess = (vectors * self.places).sum(axis=1)
+            weighed = (self.places[:, None] * self.given).reshape(-1, WIDTH)  # of each place and symbol
+            guess = weighed[before + place].sum(axis=1)
             right, wrong = self.wanted[target], self.wanted[drawn]
             up = 1 / (1 + np.exp(np.clip((guess * right).sum(axis=1) + self.bias[target] - level[target], -30, 30)))
-            down = -1 / (1 + np.exp(-np.clip(guess @ wrong.T + self.bias[drawn] - level[drawn], -30, 30)))
+            down = -1 / (1 + np.exp(-np.clip(guess @ wrong.T + (self.bias - level)[drawn], -30, 30)))
             slope = up[:, None] * right + down @ wrong
+            by_place = np.stack([scatter(before[:, k], slope, len(self.given)) for k in range(CONTEXT)])
             index = np.concatenate([target, drawn])
             gradients = [
-                scatter(before.ravel(), (slope[:, None, :] * self.places).reshape(-1, WIDTH), len(self.given)),
+                (by_place * self.places[:, None]).sum(axis=0),
                 scatter(index, np.concatenate([up[:, None] * guess, down.T @ guess]), len(self.wanted)),
                 np.bincount(index, np.concatenate([up, down.sum(axis=0)]), len(self.bias)),
-                (slope[:, None, :] * vectors).sum(axis=0)]
+                (by_place * self.given).sum(axis=1)]
             for part, seen, g in zip(self.parts(), self.seen, gradients):
+                g = g.astype(np.float32)
                 seen += g * g
                 part += RATE * g / np.sqrt(seen)
 
     def log10_of(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each token's symbol."""
-        context, out = self.contexts(symbols, sizes), np.empty(len(symbols))
-        given, wanted, bias, places = (p.astype(np.float32) for p in self.parts())
-        for at in range(0, len(symbols), BATCH):
-            target = symbols[at:at + BATCH]
-            logit = (given[context[at:at + BATCH]] * places).sum(axis=1) @ wanted.T + bias
-            logit -= logit.max(axis=1, keepdims=True)
+        context, out = self.contexts(symbols, sizes) + np.arange(CONTEXT) * len(self.given), np.empty(len(symbols))
+        weighed = (self.places[:, None] * self.given).reshape(-1, WIDTH)
+        table = np.ascontiguousarray(np.column_stack([self.wanted, self.bias]).T)  # the bias belongs to a constant one
+        longest = np.sqrt((self.wanted ** 2).sum(axis=1).max())
+        for at in range(0, len(symbols), SCORED):
+            target = symbols[at:at + SCORED]
+            guess = weighed[context[at:at + SCORED]].sum(axis=1)
+            logit = np.column_stack([guess, np.ones(len(guess), np.float32)]) @ table
+            if np.sqrt((guess ** 2).sum(axis=1).max()) * longest + np.abs(self.bias).max() > 80:  # else no exponential is out of range
+                logit -= logit.max(axis=1, keepdims=True)
             mine = logit[np.arange(len(target)), target]
-            out[at:at + BATCH] = mine - np.log(np.exp(logit, out=logit).sum(axis=1))
+            out[at:at + SCORED] = mine - np.log(np.exp(logit, out=logit).sum(axis=1))
         return out / np.log(10)
 
 
@@ -224,7 +232,7 @@ def fit(texts: DataFrame, vocab: Vocabulary) -> Model:
                 tokens += len(symbols)
             if tokens:
                 values = mine.flat()
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values * tokens), pa.array(np.full(len(values), tokens))],
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values.astype(float) * tokens), pa.array(np.full(len(values), tokens))],
                                                  ["i", "v", "n"])
 
         slim = texts.where((share >= low) & (share < high)).select("text")

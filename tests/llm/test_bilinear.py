@@ -33,7 +33,7 @@ def check_rows(docs, got):
         assert g[:5] == w[:5] and near(g[5], w[5])
 
 
-@pytest.mark.parametrize("head, classes, cached", [(B.HEAD, B.CLASSES, B.CACHED), (5, 4, 12)])
+@pytest.mark.parametrize("head, classes, cached", [(B.HEAD, B.CLASSES, B.CACHED), (5, 4, 40)])
 def test_rows(spark, monkeypatch, head, classes, cached):
     for name, value in (("HEAD", head), ("CLASSES", classes), ("CACHED", cached)):
         monkeypatch.setattr(B, name, value)
