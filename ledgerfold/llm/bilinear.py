@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.common import small_batches, text_bytes
 from ledgerfold.sources.scratch import written
 
-HEAD, CLASSES, CACHED = 256, 255, 1_000_000
-CONTEXT, WIDTH, NOISE = 5, 16, 48
+HEAD, CLASSES, CACHED = 224, 223, 1_000_000
+CONTEXT, WIDTH, NOISE = 5, 16, 40
 BATCH, SCORED, RATE, SEED = 1024, 128, 0.08, 7
 ROUNDS = ((0, 1), (1, 4), (4, 16))  # sixteenths of the training texts
 WORDS = 1 << 18
@@ -200,18 +200,22 @@ class Model:
 
     def log10_of(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each token's symbol."""
-        context, out = self.contexts(symbols, sizes) + np.arange(CONTEXT) * len(self.given), np.empty(len(symbols))
-        weighed = (self.places[:, None] * self.given).reshape(-1, WIDTH)
+        context, out = self.contexts(symbols, sizes), np.empty(len(symbols))
+        guess = np.ones((len(symbols), WIDTH + 1), np.float32)
+        guess[:, :-1] = (self.given * self.places[0])[context[:, 0]]
+        for k in range(1, CONTEXT):
+            guess[:, :-1] += (self.given * self.places[k])[context[:, k]]
         table = np.ascontiguousarray(np.column_stack([self.wanted, self.bias]).T)  # the bias belongs to a constant one
-        longest = np.sqrt((self.wanted ** 2).sum(axis=1).max())
+        one = np.ones(len(self.bias), np.float32)
+        reach = np.sqrt((guess[:, :-1] ** 2).sum(axis=1).max(initial=0) * (self.wanted ** 2).sum(axis=1).max())
+        wide = reach + np.abs(self.bias).max() > 80  # else no exponential is out of range
         for at in range(0, len(symbols), SCORED):
             target = symbols[at:at + SCORED]
-            guess = weighed[context[at:at + SCORED]].sum(axis=1)
-            logit = np.column_stack([guess, np.ones(len(guess), np.float32)]) @ table
-            if np.sqrt((guess ** 2).sum(axis=1).max()) * longest + np.abs(self.bias).max() > 80:  # else no exponential is out of range
+            logit = guess[at:at + SCORED] @ table
+            if wide:
                 logit -= logit.max(axis=1, keepdims=True)
             mine = logit[np.arange(len(target)), target]
-            out[at:at + SCORED] = mine - np.log(np.exp(logit, out=logit).sum(axis=1))
+            out[at:at + SCORED] = mine - np.log(np.exp(logit, out=logit) @ one)
         return out / np.log(10)
 
 
