@@ -2,8 +2,9 @@
 
 The pre-tokenizer of such a vocabulary never joins what stands before a single white space with
 what follows it, so a text without two white spaces in a row can be cut before every space and line
-break, and the ids of each piece are looked up. Other texts are encoded whole. The table of a
-worker's pieces is emptied when it holds more than ``ENTRIES``; that changes no result.
+break, and the ids of each piece are looked up. Other texts are encoded whole, and the library's
+offsets say where their sentences end. Texts are taken in groups of about ``GROUP`` characters; the table
+of a worker's pieces is emptied before it would exceed ``TABLE_BYTES``. Neither changes a result.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ import re
 
 import numpy as np
 
-ENTRIES = 1_000_000
+TABLE_BYTES = 24 << 20
+PIECE_BYTES = 190  # of a piece besides its characters and ids: text, number, table slot, arrays
+GROUP = 1 << 20
 FIRST = "\n\n"  # marks a text's first piece, which has no space before it
 OTHER_SPACE = re.compile("[^\\S \\n]|[\\u200b\\u180e]")
 SPACE = "\u0120"  # how the vocabulary writes a space
 JOINED = 1000
 SENTENCE_ENDS = (".", "!", "?")
+STOP = re.compile(r"(?<=[.!?])(?=\s|$)|(?<=.)(?=\n)", re.DOTALL)
 
 _made: dict[str, "WordEncoder"] = {}
 
@@ -46,15 +50,30 @@ class WordEncoder:
 
     def clear(self):
         self.known: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ends, self.breaks = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
+        self.held = 0
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.ends, self.breaks = np.zeros(1 << 14, bool), np.zeros(1 << 14, bool)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def whole_with_ends(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text, and after which of them a sentence or line ends."""
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        offsets = np.array(found.offsets, np.int64).reshape(-1, 2)
+        stops = np.fromiter((m.start() for m in STOP.finditer(text)), np.int64)
+        last = np.append(offsets[1:, 0] >= offsets[:-1, 1], True)[:len(offsets)]  # a character may be several tokens
+        return np.array(found.ids, np.uint32), np.flatnonzero(last & np.isin(offsets[:, 1], stops)) + 1
+
     def learn(self, pieces: set[str]) -> None:
         new = [p for p in pieces if p not in self.known]
+        size = sum(map(len, new)) * 2 + len(new) * PIECE_BYTES
+        if self.held + size > TABLE_BYTES and self.known:
+            self.clear()
+            new = list(pieces)
+            size = sum(map(len, new)) * 2 + len(new) * PIECE_BYTES
+        self.held += size
         inner = [p for p in new if p[:1] != "\n"]
         outer = [p for p in new if p[:1] == "\n"]
         # Many pieces behind a space are encoded as one text: a token that starts with a space
@@ -81,16 +100,24 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, ends) of each whole text: its ids, and the positions in them at which a sentence
-        or line ends (none where the text had to be encoded whole)."""
-        if len(self.known) > ENTRIES:
-            self.clear()
+        or line ends."""
+        found, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP:
+                found += self.encode_group(group)
+                group, size = [], 0
+        return found + self.encode_group(group)
+
+    def encode_group(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         found: list = [None] * len(texts)
         pieces, counts, cut = [], [], []
         for k, text in enumerate(texts):
             if not text:
                 found[k] = np.zeros(0, np.uint32), np.zeros(0, np.int64)
             elif not single_spaced(text):
-                found[k] = self.whole([text])[0], np.zeros(0, np.int64)
+                found[k] = self.whole_with_ends(text)
             else:
                 parts = text.replace("\n", " \n").split(" ")
                 parts[0] = FIRST + parts[0]

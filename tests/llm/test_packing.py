@@ -30,6 +30,24 @@ def test_word_table_gives_the_library_s_ids(plain):
         assert all(0 <= e <= len(ids) for e in ends)
 
 
+@pytest.mark.parametrize("text", ["One. Two! Three?\nFour. End", "One.  Two! Three?\n\nFour. End", " One.\tTwo! Three?\nFour. End "])
+def test_sentences_end_in_every_text(plain, text):
+    """After the token of each stop, whatever the white space; also after a line without one."""
+    (ids, ends), = bpe.WordEncoder(PATH).encode([text])
+    pieces = [plain.decode(ids[a:b].tolist()).strip() for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(ids)])]
+    assert [x for x in pieces if x] == ["One.", "Two!", "Three?", "Four.", "End"]
+
+
+def test_small_table_gives_the_same_ids(plain, monkeypatch):
+    monkeypatch.setattr(bpe, "TABLE_BYTES", 2000)
+    monkeypatch.setattr(bpe, "GROUP", 50)
+    encoder, rng = bpe.WordEncoder(PATH), random.Random(4)
+    texts = [" ".join(rng.choice(["one", "two.", "été", "three!"]) + str(rng.randrange(40)) for _ in range(30)) for _ in range(40)]
+    for (ids, _), text in zip(encoder.encode(texts), texts):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encoder.held < 40_000 and len(encoder.known) < 160
+
+
 @pytest.mark.parametrize("block", [1 << 18, 1500])
 def test_pieces(spark, plain, block):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(ODD)] + [(3, ODD[3], 7), (None, "no id", 7)],
