@@ -8,9 +8,10 @@ TOP_K = """
 WITH good AS (
   SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT id, v FROM good WHERE id % 100 = 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY len(v), v) = 1),
 scored AS (
   SELECT q.id AS query_id, c.id AS vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
-  FROM good q JOIN good c ON q.id % 100 = 0 AND c.id <> q.id AND len(c.v) = len(q.v)),
+  FROM asked q JOIN good c ON c.id <> q.id AND len(c.v) = len(q.v)),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """

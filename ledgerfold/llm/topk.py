@@ -78,7 +78,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
 
     Vectors that are null, hold a null or non-finite component, or have no id take no part; a
     vector only meets vectors of its own length, an empty one scores 0. Repeated rows of a query id
-    ask as one query and are not answers to it; repeated rows of another id are answers of their own.
+    ask as one query (of different vectors the shortest, then smallest) and are not answers to it; repeated rows of another id are answers of their own.
     Scores must fit in 64 bits. Other columns are not read.
     """
 
@@ -97,15 +97,16 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
 
     good = (vectors.where(F.col(id_col).isNotNull() & usable(vector_col))
             .select(F.col(id_col).cast("bigint").alias("id"), scaled(vector_col).alias("v")).withColumn("dims", F.size("v")))
-    asked = good.where(F.col("id") % every == 0)
-    sizes = good.agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()
+    asked = (good.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("dims", "v")).alias("x"))
+             .select("id", "x.v", "x.dims"))
+    sizes = good.agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).first()  # q: at least the queries
     q_blocks = max(1, -(-sizes["q"] // queries_per_block))
     c_blocks = max(1, -(-sizes["n"] // candidates_per_block))
 
     def dealt(frame, own, copies, own_name, other_name):
-        return frame.select(
-            "*", F.pmod(F.xxhash64("id", F.lit(own_name)), F.lit(own)).cast("int").alias(own_name),
-            F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other_name))
+        # by the row, not by the id, which very many rows may share
+        placed = frame.withColumn(own_name, F.pmod(F.xxhash64("id", F.monotonically_increasing_id(), F.lit(own_name)), F.lit(own)).cast("int"))
+        return placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other_name))
 
     keys = ["dims", "qb", "cb"]
     left = dealt(asked, q_blocks, c_blocks, "qb", "cb").groupBy(*keys)
