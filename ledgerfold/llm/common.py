@@ -28,3 +28,11 @@ def whole_text(col: str) -> Column:
 def text_bytes(col: str) -> Column:
     """UTF-8 bytes of the text, as Python workers take them without decoding."""
     return whole_text(col).cast("binary")
+
+
+def free_name(name: str, columns) -> str:
+    """The name, with underscores before it until no column has it (upper and lower case being one)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import whole_text
+from ledgerfold.llm.common import free_name, whole_text
 from ledgerfold.sources.scratch import written
 
 NUM, DEN = 4, 5
@@ -148,9 +148,9 @@ def marks_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.collect_list(F.struct("line", "hash")).alias("_marks"))
 
 
-def meant_lines(hash_at) -> Column:
+def meant_lines(hash_at, marks_col: str = "_marks") -> Column:
     """Of _marks the numbers of the lines that have the marked text; ascending."""
-    marks = F.coalesce("_marks", F.array().cast("array<struct<line:int,hash:bigint>>"))
+    marks = F.coalesce(marks_col, F.array().cast("array<struct<line:int,hash:bigint>>"))
     return F.sort_array(F.transform(F.filter(marks, lambda m: hash_at(m["line"]) == m["hash"]), lambda m: m["line"]))
 
 
@@ -167,12 +167,13 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` without their repeated lines, and with n_chars (if there) counted anew.
     A text that loses every line is empty; a row without removals is unchanged, null text included."""
-    lines = F.split(whole_text(text_col), "\n")
-    met = docs.join(marks_of(docs, id_col, text_col), F.col(id_col).cast("bigint").eqNullSafe(F.col("_doc")), "left").withColumn("_lines", lines)
-    met = met.withColumn("_gone", meant_lines(lambda i: F.xxhash64(F.get("_lines", i))))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    rest = F.array_join(F.transform(keep, lambda i: F.get("_lines", i)), "\n")
-    changed = F.size("_gone") > 0
+    doc, marks, lines, gone = (free_name(n, docs.columns) for n in ("_doc", "_marks", "_lines", "_gone"))
+    marked = marks_of(docs, id_col, text_col).select(F.col("_doc").alias(doc), F.col("_marks").alias(marks))
+    met = docs.join(marked, F.col(id_col).cast("bigint").eqNullSafe(F.col(doc)), "left").withColumn(lines, F.split(whole_text(text_col), "\n"))
+    met = met.withColumn(gone, meant_lines(lambda i: F.xxhash64(F.get(lines, i)), marks))
+    keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    rest = F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
+    changed = F.size(gone) > 0
     new = {text_col: F.when(changed, rest).otherwise(F.col(text_col))}
     if chars_col in docs.columns:
         new[chars_col] = F.when(changed, F.char_length(rest).cast(docs.schema[chars_col].dataType)).otherwise(F.col(chars_col))

@@ -1,15 +1,16 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-Fingerprints of 64 bits link when they differ in at most ``RADIUS`` = 2 bits. Cut in two segments,
-one of the two then differs by at most one bit, so linked fingerprints share a segment with one
-bit wiped out. Those one-wildcard segments are the index: 64 keys per different fingerprint,
-joined by equality and verified on the whole fingerprint.
-
-Equal fingerprints are one node from the start. A bucket of a key with at most ``PAIRED``
-fingerprints is compared pair by pair. A larger bucket (the copies of one much edited text) is not:
-its fingerprints are indexed once more with any two of the 64 bits wiped out. All fingerprints
-under such a key (four at most) are linked to each other, so one star per key holds every link
-without a pairwise comparison. Both ways are exact.
+Fingerprints of 64 bits link when they differ in at most ``RADIUS`` = 2 bits. Over two halves the bits
+that differ lie (0, up to 2) or (1, 1); over the two quarters of a half up to two bits leave one quarter
+with at most one. So linked fingerprints share one of 128 keys: a half whole and a quarter of the
+other half with one bit wiped out (64 keys), or the lower half with one bit wiped out and a whole quarter
+of the upper one (64 keys). Such one-wildcard variants of 47 bits are the index, joined by equality and
+verified on the whole fingerprint.
+
+Equal fingerprints are one node from the start. The fingerprints of a key, which agree in 47 bits, are
+compared pair by pair up to ``PAIRED`` of them. Of more (the copies of one much edited text), all are
+indexed once again with any two of the 64 bits wiped out: the fingerprints under such a key (four at
+most) are linked to each other, one star per key. Both ways are exact; the bound is where they cost the same.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import small_batches, text_bytes
+from ledgerfold.llm.common import free_name, small_batches, text_bytes
 from ledgerfold.llm.components import connected_components
 from ledgerfold.sources.scratch import written
 
 WORDS = 3
 SEED = 42
 RADIUS = 2
-PAIRED = 16
+PAIRED = 512
 SLICE = 1 << 16
 
 
@@ -75,18 +76,22 @@ def bits_apart(a: Column | str, b: Column | str) -> Column:
 
 
 def one_wildcard_keys() -> Column:
-    """64 keys of ``fp``: half (1 bit), wiped-out bit (5 bits), the half without that bit."""
-    return F.expr("""transform(sequence(0, 63), k ->
-        (k << 32) | ((shiftrightunsigned(fp, 32 * (k div 32)) & 4294967295L) & ~shiftleft(1L, k % 32)))""".replace(
-        "(k << 32)", "shiftleft(cast(k as bigint), 32)"))
+    """The 128 keys of ``fp``: number of the kind and the 47 bits that stay, hashed to one number."""
+    half = "(shiftrightunsigned(fp, {}) & 4294967295L)"
+    quarter = "(shiftrightunsigned(fp, {}) & 65535L)"
+    kinds = [f"transform(sequence(0, 15), b -> xxhash64({kind}, b, {half.format(32 * h)}, {quarter.format(32 * (1 - h) + 16 * q)} & ~shiftleft(1L, b)))"
+             for kind, (h, q) in enumerate([(0, 0), (0, 1), (1, 0), (1, 1)])]
+    kinds += [f"transform(sequence(0, 31), b -> xxhash64({4 + q}, b, {half.format(0)} & ~shiftleft(1L, b), {quarter.format(32 + 16 * q)}))" for q in (0, 1)]
+    return F.expr(f"concat({', '.join(kinds)})")
 
 
 def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
     """(a, b), a < b: enough links between the different fingerprints ``nodes.fp`` to connect
     exactly those that the radius connects; every row is a true link."""
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # 64 keys come from 8 bytes: spread the rows by a fixed number before they are multiplied.
-    variants = nodes.repartition(tasks, "fp").select("fp", F.explode(one_wildcard_keys()).alias("key"))
+    # 128 keys come from 8 bytes: spread the rows by a fixed number before they are multiplied; by a
+    # hash, since the planner would take out a second partitioning by the column itself.
+    variants = nodes.repartition(tasks, F.xxhash64("fp")).select("fp", F.explode(one_wildcard_keys()).alias("key"))
     buckets = written(
         variants.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"),
         "buckets")
@@ -129,6 +134,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose document is the first of its component; of repeated rows of that
     document all stay. Rows without a doc_id stay only where their component has no doc_id."""
+    gone = free_name("_gone", docs.columns)
     found = near_duplicates(docs, id_col, text_col)
-    rest = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(rest, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    rest = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(rest, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")

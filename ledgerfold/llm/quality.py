@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import small_batches, text_bytes
+from ledgerfold.llm.common import free_name, small_batches, text_bytes
 
 TRAIN_ROWS = 20_000
 BINS = 64
@@ -212,4 +212,4 @@ def keep_good(docs: DataFrame, model: Trees, text_col: str = "text") -> DataFram
             yield batch.select(range(batch.num_columns - 1)).filter(pa.array(score >= ACCEPT))
 
     small_batches(docs.sparkSession)
-    return docs.select("*", text_bytes(text_col).alias("_bytes_of_text")).mapInArrow(run, docs.schema)
+    return docs.select("*", text_bytes(text_col).alias(free_name("_bytes_of_text", docs.columns))).mapInArrow(run, docs.schema)

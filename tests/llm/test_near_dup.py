@@ -67,7 +67,27 @@ def test_empty_table(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
-@pytest.mark.parametrize("paired", [2, 16])
+def test_every_close_pair_shares_a_key(spark):
+    rng = random.Random(9)
+    base = [rng.getrandbits(64) for _ in range(2)]
+    near = [x ^ (1 << i) ^ (1 << j) for x in base for i in range(64) for j in range(i, 64)]  # i = j: the base
+    signed = sorted({p - 2**64 if p >= 2**63 else p for p in [*base, *near]})
+    frame = spark.createDataFrame([(p,) for p in signed], "fp bigint")
+    keys = {r.fp: set(r.k) for r in frame.select("fp", near_dup.one_wildcard_keys().alias("k")).collect()}
+    assert all(len(k) == 128 for k in keys.values())
+    for x in base:
+        own = keys[x - 2**64 if x >= 2**63 else x]
+        assert all(own & keys[p] for p in signed if ((p ^ x) & (2**64 - 1)).bit_count() <= 2)
+
+
+def test_rows_are_spread_before_they_are_multiplied(spark):
+    nodes = spark.range(50).selectExpr("id % 40 AS fp").groupBy("fp").count().select("fp")
+    plan = nodes.repartition(5, near_dup.F.xxhash64("fp")).select("fp", near_dup.F.explode(near_dup.one_wildcard_keys()).alias("key"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(xxhash64(" in text and "REPARTITION_BY_NUM" in text
+
+
+@pytest.mark.parametrize("paired", [2, 512])
 def test_links_connect_what_the_radius_connects(spark, paired):
     rng, prints = random.Random(3), {0, 2**64 - 1, 1 << 63}
     for _ in range(25):

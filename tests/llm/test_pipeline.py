@@ -53,6 +53,40 @@ def test_stages(spark, tmp_path):
         before = after
 
 
+CLASHING = "doc_id bigint, text string, n_chars bigint, _gone string, _lines int, _doc int, _marks string, _GONE_ int, fp string, component_id int, _bytes_of_text int, __doc int"
+
+
+def odd_documents(spark):
+    texts = [None, "", "one line of words here\nanother line of words", "one line of words here\nanother line of words", "w " * 3000, "a\nb"]
+    rows = [(i, t, len(t or ""), "g", 1, 2, "m", 3, "f", 4, 5, 6) for i, t in enumerate(texts)]
+    rows += [rows[2], (None, "text without an id\none line of words here", 9, "g", 1, 2, "m", 3, "f", 4, 5, 6), (None, None, 0, "g", 1, 2, "m", 3, "f", 4, 5, 6)]
+    return spark.createDataFrame(rows, CLASHING)
+
+
+def test_stages_keep_other_columns(spark):
+    """Columns of the user stay as they are, whatever their names; nulls, repeated rows and very long
+    texts pass every stage."""
+    docs = odd_documents(spark)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert {tuple(r) for r in out.select(*others).collect()} <= {("g", 1, 2, "m", 3, "f", 4, 5, 6)}
+    lines = corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()
+    got = sorted((r.doc_id, r.text) for r in lines if r.doc_id is not None and r.doc_id in (2, 3, 5))
+    # the row without an id comes before all others, so its line is the first
+    assert got == [(2, "another line of words"), (2, "another line of words"), (3, ""), (5, "a\nb")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [0, 2, 2, 4, 5]
+    assert corpus_pipeline.pack_sequences(spark, docs, SF).where("doc_id IS NULL").count() >= 2
+
+
+def test_stages_of_an_empty_table(spark):
+    empty = odd_documents(spark).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
