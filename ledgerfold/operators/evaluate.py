@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -200,3 +202,16 @@ def score_contract(df: DataFrame, probabilities, expected_rows: DataFrame) -> Da
         F.sum(bad.cast("int")).alias("out_of_range"),
         F.sum((F.abs(total - 1) > 1e-6).cast("int")).alias("bad_sum"),
         F.count("*").alias("n_scored")).withColumn("n_input", n_in)
+
+
+def single_row_differences(scored, df: DataFrame, id_col: str, probability: str, n: int = 5, tolerance: float = 1e-12) -> DataFrame:
+    """One row: of ``n`` entities (those of smallest hash of the id) how many were scored alone, and how
+    many then got another probability than in the batch. ``scored`` scores a frame."""
+    ids = [r[0] for r in df.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(n).collect()]
+    if not ids:
+        return df.agg(F.lit(0).cast("bigint").alias("n_single"), F.lit(0).cast("bigint").alias("single_differs"))
+    alone = [scored(df.where(F.col(id_col).eqNullSafe(F.lit(i)))).select(F.col(id_col).alias("_id"), F.col(probability).alias("_p")) for i in ids]
+    batch = scored(df).select(id_col, probability)
+    met = reduce(lambda a, b: a.unionByName(b), alone).join(batch, F.col("_id").eqNullSafe(F.col(id_col)))
+    differs = (F.abs(F.col("_p") - F.col(probability)) > tolerance) | (F.col("_p").isNull() != F.col(probability).isNull())
+    return met.agg(F.count("*").alias("n_single"), F.coalesce(F.sum(differs.cast("bigint")), F.lit(0)).alias("single_differs"))

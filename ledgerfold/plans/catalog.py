@@ -13,7 +13,7 @@ from ledgerfold.functions import scalar as X
 from ledgerfold.functions.naming import select_names
 from ledgerfold.operators import (
     arrivals as AR, attribution as AT, blocks as B, encode as EN, engineer as EG, evaluate as EV, grid as G, models as MO, ordered as O,
-    preprocess as PR, split as SP, stats as ST)
+    preprocess as PR, split as SP, stats as ST, trees as TR)
 from ledgerfold.plans import mart as M
 from ledgerfold.plans import views as V
 from ledgerfold.operators.placed import place_history, read_placed
@@ -702,10 +702,17 @@ def permutation_importance(spark, sf):
     return found.select("feature", F.signum("importance").cast("int").alias("sign"))
 
 
+def tree_attribution(spark, sf):
+    """Contributions of every entity of the validation side to a stump that decides by one feature."""
+    rows, model = _quick(spark, sf, maxIter=1, maxDepth=1)
+    return rounded(TR.tree_contributions(model, rows.where(F.col("split") == "val"), ["id"]))
+
+
 def score_contract_checks(spark, sf):
     rows, model = _quick(spark, sf)
     s = MO.score(model, rows).withColumns({"p1": F.col("probability_1"), "p0": F.get("probabilities", F.lit(0))})
-    return EV.score_contract(s, ["p0", "p1"], rows)
+    single = EV.single_row_differences(lambda part: MO.score(model, part), rows, "id", "probability_1")
+    return EV.score_contract(s, ["p0", "p1"], rows).withColumn("_single", single.select(F.struct("*")).scalar()).select("*", "_single.*").drop("_single")
 
 
 # --- metrics, errors, monitoring ---------------------------------------------------------------
@@ -868,7 +875,7 @@ QUERIES = {
     "error_frame": error_frame, "error_trends": error_trends, "residual_trends": residual_trends,
     "error_probability_histogram": error_probability_histogram, "target_rate_by_bin": target_rate_by_bin,
     "dataset_profile": dataset_profile, "feature_importance": feature_importance,
-    "permutation_importance": permutation_importance, "global_attribution": global_attribution,
+    "permutation_importance": permutation_importance, "tree_attribution": tree_attribution, "global_attribution": global_attribution,
     "local_attribution": local_attribution, "prediction_monitor": prediction_monitor,
     "streaming_monitor": streaming_monitor, "score_contract_checks": score_contract_checks,
 }

@@ -589,7 +589,12 @@ def oracle() -> dict[str, str]:
                                "'distinct_pre_disc_count', 'distinct_pre_part_count', 'last_pre_disc_idx', 'last_enc_ret_idx']) AS feature, "
                                "unnest([1e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0]) AS importance")
     o["permutation_importance"] = "SELECT unnest(['loans_total_count', 'is_zero_a_share']) AS feature, unnest([1, 0]) AS sign"
-    o["score_contract_checks"] = hist(f"SELECT {big('0')} AS out_of_range, {big('0')} AS bad_sum, count(DISTINCT id) AS n_scored, count(DISTINCT id) AS n_input FROM h")
+    o["score_contract_checks"] = hist(f"SELECT {big('0')} AS out_of_range, {big('0')} AS bad_sum, count(DISTINCT id) AS n_scored, count(DISTINCT id) AS n_input, {big('5')} AS n_single, {big('0')} AS single_differs FROM h")
+    used = ["loans_total_count", "loans_max_rn", "is_zero_a_share", "is_zero_b_share", "is_zero_c_share", "distinct_pre_disc_count",
+            "distinct_pre_part_count", "last_pre_disc_idx", "last_enc_ret_idx"]
+    # classes are balanced by weight, so the root's mean is 0 and the leaves' means are 1 and -1
+    o["tree_attribution"] = q(MODEL, "SELECT id, feature, CASE WHEN feature <> 'loans_total_count' THEN 0e0 WHEN many = 1 THEN 1e0 ELSE -1e0 END AS contribution "
+                              f"FROM md, (SELECT unnest({used!r}) AS feature) f WHERE split = 'val'")
     # metrics and errors
     o["class_weights"] = q(T, f"SELECT flag, count(*) AS n, {r('max(count(*)) OVER () / CAST(count(*) AS DOUBLE)', 'weight')} FROM t GROUP BY flag")
     o["confusion_matrix"] = q(S, "SELECT actual, predicted, count(*) AS n FROM s GROUP BY actual, predicted")
