@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from ledgerfold.llm.common import small_batches, text_bytes
 from ledgerfold.sources.scratch import written
 
-HEAD, CLASSES, CACHED = 224, 223, 1_000_000
-CONTEXT, WIDTH, NOISE = 5, 16, 40
+HEAD, CLASSES, CACHED = 192, 191, 2_000_000
+CONTEXT, WIDTH, NOISE = 4, 16, 40
 BATCH, SCORED, RATE, SEED = 1024, 128, 0.08, 7
 ROUNDS = ((0, 1), (1, 4), (4, 16))  # sixteenths of the training texts
 WORDS = 1 << 18
