@@ -3,7 +3,8 @@
 A term is a word and the one behind it (lower case); its weight is its length, at most ``HEAVIEST``,
 since long pairs are rare ones. Each of the 128 bits of the term's hash votes with the weight for or
 against the same bit of the fingerprint. Terms are exploded and added up inside the task that holds
-the text, two votes to a 64-bit sum, so they are never shuffled.
+the text, so they are never shuffled: four votes to a 64-bit sum over runs of ``RUN`` terms, which is as far as
+16 bits hold, then two to a sum over the runs of a text.
 
 ``within_radius`` finds all fingerprints near given ones: the bits are permuted into radius + 1
 tables that each begin with another block; fingerprints within the radius agree on one whole block,
@@ -22,7 +23,8 @@ from ledgerfold.sources.scratch import written
 BITS = 128
 HEAVIEST = 32
 RADIUS = 3
-LANES = 0x0000000100000001
+LANES, PAIRS = 0x0001000100010001, 0x0000FFFF0000FFFF
+RUN = 0xFFFF // HEAVIEST
 
 
 def terms(text: str) -> Column:
@@ -36,14 +38,14 @@ def terms(text: str) -> Column:
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, hi, lo): the fingerprint of each text as two longs, zero without a word. Texts under the
     same keys vote together."""
-    votes = texts.select(*keys, F.explode_outer(terms(text)).alias("t")).select(
-        *keys, F.col("t.h").alias("_h"), F.col("t.g").alias("_g"), F.col("t.w").alias("_w"))
-    sums = []
-    for half in ("_h", "_g"):
-        for k in range(32):
-            two = F.shiftrightunsigned(half, k).bitwiseAND(F.lit(LANES))
-            sums.append(F.sum(two * F.col("_w")).alias(f"{half}{k}"))
-    total = votes.groupBy(*keys).agg(F.sum("_w").alias("total"), *sums)
+    votes = texts.select(*keys, F.posexplode_outer(terms(text)).alias("_at", "t")).select(
+        *keys, F.floor(F.col("_at") / RUN).alias("_run"), F.col("t.h").alias("_h"), F.col("t.g").alias("_g"), F.col("t.w").alias("_w"))
+    four = [F.sum(F.shiftrightunsigned(half, k).bitwiseAND(F.lit(LANES)) * F.col("_w")).alias(f"{half}{k}") for half in ("_h", "_g") for k in range(16)]
+    runs = votes.groupBy(*keys, "_run").agg(F.sum("_w").alias("total"), *four)
+    # bits k and k + 32, and bits k + 16 and k + 48, of each half
+    two = [F.sum(F.shiftrightunsigned(f"{half}{k}", shift).bitwiseAND(F.lit(PAIRS))).alias(f"{half}{k + shift}")
+           for half in ("_h", "_g") for shift in (0, 16) for k in range(16)]
+    total = runs.groupBy(*keys).agg(F.sum("total").alias("total"), *two)
 
     def half_of(half):
         bits = None

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm import fingerprints as fp
 
 DOCS = [(1, "One two three four five"), (2, "one two three four six"), (5, ""), (6, None), (9, "solo"), (12, "déjà vu 日本 🙂🙂 x"),
-        (20, "w " * 20_000), (21, " \n\t"), (30, "last text of all here")]
+        (20, "w " * 20_000), (21, " \n\t"), (25, "abcdefghijklmnopqrst uvwxyzabcdefghijk " * 4000), (30, "last text of all here")]
 
 
 def plain_print(text):
