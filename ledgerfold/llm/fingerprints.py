@@ -4,7 +4,7 @@ A term is a word and the one behind it (lower case); its weight is its length, a
 since long pairs are rare ones. Each of the 128 bits of the term's hash votes with the weight for or
 against the same bit of the fingerprint. Terms are exploded and added up inside the task that holds
 the text, so they are never shuffled: four votes to a 64-bit sum over runs of ``RUN`` terms, which is as far as
-16 bits hold, then two to a sum over the runs of a text.
+15 bits hold, then two to a sum over the runs of a text.
 
 ``within_radius`` finds all fingerprints near given ones: the bits are permuted into radius + 1
 tables that each begin with another block; fingerprints within the radius agree on one whole block,
@@ -24,7 +24,7 @@ BITS = 128
 HEAVIEST = 32
 RADIUS = 3
 LANES, PAIRS = 0x0001000100010001, 0x0000FFFF0000FFFF
-RUN = 0xFFFF // HEAVIEST
+RUN = 0x7FFF // HEAVIEST
 
 
 def terms(text: str) -> Column:
