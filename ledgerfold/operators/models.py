@@ -4,8 +4,10 @@ Training is Spark's own distributed training; trees, forests, linear models and
 from __future__ import annotations
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier, OneVsRest, OneVsRestModel, RandomForestClassifier)
@@ -16,6 +18,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerfold.sources.scratch import written
+
 FEATURES = "_features"
 RAW = "_inputs"
 WEIGHT = "_weight"
@@ -238,28 +242,30 @@ def draw_params(space: dict, n: int, seed: int) -> list[dict]:
     return [{name: one(s) for name, s in space.items()} for _ in range(n)]
 
 
-def random_search(train_df: DataFrame, valid_df: DataFrame, cfg: ModelConfig, space: dict, n: int, seed: int = 42):
-    """Trains each drawn setting and measures it on validation rows. A failed trial is recorded
-    and the search goes on. Returns (best setting, table of trials). ``scale_pos_weight`` in the
-    space is the weight of class 1; other names are parameters of the family."""
+def random_search(train_df: DataFrame, valid_df: DataFrame, cfg: ModelConfig, space: dict, n: int, seed: int = 42, parallelism: int = 4):
+    """Trains each drawn setting and measures it on validation rows, ``parallelism`` trials at a time over
+    one written copy of both tables. A failed trial is recorded and the search goes on. Returns (best
+    setting, table of trials); of equal metrics the earlier trial is best. ``scale_pos_weight`` in the space is the
+    weight of class 1; other names are parameters of the family."""
     spark = train_df.sparkSession
     measure = evaluator(cfg)
-    trials = []
-    for i, drawn in enumerate(draw_params(space, n, seed)):
-        own = dict(drawn)
-        weighting = own.pop("scale_pos_weight", cfg.weighting)
+    train_rows, valid_rows = written(train_df, "search-train"), written(valid_df, "search-valid")
+
+    def tried(drawn: dict):
         try:
-            tried = ModelConfig(**{**cfg.__dict__, "params": {**cfg.params, **own}, "weighting": weighting})
-            value, error = float(measure.evaluate(train(train_df, tried).transform(valid_df))), None
+            return float(measure.evaluate(refit(train_rows, cfg, drawn).transform(valid_rows))), None
         except Exception as e:  # noqa: BLE001 - one bad setting must not end the search
-            value, error = None, type(e).__name__
-        trials.append((i, drawn, value, error))
-    done = [t for t in trials if t[2] is not None]
+            return None, type(e).__name__
+
+    settings = draw_params(space, n, seed)
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(tried), settings))
+    done = [(value, drawn) for (value, _), drawn in zip(found, settings) if value is not None]
     if not done:
         raise RuntimeError("every trial failed")
     pick = max if measure.isLargerBetter() else min
-    best = pick(done, key=lambda t: t[2])[1]
-    rows = [(i, {k: float(v) for k, v in d.items()}, v, e) for i, d, v, e in trials]
+    best = pick(done, key=lambda t: t[0])[1]
+    rows = [(i, {k: float(v) for k, v in d.items()}, value, error) for i, (d, (value, error)) in enumerate(zip(settings, found))]
     return best, spark.createDataFrame(rows, "trial int, params map<string,double>, metric double, error string")
 
 

@@ -584,7 +584,7 @@ def oracle() -> dict[str, str]:
     o["save_load_model"] = q(MODEL, "SELECT id, many AS loaded, true AS same FROM md")
     o["batch_score"] = q(MODEL, "SELECT id, many AS predicted, true AS consistent FROM md")
     o["incremental_score"] = q(MODEL, f"SELECT id, {big('1')} AS times, many AS predicted FROM md")
-    o["random_search"] = "SELECT CAST(unnest([-1, 0, 1, 2]) AS INTEGER) AS trial, 1e0 AS metric, CAST(NULL AS VARCHAR) AS error"
+    o["random_search"] = "SELECT CAST(unnest([-1, 0, 1, 2]) AS INTEGER) AS trial, unnest([1e0, 5e-1, 1e0, 5e-1]) AS metric, CAST(NULL AS VARCHAR) AS error"
     o["feature_importance"] = ("SELECT unnest(['loans_total_count', 'loans_max_rn', 'is_zero_a_share', 'is_zero_b_share', 'is_zero_c_share', "
                                "'distinct_pre_disc_count', 'distinct_pre_part_count', 'last_pre_disc_idx', 'last_enc_ret_idx']) AS feature, "
                                "unnest([1e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0, 0e0]) AS importance")
