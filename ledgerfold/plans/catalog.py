@@ -271,7 +271,7 @@ def share_rare_bins(spark, sf):
 
 
 def _with_prev(spark, sf, cols):
-    return O.with_previous(V.history(spark, sf), "id", "seq", cols)
+    return O.with_previous(V.history(spark, sf).select(*ROW, *cols), "id", "seq", cols)
 
 
 def change_count(spark, sf):
