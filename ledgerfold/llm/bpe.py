@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-TABLE_BYTES = 80 << 20
+TABLE_BYTES = 200 << 20
 PIECE_BYTES = 190  # of a piece besides its characters and ids: text, number, table slot, arrays
 GROUP = 1 << 20
 FIRST = "\n\n"  # marks a text's first piece, which has no space before it
