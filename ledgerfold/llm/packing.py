@@ -56,28 +56,24 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE
 
 def best_cuts(at: list[int], penalty: list[int], size: int = SIZE) -> list[int]:
     """The cheapest cuts, as positions, the last at ``at[-1]``."""
-    places_of = np.array(at, np.int64)
-    partners: dict[int, list[int]] = {}  # of a cut those that lie a power of two before it
-    for k in range(min(LEAST_POWER, size.bit_length() - 1), size.bit_length()):
-        if 1 << k <= size:
-            found = np.searchsorted(places_of, places_of - (1 << k))
-            good = np.flatnonzero(places_of[found] == places_of - (1 << k))
-            for j, i in zip(good.tolist(), found[good].tolist()):
-                partners.setdefault(j, []).append(i)
+    powers = [1 << k for k in range(min(LEAST_POWER, size.bit_length() - 1), size.bit_length()) if 1 << k <= size]
     cost, back = [0], [0]
+    known = {0: 0}  # position: index
+    find = known.get
     keys, places, sources, head = [0], [0], [0], 0  # the monotone queue: cost + position ascending
     for j in range(1, len(at)):
         here = at[j]
         while here - places[head] > size:
             head += 1
         low, source = keys[head] + size - here, sources[head]
-        if j in partners:
-            for i in partners[j]:
-                if cost[i] < low:
-                    low, source = cost[i], i
+        for p in powers:
+            i = find(here - p)
+            if i is not None and cost[i] < low:
+                low, source = cost[i], i
         low += SEQUENCE_COST + penalty[j]
         cost.append(low)
         back.append(source)
+        known[here] = j
         key = low + here
         while len(keys) > head and keys[-1] >= key:
             keys.pop()
