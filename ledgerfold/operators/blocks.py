@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.scalar import (
@@ -44,6 +44,17 @@ def snapshots(cols, order: str, which: str) -> list[Column]:
     return [pick(c, order).alias(f"{which}_{c}") for c in cols]
 
 
+def edge_values(last, first, equal, order: str) -> list[Column]:
+    """``snapshots`` of both ends and ``first_eq_last``, from one first and one last row per entity, each
+    kept as a struct: two aggregates, however many columns."""
+    ends = {}
+    for which, pick, cols in (("last", F.max_by, last), ("first", F.min_by, first)):
+        if row := list(dict.fromkeys([*cols, *equal])):
+            ends[which] = pick(F.struct(*row), order)
+    return [*[ends["last"][c].alias(f"last_{c}") for c in last], *[ends["first"][c].alias(f"first_{c}") for c in first],
+            *[(ends["first"][c] == ends["last"][c]).alias(f"{c}_first_eq_last") for c in equal]]
+
+
 def flag_shares(shares, ever=None) -> list[Column]:
     """Mean of each flag; for ``ever`` (name -> flag) whether the flag was ever off."""
     out = [F.avg(flag_int(f)).alias(f"{f}_share") for f in shares]
@@ -102,17 +113,30 @@ def listed_text(values: str) -> Column:
 
 
 def listed_distinct(values: str) -> Column:
-    return F.size(F.array_distinct(F.array_compact(F.col(values)))).cast("bigint")
+    return F.expr(f"cast(size(array_except({values}, array(null))) as bigint)")
+
+
+def with_runs(df: DataFrame, lists: dict[str, str]) -> DataFrame:
+    """Adds for each list (name -> expression) ``_sorted_<name>``, its values without nulls in order,
+    ``_ends_<name>``, where the stretches of equal values end, and ``_runs_<name>``, how long they are.
+    Columns of their own, one after another, since a lambda would make its lists anew for every element."""
+    out = df.withColumns({f"_sorted_{n}": F.expr(f"sort_array(array_compact({e}))") for n, e in lists.items()})
+    out = out.withColumns({f"_ends_{n}": F.expr(
+        f"""IF(size(`_sorted_{n}`) = 0, cast(array() AS array<int>), filter(sequence(1, size(`_sorted_{n}`)),
+            i -> NOT get(`_sorted_{n}`, i) <=> get(`_sorted_{n}`, i - 1)))""") for n in lists})
+    return out.withColumns({f"_runs_{n}": F.expr(f"transform(`_ends_{n}`, (e, j) -> e - coalesce(get(`_ends_{n}`, j - 1), 0))") for n in lists})
+
+
+def listed_mode(name: str) -> Column:
+    """Most frequent value of a list of ``with_runs``, among equals the smallest; null if it has none."""
+    return F.expr(f"get(`_sorted_{name}`, get(`_ends_{name}`, int(array_position(`_runs_{name}`, array_max(`_runs_{name}`))) - 1) - 1)")
 
 
-def listed_non_dominant(c: str, values: str, kind: str) -> list[Column]:
-    """``local_non_dominant`` from the list of an entity's values, of any codes: sorted, so that
-    equal values stand together, and folded to the longest stretch."""
-    run = "IF(a.v <=> x, a.run + 1L, 1L)"
-    top = F.expr(f"""aggregate(array_sort(array_compact({values})), named_struct('v', CAST(NULL AS {kind}), 'run', 0L, 'top', 0L),
-        (a, x) -> named_struct('v', x, 'run', {run}, 'top', greatest(a.top, {run})), a -> a.top)""")
-    n = F.size(F.array_compact(F.col(values))).cast("bigint")
-    return [F.when(n > 0, n - top).alias(f"{c}_lnd_count"), safe_ratio(n - top, n).alias(f"{c}_lnd_share")]
+def listed_non_dominant(name: str, c: str) -> list[Column]:
+    """``local_non_dominant`` of column ``c`` from a list of ``with_runs``, of any codes."""
+    n = F.size(f"_sorted_{name}").cast("bigint")
+    off = n - F.array_max(f"_runs_{name}")
+    return [F.when(n > 0, off).alias(f"{c}_lnd_count"), safe_ratio(off, n).alias(f"{c}_lnd_share")]
 
 
 def distinct_counts(cols, n_bins: int | None = None) -> list[Column]:

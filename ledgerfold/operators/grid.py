@@ -105,16 +105,12 @@ def grid_entropy(df: DataFrame, id_col: str, pattern: str, special=()) -> DataFr
     return counts.groupBy(id_col).agg(weighted.alias("grid_entropy"), shannon.alias("grid_shannon"))
 
 
-def listed_entropy(cells: str, kind: str) -> Column:
-    """``grid_entropy`` from the list of an entity's cells (an expression), of any codes: sorted, and
-    each step from k to k+1 equal cells adds what it adds to the sums of n^2 and n^2 ln n."""
-    k = "IF(a.v <=> x, a.k + 1D, 1D)"
-    folded = F.expr(f"""aggregate(array_sort(array_compact({cells})),
-        named_struct('v', CAST(NULL AS {kind}), 'k', 0D, 'n', 0D, 'squares', 0D, 'logs', 0D),
-        (a, x) -> named_struct('v', x, 'k', {k}, 'n', a.n + 1D, 'squares', a.squares + 2 * {k} - 1,
-            'logs', a.logs + {k} * {k} * ln({k}) - IF({k} > 1, ({k} - 1) * ({k} - 1) * ln(greatest({k} - 1, 1D)), 0D)),
-        a -> (a.logs - ln(a.n) * a.squares) / a.n)""")
-    return folded
+def listed_entropy(name: str) -> Column:
+    """``grid_entropy`` from the list ``name`` of an entity's cells (``blocks.with_runs``), of any codes."""
+    runs, n = f"`_runs_{name}`", f"double(size(`_sorted_{name}`))"
+    squares = f"aggregate({runs}, 0D, (a, k) -> a + double(k) * k)"
+    logs = f"aggregate({runs}, 0D, (a, k) -> a + double(k) * k * ln(k))"
+    return F.expr(f"IF({n} > 0, ({logs} - ln({n}) * {squares}) / {n}, NULL)")
 
 
 def grid_names(df: DataFrame, pattern: str) -> list[str]:

@@ -68,7 +68,7 @@ def ordered_text(df: DataFrame, id_col: str, order_col: str, cols, hot: list | N
 
 def joined_text(df: DataFrame, keys, order_col: str, cols, suffix: str) -> DataFrame:
     """All columns share one sorted list per group."""
-    rows = F.array_sort(F.collect_list(F.struct(order_col, *[F.col(c).cast("string").alias(c) for c in cols])))
+    rows = F.sort_array(F.collect_list(F.struct(order_col, *[F.col(c).cast("string").alias(c) for c in cols])))
     return df.groupBy(*keys).agg(rows.alias("_rows")).select(
         *keys, *[F.nullif(F.array_join(F.col(f"_rows.{c}"), ""), F.lit("")).alias(c + suffix) for c in cols])
 

@@ -14,9 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgerfold.operators.ranged import read_buckets, write_buckets
-from ledgerfold.operators.skew import ALL, hot_keys, split_hot
-
-BUCKET_ROWS = 2_000_000
+from ledgerfold.operators.skew import ALL, dealt, hot_keys, parts_of, split_hot
 
 
 @dataclass(frozen=True)
@@ -43,11 +41,14 @@ def place_history(df: DataFrame, path: str, id_col: str, order_col: str | None =
                   hot: list | None = None) -> str:
     """Writes ``df`` for ``read_placed`` and returns the path. One shuffle by id deals the rows to
     their buckets, so a bucket is one file, sorted by id and order. The number of buckets follows
-    from the rows, ``BUCKET_ROWS`` each. The files need no catalog: what was written is described in
+    from the rows, ``PART_ROWS`` each, since one task reads a bucket and sorts its wide rows. The files need no catalog: what was written is described in
     a small table beside them."""
     spark = df.sparkSession
     hot = hot_keys(df, id_col) if hot is None else hot
-    n = buckets or max(1, -(-df.count() // BUCKET_ROWS))
+    if buckets is None:
+        rows = getattr(hot, "rows", None)  # counted with the hot ids
+        buckets = parts_of(df, df.count() if rows is None else rows)
+    n = buckets
     cold, hot_rows = (df.limit(0), df) if hot is ALL else split_hot(df, id_col, hot)
     kind = df.schema[id_col].dataType.simpleString()
     write_buckets(cold.repartition(n, id_col), f"{path}/cold", id_col, n, [id_col, *([order_col] if order_col else [])])
@@ -78,10 +79,11 @@ def parted(df: DataFrame | PlacedHistory, id_col: str, hot: list) -> tuple[DataF
         return df.cold, df.hot_rows if df.hot else None
     if hot is ALL:
         return df.limit(0), df
+    rows = getattr(hot, "rows", None)
     if not hot:
-        return df.repartition(id_col), None
+        return dealt(df, rows, id_col), None
     cold, hot_rows = split_hot(df, id_col, hot)
-    return cold.repartition(id_col), hot_rows
+    return dealt(cold, rows, id_col), hot_rows
 
 
 def hot_of(df: DataFrame | PlacedHistory, id_col: str, hot: list | None = None) -> list:

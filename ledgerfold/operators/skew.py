@@ -28,6 +28,16 @@ class _All(list):
 
 
 ALL = _All()
+
+
+class Hot(list):
+    """Hot keys; ``rows`` is the number of rows they were sought in."""
+
+    rows: int | None = None
+
+
+# Rows that one task holds at once where a table is dealt out by a key that is nearly as long as itself.
+PART_ROWS = 1_000_000
 # Ordered work is cut into parts of about SEGMENT_ROWS rows, LEAST_SEGMENTS to SEGMENTS of them.
 SEGMENT_ROWS = 1_000_000
 LEAST_SEGMENTS = 16
@@ -44,11 +54,26 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
     the table, about one ordinary task.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    row = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT + 1}, {TRACKED})").alias("top"), F.count_if(F.col(key).isNull()).alias("nulls")).first()
+    row = df.agg(F.expr(f"approx_top_k(`{key}`, {MAX_HOT + 1}, {TRACKED})").alias("top"), F.count_if(F.col(key).isNull()).alias("nulls"), F.count("*").alias("rows")).first()
     found = [r["item"] for r in row["top"] or [] if r["item"] is not None and r["count"] >= limit]
     if len(found) > MAX_HOT:
         return ALL
-    return [*found, None] if row["nulls"] >= limit else found
+    hot = Hot([*found, None] if row["nulls"] >= limit else found)
+    hot.rows = row["rows"]
+    return hot
+
+
+def dealt(df: DataFrame, rows: int | None, *keys: str) -> DataFrame:
+    """Rows dealt out by the keys, about ``PART_ROWS`` to a task: with a number of its own the exchange
+    is not coalesced by bytes, of which narrow rows have few on the wire and many in a hash table or a
+    sort. Where nobody counted the rows, the session's settings hold."""
+    if rows is None:
+        return df.repartition(*keys)
+    return df.repartition(parts_of(df, rows), *keys)
+
+
+def parts_of(df: DataFrame, rows: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
 
 
 def grid_of_quantiles(column: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.scalar import MISSING_CODE
+from ledgerfold.operators.blocks import listed_mode, listed_non_dominant, with_runs
 from ledgerfold.operators.placed import parted
 from ledgerfold.operators.skew import hot_keys
 
@@ -58,23 +59,24 @@ def _modes_row(df: DataFrame, cols, kind: str) -> DataFrame:
     return best.agg(*[F.max(F.when(F.col("feature") == c, F.col("mode_value"))).alias("m_" + c) for c in cols])
 
 
-def counts_by_entity(df: DataFrame, id_col: str, cols, fold, keep_null: bool = False, hot: list | None = None) -> DataFrame:
-    """``fold`` of the value counts per entity. Ordinary entities' narrow rows are dealt out by id
-    once, and that serves every grouping that begins with the id; hot entities' counts are combined
-    map-side first."""
-    slim = df.select(id_col, *cols)
+def folded_by_entity(df: DataFrame, id_col: str, cols, listed, fold, hot: list | None = None) -> DataFrame:
+    """``listed(c)`` of ordinary entities' lists of values (``with_runs``): their narrow rows are dealt out
+    by id once, and no table of (id, column, value) is held. ``fold`` of the value counts of hot
+    entities, which are combined map-side first."""
+    slim = df.select(id_col, *[F.col(c).cast("int").alias(c) for c in cols])
     hot = hot_keys(slim, id_col) if hot is None else hot
-
-    def counted(rows):
-        return fold(value_counts(rows, cols, keys=[id_col], keep_null=keep_null))
-
     cold_rows, hot_rows = parted(slim, id_col, hot)
-    return counted(cold_rows) if hot_rows is None else counted(cold_rows).unionByName(counted(hot_rows))
+    lists = cold_rows.groupBy(id_col).agg(*[F.collect_list(c).alias(f"_list_{c}") for c in cols])
+    out = with_runs(lists, {c: f"`_list_{c}`" for c in cols}).select(id_col, *[e for c in cols for e in listed(c)])
+    if hot_rows is None:
+        return out
+    return out.unionByName(fold(value_counts(hot_rows, cols, keys=[id_col], keep_null=True)))
 
 
 def local_modes(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:
-    """``lm_<c>`` per entity, from value counts; null where an entity has no value."""
-    return counts_by_entity(df, id_col, cols, lambda counts: _modes_of_entities(counts, id_col, cols), True, hot)
+    """``lm_<c>`` per entity; null where an entity has no value."""
+    return folded_by_entity(df, id_col, cols, lambda c: [listed_mode(c).alias("lm_" + c)],
+                            lambda counts: _modes_of_entities(counts, id_col, cols), hot)
 
 
 def _modes_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
@@ -86,9 +88,10 @@ def _modes_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:
 
 
 def local_non_dominant_counts(df: DataFrame, id_col: str, cols, hot: list | None = None) -> DataFrame:
-    """Like the block of the same name, for codes of unknown range: from value counts per entity. An
-    entity whose codes are all null has nulls."""
-    return counts_by_entity(df, id_col, cols, lambda counts: off_of_entities(counts, id_col, cols), True, hot)
+    """Like the block of the same name, for codes of unknown range. An entity whose codes are all
+    null has nulls."""
+    return folded_by_entity(df, id_col, cols, lambda c: listed_non_dominant(c, c),
+                            lambda counts: off_of_entities(counts, id_col, cols), hot)
 
 
 def off_of_entities(counts: DataFrame, id_col: str, cols) -> DataFrame:

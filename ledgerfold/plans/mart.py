@@ -101,13 +101,11 @@ def snapshot_columns(columns, keys: HistorySpec, spec: SnapshotMart, distinct: b
     g = spec.grid
     return [
         *B.history_counts(keys.rn),
-        *B.snapshots(spec.last, keys.order, "last"),
-        *B.snapshots(spec.first, keys.order, "first"),
+        *B.edge_values(spec.last, spec.first, spec.first_eq_last, keys.order),
         *B.flag_shares(spec.shares, spec.ever_off),
         *B.global_non_dominant(mode_columns(spec.coded)),
         *(B.local_non_dominant(spec.local, spec.local_bins) if spec.local_bins else ()),
         *([*B.distinct_counts(spec.distinct, keys.n_bins), *B.ever_changed(spec.sequences, keys.n_bins)] if distinct else ()),
-        *B.first_eq_last(spec.first_eq_last, keys.order),
         *G.grid_regular(columns, g.pattern, g.special, g.normal, g.ever, g.n_codes),
         *G.grid_special(columns, g.pattern, g.special, g.special_normal, g.worst),
     ]
@@ -120,18 +118,17 @@ def folded_snapshots(rows: DataFrame, keys: HistorySpec, spec: SnapshotMart) ->
     cells = [F.array(*regular).alias("_cells")] if g.n_codes is None and regular else []
     wide = rows.groupBy(keys.id).agg(
         *snapshot_columns(rows.columns, keys, spec, bool(keys.n_bins)),
-        F.array_sort(F.collect_list(F.struct(F.col(keys.order).alias("_order"), *listed, *cells))).alias("_rows"))
+        F.sort_array(F.collect_list(F.struct(F.col(keys.order).alias("_order"), *listed, *cells))).alias("_rows"))
     made = [B.listed_text(f"_rows.{c}").alias(f"{c}_bin_sequence") for c in spec.sequences]
     if not keys.n_bins:
         made += [B.listed_distinct(f"_rows.{c}").alias(f"distinct_{c}_count") for c in spec.distinct]
         made += [(B.listed_distinct(f"_rows.{c}") > 1).alias(f"{c}_ever_changed") for c in spec.sequences]
-    if spec.local and not spec.local_bins:
-        for c in spec.local:
-            made += B.listed_non_dominant(c, f"_rows.{c}", rows.schema[c].dataType.simpleString())
+    runs = {} if spec.local_bins else {f"own_{c}": f"_rows.`{c}`" for c in spec.local}
+    made += [e for c in spec.local if not spec.local_bins for e in B.listed_non_dominant(f"own_{c}", c)]
     if g.n_codes is None:
-        entropy = G.listed_entropy("flatten(_rows._cells)", rows.schema[regular[0]].dataType.simpleString()) if cells else F.lit(None).cast("double")
-        made.append(entropy.alias("paym_regular_entropy"))
-    return wide.select(*[c for c in wide.columns if c != "_rows"], *made)
+        runs |= {"cells": "flatten(_rows._cells)"} if cells else {}
+        made.append((G.listed_entropy("cells") if cells else F.lit(None).cast("double")).alias("paym_regular_entropy"))
+    return (B.with_runs(wide, runs) if runs else wide).select(*[c for c in wide.columns if c != "_rows"], *made)
 
 
 def hot_snapshots(rows: DataFrame, population: DataFrame, keys: HistorySpec, spec: SnapshotMart) -> DataFrame:
