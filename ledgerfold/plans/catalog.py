@@ -291,7 +291,7 @@ def mart_v2(spark, sf):
 
 def placed(spark, sf):
     """The history written by entity and read again."""
-    return read_placed(spark, place_history(V.history(spark, sf), new_path(spark, "placed"), "id", "seq", buckets=8))
+    return read_placed(spark, place_history(V.history(spark, sf), new_path(spark, "placed"), "id", "seq"))
 
 
 def mart_v1_placed(spark, sf):
