@@ -7,8 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.ordered import exact_quantiles, with_running_sums
+from ledgerfold.operators.ordered import aggregate_entities, exact_quantiles, with_running_sums
+from ledgerfold.operators.placed import parted
+from ledgerfold.operators.skew import ALL, dealt, hot_keys
 from ledgerfold.operators.stats import collapse_rare, top_values, value_counts, melt
+from ledgerfold.sources.scratch import written
 
 # Label of collapsed categories, confidence buckets of the monitor.
 OTHER_CATEGORY = "... OTHER ..."
@@ -165,13 +168,22 @@ def target_rate_by_bin(df: DataFrame, feature: str, target: str) -> DataFrame:
 
 def dataset_profile(df: DataFrame, id_col: str, rn: str, label: str, cols) -> DataFrame:
     """(metric, value): rows, ids, duplicate rows, missing percent and distinct values per column,
-    class share, mean over ids of the mean position, largest label count per id."""
-    per_id = df.groupBy(id_col).agg(F.avg(rn).alias("mean_rn"), F.min(label).alias("lo"), F.max(label).alias("hi"))
+    class share, mean over ids of the mean position, largest label count per id.
+
+    Rows are dealt out by id, ``PART_ROWS`` to a task, and that serves the ids and the duplicate rows
+    of ordinary ids; those of hot ids are dealt out by all columns."""
+    df = written(df, "profile")  # read by five jobs
+    hot = hot_keys(df, id_col)
+    per_id = aggregate_entities(df, id_col, [F.avg(rn).alias("mean_rn"), F.min(label).alias("lo"), F.max(label).alias("hi")], hot)
     ids = per_id.agg(F.count("*").alias("ids"), F.avg("mean_rn").alias("mean_of_mean_rn"),
                      F.sum((F.col("lo") != F.col("hi")).cast("int")).alias("ids_with_two_labels"))
     rows = df.agg(F.count("*").alias("rows"), F.avg(F.col(label).cast("double")).alias("label_share"),
                   *[(F.avg(F.col(c).isNull().cast("int")) * 100).alias(f"missing_pct_{c}") for c in cols])
-    unique = df.groupBy(*df.columns).agg(F.count("*").alias("k")).agg(F.sum(F.col("k") - 1).alias("duplicate_rows"))
+    cold_rows, hot_rows = parted(df, id_col, hot)
+    equal = cold_rows.groupBy(*df.columns).agg(F.count("*").alias("k"))
+    if hot_rows is not None:
+        equal = equal.unionByName(dealt(hot_rows, df.count() if hot is ALL else hot.rows, *df.columns).groupBy(*df.columns).agg(F.count("*").alias("k")))
+    unique = equal.agg(F.sum(F.col("k") - 1).alias("duplicate_rows"))
     distinct = value_counts(df, cols, kind="string").groupBy("feature").agg(F.count("*").cast("double").alias("value"))
     parts = [_as_metrics(x) for x in (ids, rows, unique)]
     named = distinct.select(F.concat(F.lit("distinct_"), "feature").alias("metric"), "value")
