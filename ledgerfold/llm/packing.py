@@ -54,26 +54,37 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE
     return at.tolist(), penalty.tolist()
 
 
+def power_partners(at: list[int], powers: list[int]) -> tuple[list[int], list[int]]:
+    """The indices of the positions a power of two before each position, position by position, and
+    how many of them there are up to and with each."""
+    places = np.array(at)
+    index = np.full(places[-1] + 1, -1, np.int32)
+    index[places] = np.arange(len(places), dtype=np.int32)
+    before = places[:, None] - np.array(powers)
+    found = np.where(before >= 0, index[np.maximum(before, 0)], -1)
+    met = found >= 0
+    return found[met].tolist(), np.cumsum(met.sum(1)).tolist()
+
+
 def best_cuts(at: list[int], penalty: list[int], size: int = SIZE) -> list[int]:
     """The cheapest cuts, as positions, the last at ``at[-1]``."""
     powers = [1 << k for k in range(min(LEAST_POWER, size.bit_length() - 1), size.bit_length()) if 1 << k <= size]
+    partners, until = power_partners(at, powers)
     cost, back = [0], [0]
-    known = {0: 0}  # position: index
-    find = known.get
+    done = 0
     keys, places, sources, head = [0], [0], [0], 0  # the monotone queue: cost + position ascending
     for j in range(1, len(at)):
         here = at[j]
         while here - places[head] > size:
             head += 1
         low, source = keys[head] + size - here, sources[head]
-        for p in powers:
-            i = find(here - p)
-            if i is not None and cost[i] < low:
+        for i in partners[done:until[j]]:
+            if cost[i] < low:
                 low, source = cost[i], i
+        done = until[j]
         low += SEQUENCE_COST + penalty[j]
         cost.append(low)
         back.append(source)
-        known[here] = j
         key = low + here
         while len(keys) > head and keys[-1] >= key:
             keys.pop()

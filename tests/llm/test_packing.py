@@ -110,3 +110,24 @@ def test_closing_cuts():
         assert sum(parts) == n
         cost = sum(map(packing.padding, parts)) + (len(parts) - 1) * (packing.INSIDE_PENALTY + packing.SEQUENCE_COST)
         assert cost <= packing.padding(n)
+
+
+def test_each_different_piece_is_looked_up_once(plain):
+    class Counting(dict):
+        looked_up = 0
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    encoder, text = bpe.WordEncoder(PATH), "one two. three\n" * 500 + "end"
+    want = plain.encode(text, add_special_tokens=False).ids
+    assert encoder.encode([text])[0][0].tolist() == want
+    encoder.known = Counting(encoder.known)
+    assert encoder.encode([text])[0][0].tolist() == want
+    assert encoder.known.looked_up < 10
+
+
+def test_partners_a_power_before():
+    partners, until = packing.power_partners([0, 64, 70, 128, 134], [64, 128])
+    assert [partners[a:b] for a, b in zip([0, *until], until)] == [[], [0], [], [1, 0], [2]]
