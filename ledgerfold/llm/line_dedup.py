@@ -7,8 +7,8 @@ the order of doc_id and line number, has a set of Jaccard similarity ``NUM``/``D
    size in the plan: the rarity of a word is the level of its bucket. Any fixed order of words gives the same
    result; a good one makes the prefixes below rare.
 2. Lines are coded once, words ordered from rare to frequent, and written: the key of the set, its
-   size, a parity signature (64 bits; two sets differ in at least as many words as signatures in
-   bits) and its prefix, the rarest size - ceil(0.8 size) + 1 words. Similar sets share a word of
+   size, a parity signature (64 bits, 128 of long sets; two sets differ in at least as many words as signatures in
+   bits) and its prefix, 32 bits of each of the rarest size - ceil(0.8 size) + 1 words. Similar sets share a word of
    their prefixes.
 3. Equal sets are one row, placed at their first line.
 4. Leaders: every set meets the first set that shares one of its two rarest words. Copies of one
@@ -28,53 +28,72 @@ from ledgerfold.sources.scratch import written
 NUM, DEN = 4, 5
 BUCKETS = 1 << 18
 LEADERS = 2
+LONG = 64  # words of a set that 64 bits do not tell from others
 PLAN_TEXT, PLAN_TEXT_DEFAULT = "spark.sql.maxPlanStringLength", "2147483632b"
 
 
+def split_words(line: Column) -> Column:
+    """Lower-cased words between white space (that of the pattern ``\\s``), empty ones among them. Splitting at single
+    spaces takes half the time of splitting at a pattern, so other white space is made a space where there is any."""
+    spaced = F.when(line.rlike(r"[\t\n\x0B\f\r]"), F.regexp_replace(line, r"\s", " ")).otherwise(line)
+    return F.split(F.lower(spaced), " ")
+
+
 def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"\s+"), "")
+    return F.array_remove(split_words(line), "")
 
 
 def rarity_levels(texts: DataFrame) -> Column:
-    """Constant array: for each hash bucket the level (4 log2 of the count) of its words, in the
-    eight highest bits of a long. The counts are over all texts; what the driver passes on is one
-    number per bucket."""
+    """Constant array: for each hash bucket the level (4 log2 of the count) of its words. The counts are over all
+    texts; what the driver passes on is one byte per bucket."""
     spark = texts.sparkSession
-    words = texts.select(F.explode(F.split(F.lower("_text"), r"\s+")).alias("w"))
+    words = texts.select(F.explode(split_words(F.replace(F.col("_text"), F.lit("\n"), F.lit(" ")))).alias("w")).where("w != ''")
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("id")).agg(F.count("*").alias("n"))
     level = F.coalesce(F.least(F.floor(4 * F.log2("n")), F.lit(127)), F.lit(0)).alias("level")
     row = (spark.range(BUCKETS).join(counts, "id", "left").select("id", level)
            .agg(F.array_sort(F.collect_list(F.struct("id", "level"))).alias("s"))
-           .select(F.array_join(F.transform("s", lambda s: F.shiftleft(s["level"].cast("bigint"), 56).cast("string")), ",")).first())
+           .select(F.array_join(F.transform("s", lambda s: s["level"].cast("string")), ",")).first())
     if spark.conf.get(PLAN_TEXT) == PLAN_TEXT_DEFAULT:
         spark.conf.set(PLAN_TEXT, "100000")  # the array is not for printing with every plan
-    return F.split(F.lit(row[0]), ",").cast("array<bigint>")
+    return F.split(F.lit(row[0]), ",").cast("array<tinyint>")
 
 
 def coded_lines(texts: DataFrame) -> DataFrame:
-    """(doc, line, hash, k1, k2, n, sig, prefix) of every line that has a word; texts: (doc, _text)."""
+    """(doc, line, hash, k1, k2, n, sig, high, prefix) of every line that has a word; texts: (doc, _text)."""
     levels = rarity_levels(texts)
 
     def code(h):
-        return F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 8))
+        level = F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     lines = texts.select("doc", F.posexplode(F.split("_text", "\n")).alias("line", "_line")).where(F.col("_line").rlike(r"\S"))
-    sets = lines.select("doc", "line", F.xxhash64("_line").alias("hash"), F.sort_array(F.transform(
-        F.array_distinct(F.transform(words_of(F.col("_line")), lambda w: F.xxhash64(w))), code)).alias("codes"))
+    # The higher-order functions are innermost: what stands inside one is interpreted too.
+    codes = F.transform(F.transform(split_words(F.col("_line")), lambda w: F.xxhash64(w)), code)
+    sets = lines.select("doc", "line", F.xxhash64("_line").alias("hash"), F.array_remove(
+        F.sort_array(F.array_distinct(codes)), code(F.xxhash64(F.lit("")))).alias("codes"))
     n = F.size("codes")
-    parity = F.aggregate("codes", F.lit(0).cast("bigint"), lambda s, c: s.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), c.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def parity(bit):
+        return F.aggregate("codes", F.lit(0).cast("bigint"), lambda s, c: s.bitwiseXOR(
+            F.call_function("shiftleft", bit(c), c.bitwiseAND(F.lit(63)).cast("int"))))
+
+    rarest = F.slice("codes", F.lit(1), n - F.expr(f"cast((size(codes) * {NUM} + {DEN - 1}) div {DEN} as int)") + 1)
     return sets.select(
-        "doc", "line", "hash", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), "codes").alias("k2"), n.alias("n"), parity.alias("sig"),
-        F.slice("codes", F.lit(1), n - F.expr(f"cast((size(codes) * {NUM} + {DEN - 1}) div {DEN} as int)") + 1).alias("prefix"))
+        "doc", "line", "hash", F.xxhash64("codes").alias("k1"), F.xxhash64(F.lit(1), "codes").alias("k2"), n.alias("n"),
+        parity(lambda c: F.lit(1).cast("bigint")).alias("sig"),
+        F.when(n > LONG, parity(lambda c: F.shiftrightunsigned(c, 6).bitwiseAND(F.lit(1)))).alias("high"),
+        F.transform(rarest, lambda c: F.shiftright(F.shiftleft(c, 32), 32).cast("int")).alias("prefix"))
 
 
 def could_match(a: str, b: str) -> Column:
     """Length and signature filters on two sets."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig")))
-    # Jaccard t needs an overlap of t / (1 + t) of both sizes together.
-    return (n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (apart * (NUM + DEN) <= (n + m) * (DEN - NUM))
+    both, high = (F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")) for c in ("sig", "high"))
+    # Jaccard t needs an overlap of t / (1 + t) of both sizes together. ``sig`` is the parity of both halves of the signature:
+    # it differs in no more bits than they do, and is compared first. Short sets have no second half.
+    most = (n + m) * (DEN - NUM)
+    return ((n * DEN >= m * NUM) & (m * DEN >= n * NUM) & (F.bit_count(both) * (NUM + DEN) <= most)
+            & F.coalesce((F.bit_count(both.bitwiseXOR(high)) + F.bit_count(high)) * (NUM + DEN) <= most, F.lit(True)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -98,8 +117,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(doc, line) of the sets (doc, line, n, sig, prefix) that resemble an earlier set."""
-    place = F.struct("doc", "line", "n", "sig")
+    """(doc, line) of the sets (doc, line, n, sig, high, prefix) that resemble an earlier set."""
+    place = F.struct("doc", "line", "n", "sig", "high")
     first = sets.select(place.alias("s"), F.explode(F.slice("prefix", 1, LEADERS)).alias("token"))
     leaders = first.groupBy("token").agg(F.min("s").alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
     led = (first.join(leaders, "token").where(could_match("s", "e") & (F.col("s") != F.col("e")))
@@ -108,15 +127,15 @@ def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
     rows = (sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
                       F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
-            .select("doc", "line", "n", "sig", F.col("_open").isNull().cast("int").alias("open"), F.posexplode("prefix").alias("pos", "token")))
+            .select("doc", "line", "n", "sig", "high", F.col("_open").isNull().cast("int").alias("open"), F.posexplode("prefix").alias("pos", "token")))
     # Both sides read the same columns under the same filters, so that the exchange is made once and
     # read twice: hence "the later one is open" as a condition on both.
     later, early = rows.alias("l"), rows.alias("r")
     n, m = F.col("l.n"), F.col("r.n")
     left_over = F.least(n - F.col("l.pos"), m - F.col("r.pos"))
     pairs = (later.join(early, F.col("l.token") == F.col("r.token"))
-             .where((F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")) & (F.col("l.open") * 2 + F.col("r.open") >= 2)
-                    & could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM))
+             .where(could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM)
+                    & (F.col("l.open") * 2 + F.col("r.open") >= 2) & (F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")))
              .select("l.doc", "l.line", F.col("r.doc").alias("edoc"), F.col("r.line").alias("eline"), (n + m).alias("both")).distinct())
     return written(found.union(verified(pairs, texts)), "repeated")
 
@@ -132,11 +151,12 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), whole_text(text_col).alias("_text"))
     lines = written(coded_lines(texts), "lines")
     sets = written(
-        lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "sig", "prefix")).alias("s")).select("k1", "k2", "s.*"), "sets")
-    found = repeated_sets(sets.drop("k1", "k2"), texts)
-    marked = sets.select("k1", "k2", F.col("doc").alias("fdoc"), F.col("line").alias("fline")).join(
+        lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line", "n", "sig", "high", "prefix")).alias("s"), F.count("*").alias("c"))
+        .select("k1", "k2", "c", "s.*"), "sets")
+    found = repeated_sets(sets.drop("k1", "k2", "c"), texts)
+    marked = sets.select("k1", "k2", "c", F.col("doc").alias("fdoc"), F.col("line").alias("fline")).join(
         found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(True).alias("gone")),
-        F.col("fdoc").eqNullSafe(F.col("_d")) & (F.col("fline") == F.col("_l")), "left").select("k1", "k2", "fdoc", "fline", "gone")
+        F.col("fdoc").eqNullSafe(F.col("_d")) & (F.col("fline") == F.col("_l")), "left").where((F.col("c") > 1) | F.col("gone")).select("k1", "k2", "fdoc", "fline", "gone")
     own = F.col("doc").eqNullSafe(F.col("fdoc")) & (F.col("line") == F.col("fline"))
     return (lines.select("k1", "k2", "doc", "line", "hash").join(marked, ["k1", "k2"])
             .where(F.coalesce("gone", F.lit(False)) | ~own).select("doc", "line", "hash").distinct())

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# A planned write wraps the adaptive plan, and then the clean-up does not find its shuffles.
+PLANNED = "spark.sql.optimizer.plannedWrite.enabled"
 
 _local: list[str] = []
 
@@ -41,12 +43,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     more and are removed with it, where the Spark version can do that."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(CLEANUP, None)
-    if before is not None:
+    before = {key: spark.conf.get(key, None) for key in (CLEANUP, PLANNED)}
+    able = None not in before.values()
+    if able:
         spark.conf.set(CLEANUP, "true")
+        spark.conf.set(PLANNED, "false")
     try:
         df.write.parquet(path)
     finally:
-        if before is not None:
-            spark.conf.set(CLEANUP, before)
+        if able:
+            for key, value in before.items():
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,10 +1,14 @@
 """Line deduplication against a plain program over all pairs of lines."""
 
+import glob
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerfold.llm import line_dedup
+from ledgerfold.sources.scratch import written
 
 
 def plain_removed(docs):
@@ -64,3 +68,40 @@ def test_repeated_rows_and_ids(spark):
     got = sorted(((r.doc_id or 0, r.text) for r in line_dedup.drop_repeated_lines(frame).collect()), key=str)
     assert got == [(0, "one two"), (1, "three"), (1, "three"), (2, "own line"), (2, "own text"), (3, "")]
     assert line_dedup.line_report(frame.limit(0)).count() == 0
+
+
+def test_long_sets_that_differ_are_not_verified(spark, monkeypatch):
+    """Of long lines that share words only those that may be similar have their texts met."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(200)]
+    words = [f"w{i}" for i in range(400)]
+    docs = [(d, " ".join(rng.sample(words, 160))) for d in range(60)]
+    docs += [(100, " ".join(base)), (101, " ".join(base[:-8])), (102, " ".join(base[60:]))]
+    handed, verified = [], line_dedup.verified
+
+    def counted(pairs, texts):
+        handed.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    check(spark, docs)
+    assert sum(handed) <= 10
+
+
+def test_all_white_space_parts_words(spark):
+    check(spark, [(1, "a b c d"), (2, "a\tb\x0bc\fd"), (3, "\ta  b\r\nc d\r"), (4, "a\tb\r"), (6, "\t\r\n\x0b")])
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    dirs = [d.getPath() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in dirs for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+
+    before = files()
+    rows = spark.range(20000).select("id", (F.col("id") % 5000).alias("k"))
+    frame = written(rows.alias("l").join(rows.alias("r"), "k").where("l.id < r.id").select("l.id", F.col("r.id").alias("e")).distinct(), "pairs")
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.5)
+    assert not files() - before and frame.count() == 30000
