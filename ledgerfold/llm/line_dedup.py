@@ -11,15 +11,21 @@ the order of doc_id and line number, has a set of Jaccard similarity ``NUM``/``D
    bits) and its prefix, 32 bits of each of the rarest size - ceil(0.8 size) + 1 words. Similar sets share a word of
    their prefixes.
 3. Equal sets are one row, placed at their first line.
-4. Leaders: every set meets the first set that shares one of its two rarest words. Copies of one
-   much repeated line find their original here, so that no group is compared pair by pair.
+4. Leaders: every set meets the first ``LEADERS`` sets of each of its prefix words. Near copies of one
+   much repeated line find one of their originals here, whichever of their words were replaced, so that
+   few of a group are left to be compared pair by pair.
 5. Sets without a match so far meet all earlier sets on prefix words, under the length, positional
    and signature filters; what passes is verified on the words.
+
+Both steps take the prefix words in ``SLICES`` parts, one after the other, so that only one part's shuffle
+files are there at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import free_name, whole_text
@@ -28,6 +34,7 @@ from ledgerfold.sources.scratch import written
 NUM, DEN = 4, 5
 BUCKETS = 1 << 18
 LEADERS = 2
+SLICES = 4
 LONG = 64  # words of a set that 64 bits do not tell from others
 PLAN_TEXT, PLAN_TEXT_DEFAULT = "spark.sql.maxPlanStringLength", "2147483632b"
 
@@ -103,8 +110,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     pairs = written(pairs, "pairs")
     asked = (pairs.select("doc", "line").union(pairs.select("edoc", "eline"))
              .groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_lines")))
+    # Texts outgrow any broadcast, and so do the lines asked for; small tables take the same plan.
     lines = written(
-        texts.join(asked, F.col("doc").eqNullSafe(F.col("_doc")))
+        texts.join(asked.hint("merge"), F.col("doc").eqNullSafe(F.col("_doc")))
         .select("doc", "_lines", F.split("_text", "\n").alias("_all"))
         .select("doc", "_all", F.explode("_lines").alias("line")).where("line < size(_all)")
         .select("doc", "line", F.get("_all", F.col("line")).alias("t")).distinct(), "asked")
@@ -116,28 +124,43 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.where(shared * (NUM + DEN) >= F.col("both") * NUM).select("p.doc", "p.line").distinct()
 
 
-def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(doc, line) of the sets (doc, line, n, sig, high, prefix) that resemble an earlier set."""
-    place = F.struct("doc", "line", "n", "sig", "high")
-    first = sets.select(place.alias("s"), F.explode(F.slice("prefix", 1, LEADERS)).alias("token"))
-    leaders = first.groupBy("token").agg(F.min("s").alias("e"), F.count("*").alias("c")).where("c > 1").drop("c")
-    led = (first.join(leaders, "token").where(could_match("s", "e") & (F.col("s") != F.col("e")))
-           .select("s.doc", "s.line", F.col("e.doc").alias("edoc"), F.col("e.line").alias("eline"), (F.col("s.n") + F.col("e.n")).alias("both")).distinct())
-    found = written(verified(led, texts), "led")
-
-    rows = (sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
-                      F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
-            .select("doc", "line", "n", "sig", "high", F.col("_open").isNull().cast("int").alias("open"), F.posexplode("prefix").alias("pos", "token")))
+def in_slices(pairs_of, name: str) -> DataFrame:
+    """The different pairs that ``pairs_of(condition on token)`` finds over all slices of the tokens."""
+    parts = [written(pairs_of(F.pmod("token", F.lit(SLICES)) == k).distinct(), name) for k in range(SLICES)]
+    return reduce(DataFrame.union, parts).distinct()
+
+
+def leaders(sets: DataFrame, asked: Column) -> DataFrame:
+    """(doc, line, edoc, eline, both) of sets and the first sets that share one of the asked tokens."""
+    rows = sets.select(F.struct("doc", "line", "n", "sig", "high").alias("s"), F.explode("prefix").alias("token")).where(asked)
+    group = Window.partitionBy("token").orderBy(F.col("s.doc").asc_nulls_first(), "s.line")
+    first = rows.select("s", F.array(*[F.nth_value("s", k + 1).over(group) for k in range(LEADERS)]).alias("_first"))
+    return (first.select("s", F.explode("_first").alias("e"))
+            .where(F.col("e").isNotNull() & could_match("s", "e") & (F.struct("e.doc", "e.line") < F.struct("s.doc", "s.line")))
+            .select("s.doc", "s.line", F.col("e.doc").alias("edoc"), F.col("e.line").alias("eline"), (F.col("s.n") + F.col("e.n")).alias("both")))
+
+
+def earlier_sets(sets: DataFrame, asked: Column) -> DataFrame:
+    """(doc, line, edoc, eline, both) of open sets and all earlier sets that share one of the asked tokens."""
+    rows = sets.select("doc", "line", "n", "sig", "high", "open", F.posexplode("prefix").alias("pos", "token")).where(asked)
     # Both sides read the same columns under the same filters, so that the exchange is made once and
     # read twice: hence "the later one is open" as a condition on both.
     later, early = rows.alias("l"), rows.alias("r")
     n, m = F.col("l.n"), F.col("r.n")
     left_over = F.least(n - F.col("l.pos"), m - F.col("r.pos"))
-    pairs = (later.join(early, F.col("l.token") == F.col("r.token"))
-             .where(could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM)
-                    & (F.col("l.open") * 2 + F.col("r.open") >= 2) & (F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")))
-             .select("l.doc", "l.line", F.col("r.doc").alias("edoc"), F.col("r.line").alias("eline"), (n + m).alias("both")).distinct())
-    return written(found.union(verified(pairs, texts)), "repeated")
+    return (later.join(early, F.col("l.token") == F.col("r.token"))
+            .where(could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM)
+                   & (F.col("l.open") * 2 + F.col("r.open") >= 2) & (F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")))
+            .select("l.doc", "l.line", F.col("r.doc").alias("edoc"), F.col("r.line").alias("eline"), (n + m).alias("both")))
+
+
+def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc, line) of the sets (doc, line, n, sig, high, prefix) that resemble an earlier set."""
+    found = written(verified(in_slices(lambda asked: leaders(sets, asked), "leaders"), texts), "led")
+    marked = sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
+                       F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
+    marked = marked.select("doc", "line", "n", "sig", "high", "prefix", F.col("_open").isNull().cast("int").alias("open"))
+    return written(found.union(verified(in_slices(lambda asked: earlier_sets(marked, asked), "earlier"), texts)), "repeated")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

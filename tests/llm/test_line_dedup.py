@@ -88,6 +88,21 @@ def test_long_sets_that_differ_are_not_verified(spark, monkeypatch):
     assert sum(handed) <= 10
 
 
+def test_near_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies that each have other rare words of their own find an original under the words they share."""
+    base = [f"b{i}" for i in range(40)]
+    docs = [(d, " ".join([f"own{d}a", f"own{d}b", *base[2:]])) for d in range(200)]
+    handed, verified = [], line_dedup.verified
+
+    def counted(pairs, texts):
+        handed.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(line_dedup, "verified", counted)
+    check(spark, docs)
+    assert sum(handed) <= 2 * 2 * 200  # for line_report and for drop_repeated_lines
+
+
 def test_all_white_space_parts_words(spark):
     check(spark, [(1, "a b c d"), (2, "a\tb\x0bc\fd"), (3, "\ta  b\r\nc d\r"), (4, "a\tb\r"), (6, "\t\r\n\x0b")])
 
