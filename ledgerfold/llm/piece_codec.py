@@ -207,6 +207,16 @@ class PieceCodec:
         raw = b"".join(map(self.output.__getitem__, ids))
         return (raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace")
 
+    def decode_lists(self, ids) -> list[str]:
+        """The same for an Arrow array of lists of ids; a null list gives the empty text."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))])
+        spelled = pa.array(self.output, pa.large_binary()).take(ids.flatten())
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), spelled), pa.scalar(b"", pa.large_binary()))
+        return [(raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace") for raw in joined.to_pylist()]
+
 
 def codec(path: str) -> PieceCodec:
     """The codec of this process for a model file."""
@@ -243,9 +253,8 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", out_col: str = "de
         import pyarrow as pa
 
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([codec(model).decode(i or []) for i in ids], pa.string())],
-                                             [*batch.schema.names, out_col])
+            ids = batch.column(batch.schema.get_field_index(ids_col))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codec(model).decode_lists(ids), pa.string())], [*batch.schema.names, out_col])
 
     small_batches(rows.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)

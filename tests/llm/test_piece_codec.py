@@ -3,11 +3,13 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as pb
 
 from ledgerfold.llm import piece_codec as pc
+from ledgerfold.llm.piece_codec import codec
 from tests.conftest import SF
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,3 +71,11 @@ def test_rows(spark):
     assert len(trip) == len(rows) and all(r.same for r in trip)
     assert pc.round_trip(frame.limit(0), PATH).count() == 0
     assert codec.decode([1, 2]) == "" and codec.decode([codec.byte_ids[0xFF]]) == "�"
+
+
+def test_lists_of_ids_are_decoded_as_single_ones():
+    found = codec(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = [i.tolist() for i in found.encode(["", " two  words", "a\u0001\U0001F9FF b\n", "x" * 70])] + [None, [found.byte_ids[200].item()]]
+    lists = pa.array([[5], *ids, None], pa.list_(pa.int32())).slice(1, len(ids))
+    assert found.decode_lists(lists) == [found.decode(i or []) for i in ids]
+    assert found.decode_lists(lists.slice(0, 0)) == []
