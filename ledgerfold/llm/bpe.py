@@ -142,7 +142,10 @@ class WordEncoder:
         after = np.cumsum(sizes)
         before = after - sizes
         ids = self.flat[np.repeat(self.start[index] - before, sizes) + np.arange(int(after[-1]))]
-        stops = np.union1d(after[self.ends[index]], before[self.breaks[index]])
+        stop = np.zeros(len(ids) + 1, bool)
+        stop[after[self.ends[index]]] = True
+        stop[before[self.breaks[index]]] = True
+        stops = np.flatnonzero(stop)
         last = np.cumsum(counts) - 1
         text_ends = after[last]
         at = 0

@@ -70,29 +70,27 @@ def best_cuts(at: list[int], penalty: list[int], size: int = SIZE) -> list[int]:
     """The cheapest cuts, as positions, the last at ``at[-1]``."""
     powers = [1 << k for k in range(min(LEAST_POWER, size.bit_length() - 1), size.bit_length()) if 1 << k <= size]
     partners, until = power_partners(at, powers)
-    cost, back = [0], [0]
+    fixed = [SEQUENCE_COST + p for p in penalty]
+    cost, back, key = [0] * len(at), [0] * len(at), [0] * len(at)
     done = 0
-    keys, places, sources, head = [0], [0], [0], 0  # the monotone queue: cost + position ascending
+    queue, head = [0], 0  # the monotone queue of sources: key = cost + position ascending
     for j in range(1, len(at)):
         here = at[j]
-        while here - places[head] > size:
+        while at[queue[head]] < here - size:
             head += 1
-        low, source = keys[head] + size - here, sources[head]
-        for i in partners[done:until[j]]:
-            if cost[i] < low:
-                low, source = cost[i], i
-        done = until[j]
-        low += SEQUENCE_COST + penalty[j]
-        cost.append(low)
-        back.append(source)
-        key = low + here
-        while len(keys) > head and keys[-1] >= key:
-            keys.pop()
-            places.pop()
-            sources.pop()
-        keys.append(key)
-        places.append(here)
-        sources.append(j)
+        source = queue[head]
+        low = key[source] + size - here
+        if until[j] > done:
+            for i in partners[done:until[j]]:
+                if cost[i] < low:
+                    low, source = cost[i], i
+            done = until[j]
+        low += fixed[j]
+        cost[j], back[j], key[j] = low, source, low + here
+        low += here
+        while len(queue) > head and key[queue[-1]] >= low:
+            queue.pop()
+        queue.append(j)
     cuts, j = [], len(at) - 1
     while j:
         cuts.append(at[j])
