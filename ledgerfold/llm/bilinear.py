@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -95,11 +95,11 @@ class Vocabulary:
     def symbols(self, words: list[list[bytes]]):
         """(symbol, place in the cache or -1) of all tokens, one text after another."""
         total = sum(map(len, words))
-        place = np.fromiter((i for w in words for i in map(self.cached.get, w, repeat(-1))), np.int64, total)
+        place = np.fromiter(map(self.cached.get, chain.from_iterable(words), repeat(-1)), np.int64, total)
         out = self.symbol[place]
         missing = np.flatnonzero(place < 0)
         if len(missing):
-            flat = [x for w in words for x in w]
+            flat = list(chain.from_iterable(words))
             rest = len(self.share) - 1
             out[missing] = [self.endings.get(flat[i][-3:], rest) for i in missing.tolist()]
         return out, place
