@@ -11,13 +11,16 @@ the order of doc_id and line number, has a set of Jaccard similarity ``NUM``/``D
    bits) and its prefix, 32 bits of each of the rarest size - ceil(0.8 size) + 1 words. Similar sets share a word of
    their prefixes.
 3. Equal sets are one row, placed at their first line.
-4. Leaders: every set meets the first ``LEADERS`` sets of each of its prefix words. Near copies of one
+4. Leaders: every set meets the first ``LEADERS`` sets of each word of its short prefix (below). Near copies of one
    much repeated line find one of their originals here, whichever of their words were replaced, so that
    few of a group are left to be compared pair by pair.
 5. Sets without a match so far meet all earlier sets on prefix words, under the length, positional
-   and signature filters; what passes is verified on the words.
+   and signature filters; what passes is verified on the words. Of two similar sets the longer one has a word of its
+   prefix in the short prefix of the other, size - ceil(8/9 size) + 1 words: an overlap of 4/9 of both sizes is at
+   least 8/9 of the shorter one. So the pairs are those of a prefix and a short prefix, of sets in the same class of sizes;
+   a short prefix is in the classes of all sizes that its set may meet, two at most.
 
-Both steps take the prefix words in ``SLICES`` parts, one after the other, so that only one part's shuffle
+The last step takes the prefix words in ``SLICES`` parts, one after the other, so that only one part's shuffle
 files are there at a time.
 """
 
@@ -34,7 +37,9 @@ from ledgerfold.sources.scratch import written
 NUM, DEN = 4, 5
 BUCKETS = 1 << 18
 LEADERS = 2
-SLICES = 4
+SLICES = 3
+CLASS = (DEN / NUM) ** 2  # ratio of the bounds of a class of sizes
+MOST_CLASSES = 64  # an array has less than 2^31 words
 LONG = 64  # words of a set that 64 bits do not tell from others
 PLAN_TEXT, PLAN_TEXT_DEFAULT = "spark.sql.maxPlanStringLength", "2147483632b"
 
@@ -70,7 +75,7 @@ def coded_lines(texts: DataFrame) -> DataFrame:
     levels = rarity_levels(texts)
 
     def code(h):
-        level = F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+        level = levels[h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")]  # never null, so the codes are sorted as plain numbers
         return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     lines = texts.select("doc", F.posexplode(F.split("_text", "\n")).alias("line", "_line")).where(F.col("_line").rlike(r"\S"))
@@ -112,7 +117,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
              .groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("line").alias("_lines")))
     # Texts outgrow any broadcast, and so do the lines asked for; small tables take the same plan.
     lines = written(
-        texts.join(asked.hint("merge"), F.col("doc").eqNullSafe(F.col("_doc")))
+        texts.join(asked.hint("shuffle_hash"), F.col("doc").eqNullSafe(F.col("_doc")))
         .select("doc", "_lines", F.split("_text", "\n").alias("_all"))
         .select("doc", "_all", F.explode("_lines").alias("line")).where("line < size(_all)")
         .select("doc", "line", F.get("_all", F.col("line")).alias("t")).distinct(), "asked")
@@ -124,15 +129,19 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.where(shared * (NUM + DEN) >= F.col("both") * NUM).select("p.doc", "p.line").distinct()
 
 
-def in_slices(pairs_of, name: str) -> DataFrame:
-    """The different pairs that ``pairs_of(condition on token)`` finds over all slices of the tokens."""
-    parts = [written(pairs_of(F.pmod("token", F.lit(SLICES)) == k).distinct(), name) for k in range(SLICES)]
-    return reduce(DataFrame.union, parts).distinct()
+def size_class(n: Column) -> Column:
+    """Number of the class of a size; it never falls as sizes grow."""
+    return F.floor(F.log(CLASS, n)).cast("int")
 
 
-def leaders(sets: DataFrame, asked: Column) -> DataFrame:
-    """(doc, line, edoc, eline, both) of sets and the first sets that share one of the asked tokens."""
-    rows = sets.select(F.struct("doc", "line", "n", "sig", "high").alias("s"), F.explode("prefix").alias("token")).where(asked)
+def short_prefix() -> Column:
+    """The words of the prefix that the shorter one of two similar sets needs; all of sets as long as each other."""
+    return F.slice("prefix", F.lit(1), F.col("n") - F.expr(f"cast((n * {2 * NUM} + {NUM + DEN - 1}) div {NUM + DEN} as int)") + 1)
+
+
+def leaders(sets: DataFrame) -> DataFrame:
+    """(doc, line, edoc, eline, both) of sets and the first sets that share a word of their short prefixes."""
+    rows = sets.select(F.struct("doc", "line", "n", "sig", "high").alias("s"), F.explode(short_prefix()).alias("token"))
     group = Window.partitionBy("token").orderBy(F.col("s.doc").asc_nulls_first(), "s.line")
     first = rows.select("s", F.array(*[F.nth_value("s", k + 1).over(group) for k in range(LEADERS)]).alias("_first"))
     return (first.select("s", F.explode("_first").alias("e"))
@@ -142,25 +151,38 @@ def leaders(sets: DataFrame, asked: Column) -> DataFrame:
 
 def earlier_sets(sets: DataFrame, asked: Column) -> DataFrame:
     """(doc, line, edoc, eline, both) of open sets and all earlier sets that share one of the asked tokens."""
-    rows = sets.select("doc", "line", "n", "sig", "high", "open", F.posexplode("prefix").alias("pos", "token")).where(asked)
-    # Both sides read the same columns under the same filters, so that the exchange is made once and
-    # read twice: hence "the later one is open" as a condition on both.
-    later, early = rows.alias("l"), rows.alias("r")
+    def rows(prefix, most):
+        tokens = sets.select("doc", "line", "n", "sig", "high", "open", size_class(F.col("n")).alias("low"), size_class(most).alias("top"),
+                             F.posexplode(prefix).alias("pos", "token")).where(asked)
+        classes = tokens.select("doc", "line", "n", "sig", "high", "open", "pos", "token", F.explode(F.sequence("low", "top")).alias("class"))
+        # one number: rows are sorted by it without comparing them
+        return classes.withColumn("key", F.col("token").cast("bigint") * MOST_CLASSES + F.col("class")).drop("token", "class")
+
+    # A set no longer than its match has the short prefix, whichever of them comes first.
+    long, short = rows(F.col("prefix"), F.col("n")).alias("l"), rows(short_prefix(), F.expr(f"n * {DEN} div {NUM}")).alias("r")
     n, m = F.col("l.n"), F.col("r.n")
     left_over = F.least(n - F.col("l.pos"), m - F.col("r.pos"))
-    return (later.join(early, F.col("l.token") == F.col("r.token"))
-            .where(could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM)
-                   & (F.col("l.open") * 2 + F.col("r.open") >= 2) & (F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")))
-            .select("l.doc", "l.line", F.col("r.doc").alias("edoc"), F.col("r.line").alias("eline"), (n + m).alias("both")))
+    later = F.struct("r.doc", "r.line") < F.struct("l.doc", "l.line")
+
+    def of(a, b, name):
+        return F.when(later, F.col(f"{a}.{name}")).otherwise(F.col(f"{b}.{name}"))
+
+    return (long.join(short, F.col("l.key") == F.col("r.key"))
+            .where((n >= m) & could_match("l", "r") & (left_over * (NUM + DEN) >= (n + m) * NUM)
+                   & ((n > m) | later) & (of("l", "r", "open") == 1))
+            .select(of("l", "r", "doc").alias("doc"), of("l", "r", "line").alias("line"),
+                    of("r", "l", "doc").alias("edoc"), of("r", "l", "line").alias("eline"), (n + m).alias("both")))
 
 
 def repeated_sets(sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(doc, line) of the sets (doc, line, n, sig, high, prefix) that resemble an earlier set."""
-    found = written(verified(in_slices(lambda asked: leaders(sets, asked), "leaders"), texts), "led")
+    found = written(verified(leaders(sets).distinct(), texts), "led")
     marked = sets.join(found.select(F.col("doc").alias("_d"), F.col("line").alias("_l"), F.lit(False).alias("_open")),
                        F.col("doc").eqNullSafe(F.col("_d")) & (F.col("line") == F.col("_l")), "left")
     marked = marked.select("doc", "line", "n", "sig", "high", "prefix", F.col("_open").isNull().cast("int").alias("open"))
-    return written(found.union(verified(in_slices(lambda asked: earlier_sets(marked, asked), "earlier"), texts)), "repeated")
+    marked = written(marked, "marked")
+    parts = [written(earlier_sets(marked, F.pmod("token", F.lit(SLICES)) == k).distinct(), "earlier") for k in range(SLICES)]
+    return written(found.union(verified(reduce(DataFrame.union, parts).distinct(), texts)), "repeated")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -103,6 +103,33 @@ def test_near_copies_are_not_compared_pair_by_pair(spark, monkeypatch):
     assert sum(handed) <= 2 * 2 * 200  # for line_report and for drop_repeated_lines
 
 
+def test_similar_sets_of_all_sizes_are_found(spark):
+    """Pairs just alike enough, the longer one first or last, across the bounds of the classes of sizes."""
+    docs = []
+    for n in range(1, 61):
+        for m in {n, n * 5 // 4, (n + n * 5 // 4) // 2}:
+            shared = -(-4 * (n + m) // 9)
+            if shared <= n:
+                d = 4 * len(docs)
+                short, long = ([f"w{d}_{i}" for i in range(shared)] + [f"{k}{d}_{i}" for i in range(size - shared)] for k, size in (("a", n), ("b", m)))
+                docs += [(d + len(docs) % 4 // 2, " ".join(short)), (d + 1 - len(docs) % 4 // 2, " ".join(long))]
+    check(spark, docs)
+
+
+def test_sets_of_unlike_sizes_do_not_meet(spark):
+    """Under one common prefix word only sets in the same class of sizes meet, and a long set is looked up, not kept, under its later words."""
+    def met(n, m):
+        rows = [(1, 0, n, 0, None, 1, list(range(n))), (2, 0, m, 0, None, 1, list(range(m)))]
+        sets = spark.createDataFrame(rows, "doc bigint, line int, n int, sig bigint, high bigint, open int, prefix array<int>")
+        return line_dedup.earlier_sets(sets, F.lit(True)).distinct().count()
+
+    assert [met(n, n * 5 // 4) for n in (4, 8, 40)] == [1, 1, 1] and [met(m * 5 // 4, m) for m in (4, 8, 40)] == [1, 1, 1]
+    assert met(8, 11) == met(11, 8) == met(40, 80) == 0
+    for n in (1, 4, 9, 47):
+        sets = spark.createDataFrame([(n, list(range(n)))], "n int, prefix array<int>")
+        assert len(sets.select(line_dedup.short_prefix()).first()[0]) == n - -(-8 * n // 9) + 1
+
+
 def test_all_white_space_parts_words(spark):
     check(spark, [(1, "a b c d"), (2, "a\tb\x0bc\fd"), (3, "\ta  b\r\nc d\r"), (4, "a\tb\r"), (6, "\t\r\n\x0b")])
 
