@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 
 TABLE_BYTES = 200 << 20
 PIECE_BYTES = 190  # of a piece besides its characters and ids: text, number, table slot, arrays
-GROUP = 1 << 20
+GROUP = 1 << 22
 FIRST = "\n\n"  # marks a text's first piece, which has no space before it
 # All white space of Python but these two characters, and two that other programs count as such. Looking for one after
 # the other is much quicker than a pattern.
@@ -68,14 +69,24 @@ class WordEncoder:
         last = np.append(offsets[1:, 0] >= offsets[:-1, 1], True)[:len(offsets)]  # a character may be several tokens
         return np.array(found.ids, np.uint32), np.flatnonzero(last & np.isin(offsets[:, 1], stops)) + 1
 
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.known]
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of different pieces; those that are new are learned."""
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(found < 0)
+        if not len(missing):
+            return found
+        new = [pieces[k] for k in missing.tolist()]
         size = sum(map(len, new)) * 2 + len(new) * PIECE_BYTES
         if self.held + size > TABLE_BYTES and self.known:
             self.clear()
-            new = list(pieces)
+            missing, new = np.arange(len(pieces)), pieces
             size = sum(map(len, new)) * 2 + len(new) * PIECE_BYTES
         self.held += size
+        self.learn(new)
+        found[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        return found
+
+    def learn(self, new: list[str]) -> None:
         inner = [p for p in new if p[:1] != "\n"]
         outer = [p for p in new if p[:1] == "\n"]
         # Many pieces behind a space are encoded as one text: a token that starts with a space
@@ -83,11 +94,11 @@ class WordEncoder:
         texts = [" " + " ".join(inner[at:at + JOINED]) for at in range(0, len(inner), JOINED)]
         ids = np.concatenate([np.zeros(0, np.uint32), *self.whole(texts)])
         starts = np.flatnonzero(self.spaced[ids])
-        self.add(inner, ids, np.diff(starts, append=len(ids)))
+        self.add(inner, ids, np.diff(starts, append=len(ids)), False)
         found = self.whole([p.removeprefix(FIRST) for p in outer])
-        self.add(outer, np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(i) for i in found], np.int64))
+        self.add(outer, np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(i) for i in found], np.int64), True)
 
-    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray, breaks: bool) -> None:
         first, n = len(self.known), len(self.known) + len(pieces)
         self.start, self.length = grown(self.start, n), grown(self.length, n)
         self.ends, self.breaks = grown(self.ends, n), grown(self.breaks, n)
@@ -96,7 +107,7 @@ class WordEncoder:
         self.start[first:n] = self.used + np.cumsum(sizes) - sizes
         self.length[first:n] = sizes
         self.ends[first:n] = [p.endswith(SENTENCE_ENDS) for p in pieces]
-        self.breaks[first:n] = [p.startswith("\n") for p in pieces]
+        self.breaks[first:n] = breaks
         self.known.update(zip(pieces, range(first, n)))
         self.used += len(ids)
 
@@ -131,13 +142,7 @@ class WordEncoder:
         parts = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
         counts = pc.list_value_length(parts).to_numpy()
         coded = parts.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        try:
-            numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        except KeyError:
-            self.learn(set(pieces))
-            numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        index = numbers[coded.indices.to_numpy()]
+        index = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         sizes = self.length[index]
         after = np.cumsum(sizes)
         before = after - sizes

@@ -43,14 +43,20 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, size: int = SIZE
     """Positions where a cut may fall, ascending from 0 to the end of the block, no two more than
     ``size`` apart, and the penalty of each: ends of documents and sentences, and the positions
     where a sequence begun at one of them is full."""
-    ends = np.union1d(np.concatenate([[0], doc_ends]), sentence_ends).astype(np.int64)
+    last = int(doc_ends[-1])
+    is_end = np.zeros(last + 1, bool)
+    is_end[0] = True
+    is_end[doc_ends] = True
+    is_end[sentence_ends] = True
+    ends = np.flatnonzero(is_end)
+    asked = is_end.copy()
     full = ends + size
-    wide = np.flatnonzero(np.diff(ends) > size)
-    more = [np.arange(ends[k] + size, ends[k + 1], size) for k in wide]
-    at = np.union1d(ends, np.concatenate([full[full < ends[-1]], *more]))
-    penalty = np.full(len(at), INSIDE_PENALTY)
-    penalty[np.isin(at, ends, assume_unique=True)] = SENTENCE_PENALTY
-    penalty[np.isin(at, doc_ends)] = 0
+    asked[full[full < last]] = True
+    for k in np.flatnonzero(np.diff(ends) > size):
+        asked[ends[k] + size:ends[k + 1]:size] = True
+    at = np.flatnonzero(asked)
+    penalty = np.where(is_end[at], SENTENCE_PENALTY, INSIDE_PENALTY)
+    penalty[np.searchsorted(at, doc_ends)] = 0
     return at.tolist(), penalty.tolist()
 
 
@@ -71,26 +77,28 @@ def best_cuts(at: list[int], penalty: list[int], size: int = SIZE) -> list[int]:
     powers = [1 << k for k in range(min(LEAST_POWER, size.bit_length() - 1), size.bit_length()) if 1 << k <= size]
     partners, until = power_partners(at, powers)
     fixed = [SEQUENCE_COST + p for p in penalty]
-    cost, back, key = [0] * len(at), [0] * len(at), [0] * len(at)
+    cost, back = [0] * len(at), [0] * len(at)
     done = 0
-    queue, head = [0], 0  # the monotone queue of sources: key = cost + position ascending
+    # the monotone queue of sources, from head to tail: key = cost + position ascending
+    queue, places, keys, head, tail = [0] * len(at), [0] * len(at), [0] * len(at), 0, 1
     for j in range(1, len(at)):
         here = at[j]
-        while at[queue[head]] < here - size:
+        while places[head] < here - size:
             head += 1
         source = queue[head]
-        low = key[source] + size - here
+        low = keys[head] + size - here
         if until[j] > done:
             for i in partners[done:until[j]]:
                 if cost[i] < low:
                     low, source = cost[i], i
             done = until[j]
         low += fixed[j]
-        cost[j], back[j], key[j] = low, source, low + here
+        cost[j], back[j] = low, source
         low += here
-        while len(queue) > head and key[queue[-1]] >= low:
-            queue.pop()
-        queue.append(j)
+        while tail > head and keys[tail - 1] >= low:
+            tail -= 1
+        queue[tail], places[tail], keys[tail] = j, here, low
+        tail += 1
     cuts, j = [], len(at) - 1
     while j:
         cuts.append(at[j])

@@ -131,3 +131,43 @@ def test_each_different_piece_is_looked_up_once(plain):
 def test_partners_a_power_before():
     partners, until = packing.power_partners([0, 64, 70, 128, 134], [64, 128])
     assert [partners[a:b] for a, b in zip([0, *until], until)] == [[], [0], [], [1, 0], [2]]
+
+
+def test_a_group_of_new_pieces_is_gone_through_once(plain):
+    """Known pieces of a group with new ones are not looked up a second time."""
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, other=None):
+            self.asked += 1
+            return super().get(key, other)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+    encoder = bpe.WordEncoder(PATH)
+    known = " ".join(f"w{i}" for i in range(500))
+    encoder.encode([known])
+    encoder.known = Counting(encoder.known)
+    text = "newest " + known + " newer"
+    assert encoder.encode([text])[0][0].tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encoder.known.asked <= 510
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_candidates_are_those_of_sorted_sets(seed):
+    rng, size = random.Random(seed), 64
+    doc_ends = np.cumsum([rng.randrange(1, 400) for _ in range(9)])
+    stops = np.array(sorted(rng.sample(range(1, int(doc_ends[-1])), 8)))
+    ends = sorted({0, *doc_ends.tolist(), *stops.tolist()})
+    want = {*ends, *(e + size for e in ends if e + size < ends[-1])}
+    for a, b in zip(ends, ends[1:]):
+        want |= set(range(a + size, b, size))
+    at, penalty = packing.candidates(doc_ends, stops, size)
+    assert at == sorted(want)
+    assert penalty == [0 if a in set(doc_ends.tolist()) else 2 if a in ends else 12 for a in at]
