@@ -37,7 +37,7 @@ from ledgerfold.sources.scratch import written
 NUM, DEN = 4, 5
 BUCKETS = 1 << 18
 LEADERS = 2
-SLICES = 3
+SLICES = 4
 CLASS = (DEN / NUM) ** 2  # ratio of the bounds of a class of sizes
 MOST_CLASSES = 64  # an array has less than 2^31 words
 LONG = 64  # words of a set that 64 bits do not tell from others
